@@ -1,0 +1,17 @@
+"""Broadcast only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
+
+    The count is an action on an already-reduced table (one row per group), so
+    it is cheap; above the limit the join falls back to a shuffle join chosen
+    by AQE.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
