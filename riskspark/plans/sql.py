@@ -69,3 +69,17 @@ def with_(*ctes: str) -> str:
 
 def idnum(col: str = "transaction_id") -> str:
     return f"CAST(substr({col}, 5) AS BIGINT)"
+
+
+def scored(models: dict | None = None) -> str:
+    """SQL twin of ``derived.scored_events``."""
+    models = models or {"rule_a": (40, 37, 23)}
+    parts = []
+    for name, (a, b, c) in models.items():
+        s = rule_score(a, b, c)
+        parts.append(
+            f"SELECT '{name}' AS model, 'txn_' || CAST(event_id AS VARCHAR) AS transaction_id, "
+            f"ts AS scored_at, "
+            f"CAST(CASE WHEN event_type = 'error' AND k < 50 THEN 1 ELSE 0 END AS INTEGER) AS label, "
+            f"{s} AS score, CAST(CASE WHEN {s} > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS pred FROM ev")
+    return "sc AS (" + " UNION ALL ".join(parts) + ")"

@@ -169,3 +169,24 @@ class Workspace:
 
     def feedback(self) -> DataFrame:
         return feedback_from_events(self.events)
+
+
+def scored_events(events: DataFrame, scorers: dict | None = None) -> DataFrame:
+    """Long table ``(model, transaction_id, label, score, pred)``: every rule
+    scorer applied to every event (the label is the transactions' is_fraud)."""
+    scorers = scorers or {"rule_a": RULE_SCORERS["rule_a"]}
+    k = _k()
+    label = F.when((F.col("event_type") == FRAUD_EVENT) & (k < FRAUD_K_BELOW), 1).otherwise(0)
+    parts = []
+    for name, w in scorers.items():
+        s = rule_score(w)
+        parts.append(events.select(
+            F.lit(name).alias("model"),
+            F.concat(F.lit("txn_"), F.col("event_id").cast("string")).alias("transaction_id"),
+            F.col("ts").alias("scored_at"),
+            label.cast("int").alias("label"), s.alias("score"),
+            F.when(s > 0.5, 1).otherwise(0).cast("int").alias("pred")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
