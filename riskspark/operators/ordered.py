@@ -9,8 +9,8 @@ task. Here instead:
    slices of similar size; a hot key spans several slices.
 2. Each slice is scanned in order (``mapInPandas``) giving slice-local
    running values.
-3. A second scan of the same (reused) exchange keeps only the first and last
-   run of each slice: at most ``2·P`` rows, whatever the data size.
+3. A second scan of the same slices keeps only the first and last run of
+   each slice: at most ``2·P`` rows, whatever the data size.
 4. A window over that small table gives, for each key segment, the totals of
    the same key in earlier slices; it is broadcast (size bounded by ``2·P``)
    and added to the local values.
@@ -166,9 +166,16 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
                  count_as: str | None = None,
                  sums: dict[str, str] | None = None,
                  lags: dict[str, str] | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None,
+                 stable_input: bool = False) -> DataFrame:
     """Running values within ``keys`` in ``order`` (inclusive of the row).
 
+    The slices are read twice (local values, then the edge table). Unless the
+    input comes straight from files (``stable_input``: same rows in the same
+    order on every read, so the range sample and the bounds repeat), the
+    sliced input is checkpointed to the shared checkpoint folder first, so
+    both reads see the same slices even after a lost executor.
+
     - ``count_as``: running row number (1-based)
     - ``sums``: ``{out: col}`` running sum of ``col`` (nulls count as 0)
     - ``lags``: ``{out: col}`` value of ``col`` on the previous row of the key
@@ -183,6 +190,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
     # An explicit partition count keeps the exchange out of AQE coalescing, so
     # both scans below see the same slices (and the exchange is reused).
     ranged = df.repartitionByRange(p, *sort_cols).sortWithinPartitions(*sort_cols)
+    if not stable_input:
+        ranged = ranged.checkpoint(eager=True)
 
     base_fields = list(df.schema.fields)
     by_name = {f.name: f for f in base_fields}
@@ -205,22 +214,22 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
              for o in sums]
     offs += [F.lag("_os_l_" + o).over(w).alias("_os_prev_" + o) for o in lags]
     # Bounded by 2 rows per slice: safe to broadcast.
-    offsets = edges.select(_PID, *keys, *offs)
+    offsets = edges.select(F.col(_PID).alias("_os_opid"),
+                           *[F.col(k).alias("_os_k_" + k) for k in keys], *offs)
 
-    cond = F.col("d." + _PID) == F.col("o." + _PID)
+    cond = data[_PID] == offsets["_os_opid"]
     for k in keys:
-        cond = cond & F.col("d." + k).eqNullSafe(F.col("o." + k))
-    j = data.alias("d").join(F.broadcast(offsets.alias("o")), cond, "left")
-    off_cnt = F.coalesce(F.col("o._os_off_cnt"), F.lit(0))
-    cols = [F.col("d." + f.name) for f in base_fields]
+        cond = cond & data[k].eqNullSafe(offsets["_os_k_" + k])
+    j = data.join(F.broadcast(offsets), cond, "left")
+    off_cnt = F.coalesce(F.col("_os_off_cnt"), F.lit(0))
+    cols = [F.col(f.name) for f in base_fields]
     if count_as:
-        cols.append((F.col("d." + _LC) + off_cnt).alias(count_as))
+        cols.append((F.col(_LC) + off_cnt).alias(count_as))
     for o in sums:
-        cols.append((F.col("d." + o) + F.coalesce(F.col("o._os_off_" + o), F.lit(0.0))).alias(o))
+        cols.append((F.col(o) + F.coalesce(F.col("_os_off_" + o), F.lit(0.0))).alias(o))
     for o in lags:
-        # The first row of a segment takes the last value of the key's previous
-        # segment; the slice-local running count tells which row that is.
-        seg_first = (F.col("d." + _LC) == 1) & (off_cnt > 0)
-        cols.append(F.when(seg_first, F.col("o._os_prev_" + o))
-                    .otherwise(F.col("d." + o)).alias(o))
+        # The first row of a slice's segment takes the last value of the key's
+        # previous segment.
+        seg_first = (F.col(_LC) == 1) & (off_cnt > 0)
+        cols.append(F.when(seg_first, F.col("_os_prev_" + o)).otherwise(F.col(o)).alias(o))
     return j.select(*cols)

@@ -86,7 +86,8 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         "user_id", "event_id", "ts",
     )
     # Per-user history without sending a whole user to one task.
-    ranked = ordered_scan(base, ["user_id"], ["ts", "event_id"], count_as="_rn")
+    ranked = ordered_scan(base, ["user_id"], ["ts", "event_id"], count_as="_rn",
+                          stable_input=True)
     return ranked.select(
         "transaction_id", "customer_id", "transaction_amount", "transaction_type",
         "transaction_time", "transaction_location", "device_type",
