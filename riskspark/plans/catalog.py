@@ -37,3 +37,11 @@ def load_all() -> None:
     from riskspark.plans import (  # noqa: F401
         q_clean, q_metrics, q_drift, q_prep, q_models, q_registry, q_windows,
     )
+    register_late()
+
+
+def register_late() -> None:
+    """Queries whose oracle is composed from other oracles."""
+    from riskspark.plans import q_drift
+    if "alert" not in QUERIES:
+        query("alert", sql=q_drift._alert_sql())(q_drift.alert_row)

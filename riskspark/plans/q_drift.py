@@ -180,3 +180,48 @@ def severity(spark, sf_dir):
     return j.select(F.round("share", 6).alias("share_of_drifted_columns"), "target_drift",
                     "prediction_drift", F.round("recall", 6).alias("recall"),
                     sev.alias("drift_severity"), (sev == "serious").alias("retraining_recommended"))
+
+
+# ---------------------------------------------------------------------------
+# Alert text and decision (D15, D16) over the severity row
+# ---------------------------------------------------------------------------
+def _alert_sql() -> str:
+    from riskspark.operators.alerts import LOW_RECALL_LINE, SEVERITY_MARK, SUNDAY_LINE
+    from riskspark.plans.catalog import ORACLES
+    hdr = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.ALERT_HEADERS.items())
+    mark = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEVERITY_MARK.items())
+    yn = "(CASE WHEN {0} IS NULL THEN 'Not measured' WHEN {0} THEN 'Yes' ELSE 'No' END)"
+    return f"""WITH sev AS ({ORACLES['severity']}),
+perf AS ({ORACLES['feedback_performance']})
+SELECT drift_severity, retraining_recommended AS retraining_triggered,
+  CASE WHEN drift_severity = 'serious' THEN '{S.RETRAIN_REASON}' END AS trigger_reason,
+  concat_ws(chr(10),
+    CASE drift_severity {hdr} ELSE '{S.ALERT_DEFAULT_HEADER}' END,
+    (CASE drift_severity {mark} ELSE 'ℹ️' END) || ' *Severity*: `' || upper(drift_severity) || '`',
+    '📊 *Feature drift score*: `' || printf('%.1f%%', share_of_drifted_columns * 100) || '` of columns drifted',
+    '🎯 *Target drift* (is_fraud): `' || {yn.format('target_drift')} || '`',
+    '🤖 *Prediction drift*: `' || {yn.format('prediction_drift')} || '`',
+    CASE WHEN available THEN '📉 *Performance*: recall=`' || printf('%.2f%%', perf.recall * 100)
+      || '` | precision=`' || printf('%.2f%%', precision * 100) || '` | f1=`' || printf('%.2f%%', f1 * 100)
+      || '`' END,
+    CASE WHEN available AND low_recall_detected THEN '{LOW_RECALL_LINE}' END,
+    '🔄 *Immediate retraining triggered*: `' || (CASE WHEN retraining_recommended THEN 'Yes' ELSE 'No' END) || '`',
+    CASE WHEN drift_severity = 'negligible' AND NOT retraining_recommended THEN '{SUNDAY_LINE}' END
+  ) AS text
+FROM sev, perf"""
+
+
+def alert_row(spark, sf_dir):
+    """D15/D16 from the severity row and the feedback performance."""
+    from riskspark.operators.alerts import alert_text
+    from riskspark.plans.q_metrics import q_feedback_performance
+    sev = severity(spark, sf_dir)
+    perf = q_feedback_performance(spark, sf_dir)
+    j = sev.drop("recall").withColumn("_k", F.lit(1)).join(perf.withColumn("_k", F.lit(1)), "_k")
+    trig = F.col("retraining_recommended")
+    text = alert_text(F.col("drift_severity"), F.col("share_of_drifted_columns"), F.col("target_drift"),
+                      F.col("prediction_drift"), F.col("available"), F.col("recall"), F.col("precision"),
+                      F.col("f1"), F.col("low_recall_detected"), trig)
+    return j.select("drift_severity", trig.alias("retraining_triggered"),
+                    F.when(F.col("drift_severity") == "serious", F.lit(S.RETRAIN_REASON)).alias("trigger_reason"),
+                    text.alias("text"))
