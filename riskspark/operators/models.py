@@ -108,7 +108,8 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5,
           keep: list[str] | None = None) -> DataFrame:
     """Probability of class 1 and the label ``score > threshold`` (C14)."""
     out = model.transform(df)
-    p1 = vector_to_array(F.col("probability"))[1]
+    # a model trained on one class only has a one-element probability vector
+    p1 = F.coalesce(F.try_element_at(vector_to_array(F.col("probability")), F.lit(2)), F.lit(0.0))
     cols = [F.col(c) for c in (keep or [])]
     return out.select(*cols, p1.alias("score"),
                       (p1 > threshold).cast("int").alias("predicted_label"))

@@ -36,27 +36,31 @@ def _in_range(c: str, lo, hi) -> Column:
     return (F.col(c) >= lo) & (F.col(c) <= hi)
 
 
-# Fixed rule sets of the reference (raw and engineered frames).
-RAW_RULES = [
-    Rule("transaction_amount", "greater_than(0)", F.col("transaction_amount") > 0, cast="double"),
-    Rule("transaction_time", "dtype('str')", None, cast="string"),
-    Rule("device_type", f"isin({S.DEVICE_TYPES})", F.col("device_type").isin(S.DEVICE_TYPES),
-         cast="string"),
-    Rule("is_fraud", "isin([0, 1])", F.col("is_fraud").isin(S.LABEL_VALUES), required=False,
-         cast="int"),
-]
-
-ENGINEERED_RULES = [
-    Rule("log_transaction_amount", "greater_than_or_equal_to(0)",
-         F.col("log_transaction_amount") >= 0, cast="double"),
-    Rule("transaction_year", "dtype('int64')", None, cast="int"),
-    Rule("transaction_month", "in_range(1, 12)", _in_range("transaction_month", 1, 12), cast="int"),
-    Rule("transaction_day", "in_range(1, 31)", _in_range("transaction_day", 1, 31), cast="int"),
-    Rule("transaction_hour", "in_range(0, 23)", _in_range("transaction_hour", 0, 23), cast="int"),
-    Rule("transaction_day_of_week", "in_range(0, 6)", _in_range("transaction_day_of_week", 0, 6),
-         cast="int"),
-    Rule("amount_by_device", "dtype('float64')", None, cast="double"),
-]
+# Fixed rule sets of the reference (raw and engineered frames). Built on call:
+# column expressions need an active session.
+def raw_rules() -> list[Rule]:
+    return [
+        Rule("transaction_amount", "greater_than(0)", F.col("transaction_amount") > 0, cast="double"),
+        Rule("transaction_time", "dtype('str')", None, cast="string"),
+        Rule("device_type", f"isin({S.DEVICE_TYPES})", F.col("device_type").isin(S.DEVICE_TYPES),
+             cast="string"),
+        Rule("is_fraud", "isin([0, 1])", F.col("is_fraud").isin(S.LABEL_VALUES), required=False,
+             cast="int"),
+    ]
+
+
+def engineered_rules() -> list[Rule]:
+    return [
+        Rule("log_transaction_amount", "greater_than_or_equal_to(0)",
+             F.col("log_transaction_amount") >= 0, cast="double"),
+        Rule("transaction_year", "dtype('int64')", None, cast="int"),
+        Rule("transaction_month", "in_range(1, 12)", _in_range("transaction_month", 1, 12), cast="int"),
+        Rule("transaction_day", "in_range(1, 31)", _in_range("transaction_day", 1, 31), cast="int"),
+        Rule("transaction_hour", "in_range(0, 23)", _in_range("transaction_hour", 0, 23), cast="int"),
+        Rule("transaction_day_of_week", "in_range(0, 6)", _in_range("transaction_day_of_week", 0, 6),
+             cast="int"),
+        Rule("amount_by_device", "dtype('float64')", None, cast="double"),
+    ]
 
 
 def missing_columns(df: DataFrame, rules: list[Rule]) -> list[str]:
@@ -122,9 +126,9 @@ def validate(df: DataFrame, rules: list[Rule], row_key: str | None = None,
 def validate_raw(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise SchemaValidationError("empty frame: nothing to validate")
-    return validate(df, RAW_RULES, "transaction_id" if "transaction_id" in df.columns else None)
+    return validate(df, raw_rules(), "transaction_id" if "transaction_id" in df.columns else None)
 
 
 def validate_engineered(df: DataFrame) -> DataFrame:
-    return validate(df, ENGINEERED_RULES,
+    return validate(df, engineered_rules(),
                     "transaction_id" if "transaction_id" in df.columns else None)

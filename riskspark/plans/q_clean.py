@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskspark import schemas as S
 from riskspark.operators import clean as CL
 from riskspark.operators.features import ENGINEERED, engineer
-from riskspark.operators.validate import ENGINEERED_RULES, RAW_RULES, failure_cases
+from riskspark.operators.validate import engineered_rules, failure_cases, raw_rules
 from riskspark.plans import inject as I
 from riskspark.plans import sql as Q
 from riskspark.plans.catalog import query
@@ -180,7 +180,7 @@ FROM b WHERE is_fraud IS NOT NULL AND is_fraud NOT IN (0, 1)"""
 @query("failure_cases", sql=_failure_sql())
 def failure_case_table(spark, sf_dir):
     b = I.with_bad_values(Workspace(spark, sf_dir).transactions())
-    return failure_cases(b, RAW_RULES, "transaction_id")
+    return failure_cases(b, raw_rules(), "transaction_id")
 
 
 @query("engineered_failures", sql=Q.with_(Q.EV, Q.TX) + f"""
@@ -191,7 +191,7 @@ def engineered_failures(spark, sf_dir):
     """V2: the engineered rules over features whose hour is shifted by 20."""
     f = engineer(Workspace(spark, sf_dir).transactions())
     f = f.withColumn("transaction_hour", F.col("transaction_hour") + 20)
-    return failure_cases(f, ENGINEERED_RULES, "transaction_id")
+    return failure_cases(f, engineered_rules(), "transaction_id")
 
 
 # ---------------------------------------------------------------------------
