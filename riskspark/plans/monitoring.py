@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskspark import schemas as S
 from riskspark.operators import drift as D
@@ -41,7 +42,7 @@ def score_for_drift(ref: DataFrame, cur: DataFrame, registry: Registry | None,
         return ref, cur
     name, version = prod
     row = registry.versions().filter(
-        (registry.versions().model_name == name) & (registry.versions().model_version == version)).first()
+        (F.col("model_name") == name) & (F.col("model_version") == version)).first()
     if row is None or not row["path"]:
         return ref, cur
     model = PipelineModel.load(row["path"])
