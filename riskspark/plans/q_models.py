@@ -116,8 +116,11 @@ LR_FEATURES = ["transaction_amount", "previous_transactions_count", "log_transac
                "transaction_year", "transaction_month", "transaction_day", "transaction_hour",
                "transaction_day_of_week", "amount_by_device", "device_type_desktop",
                "device_type_mobile", "device_type_pos_terminal", "device_type_tablet"]
-# Fixed example weights (a stand-in for fitted coefficients).
-LR_WEIGHTS = [0.004, -0.01, 0.35, 0.0, 0.0, -0.02, 0.03, 0.05, 0.002, -0.4, 0.6, 0.1, -0.2]
+# Fixed example weights and background (a stand-in for fitted coefficients and
+# the training mean). Chosen so that every finite-decimal contribution is exact
+# to 4 places: rounding then never meets a half-way case, in any engine.
+LR_WEIGHTS = [0.01, -0.02, 0.35, 0.0, 0.0, -0.02, 0.03, 0.05, 0.01, -0.4, 0.6, 0.1, -0.2]
+LR_BACKGROUND = [150.0, 30.0, 4.5, 2024.0, 1.0, 15.5, 11.5, 3.0, 40.0, 0.2, 0.3, 0.2, 0.3]
 
 
 def _lr_frame(spark, sf_dir):
@@ -125,21 +128,19 @@ def _lr_frame(spark, sf_dir):
     dev = [F.when(F.col("device_type") == d, 1.0).otherwise(0.0).alias(f"device_type_{d}")
            for d in ("desktop", "mobile", "pos_terminal", "tablet")]
     f = f.select("transaction_id", *[F.col(c).cast("double").alias(c) for c in LR_FEATURES[:9]], *dev)
-    means = f.agg(*[F.avg(c).alias(c) for c in LR_FEATURES]).first()
     x = F.array(*[F.col(c) for c in LR_FEATURES])
-    return f.select("transaction_id", linear_contributions(x, LR_WEIGHTS, [means[c] for c in LR_FEATURES])
-                    .alias("contrib"))
+    return f.select("transaction_id", linear_contributions(x, LR_WEIGHTS, LR_BACKGROUND).alias("contrib"))
 
 
 def _lr_sql_long() -> str:
-    dev = ", ".join(f"CASE WHEN device_type = '{d}' THEN 1.0 ELSE 0.0 END AS device_type_{d}"
+    dev = ", ".join(f"CAST(CASE WHEN device_type = '{d}' THEN 1 ELSE 0 END AS DOUBLE) AS device_type_{d}"
                     for d in ("desktop", "mobile", "pos_terminal", "tablet"))
     cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in LR_FEATURES[:9])
     x = f"x AS (SELECT transaction_id, {cols}, {dev} FROM (SELECT *, {Q.FEATURES} FROM tx))"
-    means = "mu AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in LR_FEATURES) + " FROM x)"
-    parts = [f"SELECT transaction_id, {i} AS i, '{c}' AS feature, {w!r} * ({c} - m_{c}) AS v FROM x, mu"
-             for i, (c, w) in enumerate(zip(LR_FEATURES, LR_WEIGHTS))]
-    return [x, means, "l AS (" + " UNION ALL ".join(parts) + ")"]
+    parts = [f"SELECT transaction_id, {i} AS i, '{c}' AS feature, "
+             f"CAST({w!r} AS DOUBLE) * ({c} - CAST({m!r} AS DOUBLE)) AS v FROM x"
+             for i, (c, w, m) in enumerate(zip(LR_FEATURES, LR_WEIGHTS, LR_BACKGROUND))]
+    return [x, "l AS (" + " UNION ALL ".join(parts) + ")"]
 
 
 @query("linear_reasons", sql=Q.with_(Q.EV, Q.TX, *_lr_sql_long()) + """
@@ -154,11 +155,11 @@ def linear_reasons(spark, sf_dir):
 
 
 @query("shap_importance", sql=Q.with_(Q.EV, Q.TX, *_lr_sql_long()) + """
-SELECT 'fixed_linear' AS model, feature, round(avg(abs(v)), 6) AS shap_importance
+SELECT 'fixed_linear' AS model, feature, round(avg(abs(v)), 4) AS shap_importance
 FROM l GROUP BY feature
 QUALIFY row_number() OVER (ORDER BY avg(abs(v)) DESC, feature) <= 5""")
 def shap_importance(spark, sf_dir):
     c = _lr_frame(spark, sf_dir)
     g = global_importance(c, LR_FEATURES, "fixed_linear")
     top = top_per_model(g, "shap_importance")
-    return top.select("model", "feature", F.round("shap_importance", 6).alias("shap_importance"))
+    return top.select("model", "feature", F.round("shap_importance", 4).alias("shap_importance"))
