@@ -160,7 +160,9 @@ class Workspace:
         df = transactions_from_events(self.events)
         if not materialize:
             return df
-        path = shared_path(self.spark, "riskspark_tables", self._fingerprint(), "transactions")
+        root = self.spark.conf.get("riskspark.tables.root", None)
+        path = (f"{root.rstrip('/')}/{self._fingerprint()}/transactions" if root else
+                shared_path(self.spark, "riskspark_tables", self._fingerprint(), "transactions"))
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         return write_once(df.repartitionByRange(n, "transaction_time", "transaction_id"),
                           path, sort_within=["transaction_time", "transaction_id"])
