@@ -163,3 +163,29 @@ def shap_importance(spark, sf_dir):
     g = global_importance(c, LR_FEATURES, "fixed_linear")
     top = top_per_model(g, "shap_importance")
     return top.select("model", "feature", F.round("shap_importance", 4).alias("shap_importance"))
+
+
+# ---------------------------------------------------------------------------
+# Tree contributions
+# ---------------------------------------------------------------------------
+def _tree_contrib(spark, sf_dir):
+    from riskspark.operators.treeshap import tree_contributions
+    f, prep, names = prepared(spark, sf_dir)
+    m = fit("XGBoost", prep, f.filter(F.col("split") == "train"))
+    test = m.transform(f.filter(F.col("split") == "test"))
+    return tree_contributions(test, m.stages[-1]), names
+
+
+@query("tree_reasons")
+def tree_reasons(spark, sf_dir):
+    """M19 + M20: TreeSHAP top-10 reasons per test row of the boosted trees."""
+    c, names = _tree_contrib(spark, sf_dir)
+    expl = c.select("transaction_id", top_reasons(F.col("contrib"), names).alias("top_reasons"))
+    return reasons_long(expl)
+
+
+@query("tree_importance")
+def tree_importance(spark, sf_dir):
+    """M21 for trees: mean |TreeSHAP| per feature, top 5."""
+    c, names = _tree_contrib(spark, sf_dir)
+    return top_per_model(global_importance(c, names, "XGBoost"), "shap_importance")
