@@ -25,13 +25,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PID = "_os_pid"
 _LC = "_os_lc"
+# The slice number is read with spark_partition_id() on the sliced rows: a
+# task's TaskContext.partitionId() is shifted when the stage sits under a
+# union, spark_partition_id() is the index within the sliced input itself.
+_SLICE = "_os_slice"
 
 
 @dataclass
@@ -121,9 +124,8 @@ def _scan_partition(batches, spec: _Spec):
 
 def _data_fn(spec: _Spec):
     def fn(batches):
-        pid = TaskContext.get().partitionId()
         for out in _scan_partition(batches, spec):
-            out[_PID] = np.int32(pid)
+            out[_PID] = out.pop(_SLICE).astype("int32")
             yield out
     return fn
 
@@ -142,10 +144,11 @@ def _edge_fn(spec: _Spec):
         return rec
 
     def fn(batches):
-        pid = TaskContext.get().partitionId()
+        pid = None
         first = None        # the slice's first run, once it has ended
         last = None         # the current run, up to the last row seen
         for out in _scan_partition(batches, spec):
+            pid = int(out[_SLICE].iloc[0])
             if first is None:
                 rid, _ = _run_ids(out, spec.keys, None)
                 head_key = tuple(_norm(out[k].iloc[0]) for k in spec.keys)
@@ -192,6 +195,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
     ranged = df.repartitionByRange(p, *sort_cols).sortWithinPartitions(*sort_cols)
     if not stable_input:
         ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.withColumn(_SLICE, F.spark_partition_id())
 
     base_fields = list(df.schema.fields)
     by_name = {f.name: f for f in base_fields}

@@ -44,3 +44,15 @@ def test_null_keys(spark):
                                  .otherwise(F.col("id") % 2).alias("k"),
                                  F.col("id").cast("double").alias("v"))
     _check(df, ["k"], ["id"], 4)
+
+
+def test_inside_a_union(spark):
+    # a union shifts task partition ids; slice ids must not depend on them
+    df = spark.range(800).select((F.col("id") * 37 % 800).alias("id"),
+                                 (F.col("id") % 9).cast("double").alias("v")).repartition(3)
+    r = ordered_scan(df, [], ["id"], count_as="rn", num_partitions=5)
+    other = spark.range(1000, 1500).select(F.col("id"), F.lit(None).cast("long").alias("rn")).repartition(7)
+    u = other.unionByName(r.select("id", "rn"))
+    got = u.filter(F.col("rn").isNotNull()).agg(F.countDistinct("rn"), F.min("rn"), F.max("rn")).first()
+    assert tuple(got) == (800, 1, 800)
+    assert u.groupBy().agg(F.sum((F.col("rn") == F.col("id") + 1).cast("int"))).first()[0] == 800
