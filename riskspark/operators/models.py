@@ -95,12 +95,19 @@ def with_label(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def fit(name: str, prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
-        factory: ModelFactory | None = None, n_rows: int | None = None, **params) -> PipelineModel:
-    """M7-M9: preprocessing + classifier as one ``PipelineModel``."""
+        factory: ModelFactory | None = None, n_rows: int | None = None,
+        balance: bool = False, key: str = "transaction_id", **params) -> PipelineModel:
+    """M7-M9: preprocessing + classifier as one ``PipelineModel``. With
+    ``balance`` the preprocessed training rows are oversampled first (M6),
+    as the reference does before fitting."""
     factory = factory or ModelFactory()
-    n = n_rows if n_rows is not None else train.count()
+    data = prep.transform(with_label(train, target))
+    if balance:
+        from riskspark.operators.resample import smote
+        data = smote(data.select(key, "features", "label"), key, "features", "label")
+    n = n_rows if n_rows is not None else data.count()
     est = factory.create_model(name, n, **params)
-    clf = est.fit(prep.transform(with_label(train, target)))
+    clf = est.fit(data)
     return PipelineModel(stages=[*prep.stages, clf])
 
 

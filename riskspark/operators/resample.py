@@ -101,33 +101,32 @@ def nearest_neighbours(points: DataFrame, key: str, x: str, k: int,
             xd = float(pdf["_xd"].iloc[r])
             for c, (lo, hi) in rng.items():
                 if c != cell and lo - rad <= xd <= hi + rad:
-                    rows_q.append((ids[r], c, rad, pdf["_x"].iloc[r]))
-        out = pd.DataFrame(rows_c, columns=["qid", "nid", "d"])
-        out["_kind"] = "cand"
-        out["_cell"] = -1
-        out["_rad"] = np.nan
-        out["_x"] = None
-        q = pd.DataFrame(rows_q, columns=["qid", "_cell", "_rad", "_x"])
-        q["_kind"] = "query"
-        q["nid"] = None
-        q["d"] = np.nan
-        yield pd.concat([out, q], ignore_index=True)[["_kind", "qid", "nid", "d", "_cell", "_rad", "_x"]]
+                    rows_q.append(("query", ids[r], None, math.nan, int(c), rad))
+        rows = [("cand", q, nid, d, -1, math.nan) for q, nid, d in rows_c] + rows_q
+        yield pd.DataFrame(rows, columns=["_kind", "qid", "nid", "d", "_cell", "_rad"])
 
     sch = T.StructType([T.StructField("_kind", T.StringType()), T.StructField("qid", T.StringType()),
                         T.StructField("nid", T.StringType()), T.StructField("d", T.DoubleType()),
-                        T.StructField("_cell", T.IntegerType()), T.StructField("_rad", T.DoubleType()),
-                        T.StructField("_x", T.ArrayType(T.DoubleType()))])
+                        T.StructField("_cell", T.IntegerType()), T.StructField("_rad", T.DoubleType())])
     # one pass per slice; its output is checkpointed (it feeds two branches)
     stage = sliced.mapInPandas(local, sch).checkpoint(eager=True)
     cand_local = stage.filter(F.col("_kind") == "cand").select("qid", "nid", "d")
-    queries = stage.filter(F.col("_kind") == "query").select("qid", "_cell", "_rad", "_x")
+    qx = sliced.select(F.col("_id").alias("_qid"), F.col("_x").alias("_qx"))
+    queries = stage.filter(F.col("_kind") == "query").select("qid", "_cell", "_rad") \
+        .join(qx, F.col("qid") == F.col("_qid")).drop("_qid")
+    pts = sliced.select(F.col("_cell").alias("_pc"), F.col("_id").alias("_pid"), F.col("_x").alias("_px"))
+
+    def typed(rows):
+        return pd.DataFrame({"qid": pd.Series([r[0] for r in rows], dtype=object),
+                             "nid": pd.Series([r[1] for r in rows], dtype=object),
+                             "d": pd.Series([r[2] for r in rows], dtype="float64")})
 
     def remote(qpdf: pd.DataFrame, ppdf: pd.DataFrame) -> pd.DataFrame:
         if qpdf.empty or ppdf.empty:
-            return pd.DataFrame({"qid": [], "nid": [], "d": []})
-        qx = np.vstack([np.asarray(v, dtype=float) for v in qpdf["_x"]])
-        px = np.vstack([np.asarray(v, dtype=float) for v in ppdf["_x"]])
-        pid = ppdf["_id"].to_numpy()
+            return typed([])
+        qx = np.vstack([np.asarray(v, dtype=float) for v in qpdf["_qx"]])
+        px = np.vstack([np.asarray(v, dtype=float) for v in ppdf["_px"]])
+        pid = ppdf["_pid"].to_numpy()
         idx, dist = _topk_rows(qx, px, k)
         rows = []
         for r in range(len(qpdf)):
@@ -135,10 +134,9 @@ def nearest_neighbours(points: DataFrame, key: str, x: str, k: int,
             for j in range(idx.shape[1]):
                 if dist[r, j] <= rad:
                     rows.append((qpdf["qid"].iloc[r], pid[idx[r, j]], float(dist[r, j])))
-        return pd.DataFrame(rows, columns=["qid", "nid", "d"])
+        return typed(rows)
 
-    cand_remote = queries.groupBy("_cell").cogroup(sliced.select("_cell", "_id", "_x").groupBy("_cell")) \
-        .applyInPandas(remote, _CAND)
+    cand_remote = queries.groupBy("_cell").cogroup(pts.groupBy("_pc")).applyInPandas(remote, _CAND)
     cands = cand_local.unionByName(cand_remote)
     best = cands.groupBy("qid").agg(
         F.slice(F.array_sort(F.collect_list(F.struct("d", "nid"))), 1, k).alias("b"))
@@ -163,7 +161,9 @@ def smote(train: DataFrame, key: str, features: str = "features", label: str = S
     mino = train.filter(F.col(label) == minority).select(
         F.col(key).cast("string").alias("_id"), vector_to_array(F.col(features)).alias("_x"))
     nn = nearest_neighbours(mino, "_id", "_x", kk, cell_rows)
-    ranked = ordered_scan(mino.join(nn, "_id"), [], ["_id"], count_as="_rank")
+    # only the ids go through the ordered scan; vectors join back by id
+    ranks = ordered_scan(mino.select("_id"), [], ["_id"], count_as="_rank")
+    ranked = ranks.join(mino, "_id").join(nn, "_id")
     spark = train.sparkSession
     gen = spark.range(n_new).select(
         F.col("id").alias("_s"),

@@ -189,3 +189,15 @@ def tree_importance(spark, sf_dir):
     """M21 for trees: mean |TreeSHAP| per feature, top 5."""
     c, names = _tree_contrib(spark, sf_dir)
     return top_per_model(global_importance(c, names, "XGBoost"), "shap_importance")
+
+
+@query("smote")
+def q_smote(spark, sf_dir):
+    """M6: the preprocessed training split balanced with exact-neighbour SMOTE;
+    rows per class and origin."""
+    from riskspark.operators.models import with_label
+    from riskspark.operators.resample import smote
+    f, prep, _ = prepared(spark, sf_dir)
+    data = prep.transform(with_label(f.filter(F.col("split") == "train")))
+    bal = smote(data.select("transaction_id", "features", "label"), "transaction_id", "features", "label")
+    return bal.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))

@@ -41,6 +41,8 @@ class TrainingConfig:
     require_improvement: bool = False
     validate: bool = True
     threshold: float = 0.5
+    balance: bool = True            # M6 on the preprocessed training rows
+    key: str = "transaction_id"
 
     def __post_init__(self):
         if not isinstance(self.query, str) or not self.query.strip():
@@ -85,7 +87,7 @@ def run_training(spark: SparkSession, raw: DataFrame, cfg: TrainingConfig, root:
     n_train = train.count()
     metrics_rows, versions = [], {}
     for name in cfg.models:
-        model = fit(name, prep, train, cfg.target, factory, n_rows=n_train)
+        model = fit(name, prep, train, cfg.target, factory, balance=cfg.balance, key=cfg.key)
         run_id = reg.log_run(params={"model": name, "n_train": n_train}, tags={"kind": "train"})
         if factory.supports_feature_importance(name):
             sinks.export_csv(importance(model, names, name), f"{root}/artifacts/importance/{name}")
