@@ -152,9 +152,13 @@ def _with_totals(counts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Statistics per column (Spark)
 # ---------------------------------------------------------------------------
-def numeric_stats(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """Per numeric column: ks_d, wasserstein (raw), ref_std, N_ref, N_cur, nunique_ref."""
-    counts = value_counts(ref, cur, cols, "double")
+def numeric_stats(ref: DataFrame, cur: DataFrame, cols: list[str],
+                  counts: DataFrame | None = None) -> DataFrame:
+    """Per numeric column: ks_d, wasserstein (raw), ref_std, tot_ref, tot_cur,
+    nunique_ref — all from the reduced ``(column, value, n_ref, n_cur)`` table
+    (no second pass over the rows)."""
+    counts = counts if counts is not None else value_counts(ref, cur, cols, "double")
+    counts = counts.filter(F.col("column").isin(cols))
     run = ordered_scan(counts, ["column"], ["value"],
                        sums={"_cr": "n_ref", "_cc": "n_cur"}, lags={"_pv": "value"})
     j = _with_totals(run)
@@ -168,18 +172,32 @@ def numeric_stats(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
         F.max(F.abs(fr - fc)).alias("ks_d"),
         F.sum(F.abs(fr_prev - fc_prev) * gap).alias("wasserstein"),
         F.first("tot_ref").alias("tot_ref"), F.first("tot_cur").alias("tot_cur"),
-        F.first("nunique_ref").alias("nunique_ref"),
-        (F.sum(F.col("n_ref") * F.col("value")) / F.first("tot_ref")).alias("_mean"))
-    std = ref.select(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in cols]) \
-        .unpivot([], cols, "column", "ref_std")
-    return stats.join(std, "column").drop("_mean")
+        F.first("nunique_ref").alias("nunique_ref"))
+    return stats.join(ref_std(counts), "column", "left")
+
+
+def ref_std(counts: DataFrame) -> DataFrame:
+    """Population std of the reference side per column, two passes over the
+    counts table (mean, then squared deviations)."""
+    m = counts.groupBy("column").agg(
+        F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("_m"))
+    dev = counts.join(m, "column").groupBy("column").agg(
+        F.try_divide(F.sum(F.col("n_ref") * (F.col("value") - F.col("_m")) ** 2),
+                     F.sum("n_ref")).alias("_v"))
+    return dev.select("column", F.sqrt("_v").alias("ref_std"))
+
+
+def nunique_ref(counts: DataFrame) -> DataFrame:
+    """Distinct reference values per column."""
+    return counts.groupBy("column").agg(F.sum((F.col("n_ref") > 0).cast("long")).alias("nunique_ref"))
 
 
 def categorical_stats(ref: DataFrame, cur: DataFrame, cols: list[str],
-                      as_type: str = "string") -> DataFrame:
+                      as_type: str = "string", counts: DataFrame | None = None) -> DataFrame:
     """Per categorical column: js (natural log), chi2 statistic and dof, the
-    two-proportion z (2 values), N_ref, N_cur, nunique_ref, n_values."""
-    counts = _with_totals(value_counts(ref, cur, cols, as_type))
+    two-proportion z (2 values), tot_ref, tot_cur, nunique_ref, n_values."""
+    counts = counts if counts is not None else value_counts(ref, cur, cols, as_type)
+    counts = _with_totals(counts.filter(F.col("column").isin(cols)))
     p = F.col("n_ref") / F.col("tot_ref")
     q = F.col("n_cur") / F.col("tot_cur")
     m = (p + q) / 2
@@ -251,14 +269,23 @@ def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str] | None = Non
     spark: SparkSession = ref.sparkSession
     num, cat = drift_columns(ref, cur, include_ids, columns)
     rows = []
-    nstats = {r["column"]: r for r in numeric_stats(ref, cur, num).collect()} if num else {}
-    # numeric columns with few values are compared as categories too
-    few = [c for c, r in nstats.items() if r["nunique_ref"] <= S.DRIFT_CATEGORY_MAX_VALUES]
-    cstats = {}
+    nstats, cstats = {}, {}
+    if num:
+        # one reduced table serves the numeric tests, the std and the
+        # few-valued columns compared as categories
+        ncounts = value_counts(ref, cur, num, "double").checkpoint(eager=True)
+        nun = {r["column"]: r["nunique_ref"] for r in nunique_ref(ncounts).collect()}
+        few = [c for c in num if nun.get(c, 0) <= S.DRIFT_CATEGORY_MAX_VALUES]
+        many = [c for c in num if c not in few]
+        if many:
+            nstats = {r["column"]: r for r in numeric_stats(ref, cur, many, ncounts).collect()}
+        if few:
+            cstats.update({r["column"]: r for r in
+                           categorical_stats(ref, cur, few, "double", ncounts).collect()})
+    else:
+        few = []
     if cat:
         cstats.update({r["column"]: r for r in categorical_stats(ref, cur, cat).collect()})
-    if few:
-        cstats.update({r["column"]: r for r in categorical_stats(ref, cur, few, "double").collect()})
     for c in num + cat:
         kind = "num" if c in nstats and c not in few else "cat"
         st = nstats[c] if kind == "num" else cstats[c]

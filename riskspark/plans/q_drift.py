@@ -91,11 +91,12 @@ def drift_wasserstein(spark, sf_dir):
 
 def _cat_stats(spark, sf_dir):
     ref, cur = frames(spark, sf_dir)
-    few = [r["column"] for r in D.numeric_stats(ref, cur, NUM_COLS)
-           .filter(F.col("nunique_ref") <= S.DRIFT_CATEGORY_MAX_VALUES).select("column").collect()]
+    ncounts = D.value_counts(ref, cur, NUM_COLS, "double").checkpoint(eager=True)
+    few = [r["column"] for r in D.nunique_ref(ncounts)
+           .filter(F.col("nunique_ref") <= S.DRIFT_CATEGORY_MAX_VALUES).collect()]
     s = D.categorical_stats(ref, cur, CAT_COLS)
     if few:
-        s = s.unionByName(D.categorical_stats(ref, cur, few, "double"))
+        s = s.unionByName(D.categorical_stats(ref, cur, few, "double", ncounts))
     return s
 
 
