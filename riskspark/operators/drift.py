@@ -141,6 +141,35 @@ def value_counts(ref: DataFrame, cur: DataFrame, cols: list[str], as_type: str)
                  F.sum(1 - F.col("_ref")).cast("long").alias("n_cur")))
 
 
+def value_counts_both(ref: DataFrame, cur: DataFrame, num: list[str],
+                      cat: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Numeric and categorical value counts from ONE pass over both frames
+    (``stack`` to ``(column, number, text)``, one grouped aggregate), kept
+    as a checkpoint and split by kind."""
+    cols = num + cat
+    tagged = ref.select(F.lit(1).alias("_ref"), *cols).unionByName(
+        cur.select(F.lit(0).alias("_ref"), *cols))
+    parts = []
+    for c in cols:
+        q = "`" + c + "`"
+        if c in num:
+            parts += [f"'{c}'", f"CAST({q} AS DOUBLE)", "CAST(NULL AS STRING)"]
+        else:
+            parts += [f"'{c}'", "CAST(NULL AS DOUBLE)", f"CAST({q} AS STRING)"]
+    long = tagged.select("_ref", F.expr(f"stack({len(cols)}, {', '.join(parts)})")
+                         .alias("column", "vnum", "vstr"))
+    counts = (long.filter(F.col("vnum").isNotNull() | F.col("vstr").isNotNull())
+              .groupBy("column", "vnum", "vstr")
+              .agg(F.sum("_ref").cast("long").alias("n_ref"),
+                   F.sum(1 - F.col("_ref")).cast("long").alias("n_cur"))
+              .checkpoint(eager=True))
+    ncounts = counts.filter(F.col("column").isin(num)).select(
+        "column", F.col("vnum").alias("value"), "n_ref", "n_cur")
+    scounts = counts.filter(F.col("column").isin(cat)).select(
+        "column", F.col("vstr").alias("value"), "n_ref", "n_cur")
+    return ncounts, scounts
+
+
 def _with_totals(counts: DataFrame) -> DataFrame:
     tot = counts.groupBy("column").agg(
         F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
@@ -270,10 +299,12 @@ def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str] | None = Non
     num, cat = drift_columns(ref, cur, include_ids, columns)
     rows = []
     nstats, cstats = {}, {}
+    if not num and not cat:
+        return spark.createDataFrame([], DRIFT_SCHEMA)
+    # one pass over the rows: the reduced table serves the numeric tests, the
+    # reference std, the few-valued columns and the categorical tests
+    ncounts, scounts = value_counts_both(ref, cur, num, cat)
     if num:
-        # one reduced table serves the numeric tests, the std and the
-        # few-valued columns compared as categories
-        ncounts = value_counts(ref, cur, num, "double").checkpoint(eager=True)
         nun = {r["column"]: r["nunique_ref"] for r in nunique_ref(ncounts).collect()}
         few = [c for c in num if nun.get(c, 0) <= S.DRIFT_CATEGORY_MAX_VALUES]
         many = [c for c in num if c not in few]
@@ -285,7 +316,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str] | None = Non
     else:
         few = []
     if cat:
-        cstats.update({r["column"]: r for r in categorical_stats(ref, cur, cat).collect()})
+        cstats.update({r["column"]: r for r in categorical_stats(ref, cur, cat, counts=scounts).collect()})
     for c in num + cat:
         kind = "num" if c in nstats and c not in few else "cat"
         st = nstats[c] if kind == "num" else cstats[c]
