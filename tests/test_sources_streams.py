@@ -136,3 +136,34 @@ def test_feedback_join_stream(spark, tmp):
     out = J.run_to_memory(J.feedback_join_stream(p, f), "t5", f"{tmp}/ck5")
     from riskspark.operators.join import feedback_join
     assert out.count() == feedback_join(ws.predictions(), ws.feedback(), ordered=False).count()
+
+
+def test_sessions_with_a_hot_customer(spark):
+    """One customer holds about a third of the rows; sessions still equal a
+    plain gaps-and-islands computation."""
+    import datetime as dt
+    import random as rnd_mod
+    rnd = rnd_mod.Random(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        cust = "hot" if i % 3 == 0 else f"c{rnd.randint(0, 50)}"
+        rows.append((f"t{i}", cust, base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 20))))
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, transaction_time timestamp_ntz")
+    got = sorted((r["customer_id"], r["session_start"], r["n"]) for r in
+                 sessions(df, "customer_id", "transaction_time", 30, tie="transaction_id").collect())
+    exp = []
+    by = {}
+    for tid, c, t in rows:
+        by.setdefault(c, []).append((t, tid))
+    for c, evs in by.items():
+        evs.sort()
+        start, prev, n = evs[0][0], evs[0][0], 1
+        for t, _ in evs[1:]:
+            if t - prev > dt.timedelta(minutes=30):
+                exp.append((c, start, n))
+                start, n = t, 0
+            n += 1
+            prev = t
+        exp.append((c, start, n))
+    assert got == sorted(exp)
