@@ -209,3 +209,21 @@ def last_day(spark, sf_dir):
     since = F.lit(AS_OF).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")
     return tx.filter(F.col("transaction_time") >= since).select(
         "transaction_id", "transaction_time", _r("transaction_amount"), "device_type")
+
+
+# ---------------------------------------------------------------------------
+# since_start: P4 + S4, a bound parameter in SQL over the stored table
+# ---------------------------------------------------------------------------
+START = "2024-01-20 00:00:00"
+
+
+@query("since_start", sql=Q.with_(Q.EV, Q.TX) + f"""
+SELECT device_type, count(*) AS n, round(sum(transaction_amount), 6) AS total_amount
+FROM tx WHERE transaction_time > TIMESTAMP '{START}' GROUP BY device_type""")
+def since_start(spark, sf_dir):
+    from riskspark.sources.readers import read_sql
+    Workspace(spark, sf_dir).transactions().createOrReplaceTempView("transactions")
+    return read_sql(spark, """
+        SELECT device_type, count(*) AS n, round(sum(transaction_amount), 6) AS total_amount
+        FROM transactions WHERE transaction_time > CAST(:start AS TIMESTAMP_NTZ)
+        GROUP BY device_type""", params={"start": START})

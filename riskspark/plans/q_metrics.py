@@ -137,3 +137,12 @@ def q_evaluation_by_model(spark, sf_dir):
     sc = scored_events(Workspace(spark, sf_dir).events, RULE_SCORERS)
     e = M.evaluation(sc, "label", "score", "pred", ["model"])
     return e.select("model", *[_r(c) for c in ("precision", "recall", "f1", "roc_auc", "pr_auc")])
+
+
+@query("feedback_join_narrow", sql=Q.with_(Q.EV, Q.PRED, Q.FB) + """
+SELECT p.transaction_id, p.predicted_label, f.actual_label, f.confirmed_at
+FROM pred p INNER JOIN fb f ON p.transaction_id = f.transaction_id""")
+def q_feedback_join_narrow(spark, sf_dir):
+    """The on-demand monitor's narrower projection of the same join."""
+    ws = Workspace(spark, sf_dir)
+    return feedback_join(ws.predictions(), ws.feedback(), narrow=True)
