@@ -165,6 +165,25 @@ def _edge_fn(spec: _Spec):
     return fn
 
 
+SLICE_BYTES = 256 << 20
+MIN_SLICES = 8
+
+
+def slice_count(df: DataFrame) -> int:
+    """Slices for ``df``: about ``riskspark.slice.bytes`` (256 MB) each by the
+    optimizer's size estimate, at most ``spark.sql.shuffle.partitions`` and at
+    least 8 (no action is run to decide)."""
+    spark = df.sparkSession
+    default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = int(spark.conf.get("riskspark.slice.bytes", str(SLICE_BYTES)))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate: use the configured count
+        return default
+    need = -(-size // max(target, 1))
+    return max(min(MIN_SLICES, default), min(default, need))
+
+
 def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
                  count_as: str | None = None,
                  sums: dict[str, str] | None = None,
@@ -187,7 +206,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
     sums = dict(sums or {})
     lags = dict(lags or {})
     spec = _Spec(list(keys), sums, lags)
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    p = num_partitions or slice_count(df)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_cols
     # An explicit partition count keeps the exchange out of AQE coalescing, so
