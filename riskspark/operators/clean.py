@@ -121,6 +121,10 @@ def clean(df: DataFrame, amount_col: str = "transaction_amount", validate: bool
         validate_raw(df)
     out = drop_all_null(dedup(df))
     out = normalize_names(out)
+    # The null-pattern pass, the quantile pass and the result all read the
+    # deduplicated rows: write them once to the shared checkpoint folder
+    # rather than repeat the full-width distinct shuffle three times.
+    out = out.checkpoint(eager=True)
     out, dropped = drop_sparse_nulls(out, null_limit)
     bounds = clip_bounds(out, amount_col.lower().strip())
     out = apply_clip(out, bounds, amount_col.lower().strip())

@@ -57,6 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            # Executors on other machines cannot see a folder on this one.
+            raise RuntimeError("spark.checkpoint.dir is unset; name a shared folder for the cluster")
         conf = tempfile.mkdtemp(prefix="riskspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
