@@ -55,3 +55,13 @@ def test_dedup_is_combined_map_side(spark):
     plan = _executed(Q["dedup_clean"](spark, SF_SMALL))
     aggs = [ln for ln in plan.splitlines() if "HashAggregate" in ln]
     assert len(aggs) >= 2                        # partial + final around the shuffle
+
+
+def test_clean_reads_the_deduplicated_rows_from_the_checkpoint(spark):
+    plan = _executed(Q["fraud_by_device_weekday"](spark, SF_SMALL), "simple")
+    # the distinct ran once, before the checkpoint; the result only groups by
+    # device and weekday over the written rows, with the bounds as literals
+    assert "Scan ExistingRDD" in plan
+    aggs = [ln for ln in plan.splitlines() if "HashAggregate" in ln]
+    assert len(aggs) == 2 and all("device_type" in ln for ln in aggs)
+    assert "least(greatest(transaction_amount" in plan
