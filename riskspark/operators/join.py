@@ -34,10 +34,8 @@ def performance(matched: DataFrame, label: str = "actual_label",
                 pred: str = "predicted_label") -> DataFrame:
     """Precision, recall, F1 and the low-recall flag from matched rows.
     One row; ``available`` is false when nothing matched."""
-    m = prf(matched, label, pred)
-    n = matched.agg(F.count(F.lit(1)).alias("n_matched"))
-    k = F.lit(1)
-    j = m.withColumn("_k", k).join(n.withColumn("_k", k), "_k").drop("_k")
+    # counts and the number of matched rows in one aggregate: one pass over the join
+    j = prf(matched, label, pred, count_as="n_matched")
     recall = F.coalesce(F.col("recall"), F.lit(S.DEFAULT_RECALL))
     return j.select(
         F.col("n_matched"),

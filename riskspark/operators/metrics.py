@@ -21,25 +21,30 @@ def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
 
 
-def confusion(df: DataFrame, label: str, pred: str, groups: list[str] | None = None) -> DataFrame:
-    """TP, FP, FN, TN per group (conditional sums, one pass)."""
+def confusion(df: DataFrame, label: str, pred: str, groups: list[str] | None = None,
+              count_as: str | None = None) -> DataFrame:
+    """TP, FP, FN, TN per group (conditional sums, one pass); ``count_as``
+    adds the row count (rows with any label) to the same aggregate."""
     y, p = F.col(label), F.col(pred)
+    extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     return df.groupBy(*(groups or [])).agg(
         F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),
         F.sum(((y == 0) & (p == 1)).cast("long")).alias("fp"),
         F.sum(((y == 1) & (p == 0)).cast("long")).alias("fn"),
         F.sum(((y == 0) & (p == 0)).cast("long")).alias("tn"),
+        *extra,
     )
 
 
-def prf(df: DataFrame, label: str, pred: str, groups: list[str] | None = None) -> DataFrame:
+def prf(df: DataFrame, label: str, pred: str, groups: list[str] | None = None,
+        count_as: str | None = None) -> DataFrame:
     """A4: precision, recall and F1 of class 1."""
-    c = confusion(df, label, pred, groups)
+    c = confusion(df, label, pred, groups, count_as)
     prec = _safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
     f1 = _safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
     return c.select(*(groups or []), prec.alias("precision"), rec.alias("recall"),
-                    f1.alias("f1"), "tp", "fp", "fn", "tn")
+                    f1.alias("f1"), "tp", "fp", "fn", "tn", *([count_as] if count_as else []))
 
 
 def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:

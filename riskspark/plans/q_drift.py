@@ -147,6 +147,23 @@ def dataset_drift(spark, sf_dir):
                     _r("share_of_drifted_columns"), "dataset_drift")
 
 
+def _severity_row(spark, sf_dir):
+    """One row: drift share and flags, the feedback performance (one pass
+    over the prediction-feedback join) and the severity."""
+    ref, cur = frames(spark, sf_dir)
+    per = D.column_drift(ref, cur, method="distance")
+    d = per.agg(
+        F.avg(F.col("drifted").cast("double")).alias("share"),
+        F.max(F.when(F.col("column") == S.TARGET, F.col("drifted"))).alias("target_drift"),
+        F.max(F.when(F.col("column") == S.PREDICTION_COLUMN, F.col("drifted"))).alias("prediction_drift"))
+    ws = Workspace(spark, sf_dir)
+    perf = performance(feedback_join(ws.predictions(), ws.feedback(), ordered=False))
+    j = d.withColumn("_k", F.lit(1)).join(perf.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    sev = D.severity_expr(F.col("share"), F.col("prediction_drift"), F.col("target_drift"),
+                          F.col("recall"))
+    return j.withColumn("drift_severity", sev)
+
+
 @query("severity", sql=Q.with_(*_BASE, Q.FB, _CDF, _WS, _STD, _CAT, _JS, _PER) + f""",
 d AS (SELECT avg(CASE WHEN statistic >= {S.DRIFT_DISTANCE_THRESHOLD} THEN 1.0 ELSE 0.0 END) AS share,
              bool_or(CASE WHEN "column" = 'is_fraud' THEN statistic >= {S.DRIFT_DISTANCE_THRESHOLD} END) AS target_drift,
@@ -167,20 +184,10 @@ SELECT round(share, 6) AS share_of_drifted_columns, target_drift, prediction_dri
          AS retraining_recommended
 FROM d, r""")
 def severity(spark, sf_dir):
-    ref, cur = frames(spark, sf_dir)
-    per = D.column_drift(ref, cur, method="distance")
-    d = per.agg(
-        F.avg(F.col("drifted").cast("double")).alias("share"),
-        F.max(F.when(F.col("column") == S.TARGET, F.col("drifted"))).alias("target_drift"),
-        F.max(F.when(F.col("column") == S.PREDICTION_COLUMN, F.col("drifted"))).alias("prediction_drift"))
-    ws = Workspace(spark, sf_dir)
-    perf = performance(feedback_join(ws.predictions(), ws.feedback(), ordered=False))
-    j = d.withColumn("_k", F.lit(1)).join(perf.select("recall").withColumn("_k", F.lit(1)), "_k")
-    sev = D.severity_expr(F.col("share"), F.col("prediction_drift"), F.col("target_drift"),
-                          F.col("recall"))
-    return j.select(F.round("share", 6).alias("share_of_drifted_columns"), "target_drift",
-                    "prediction_drift", F.round("recall", 6).alias("recall"),
-                    sev.alias("drift_severity"), (sev == "serious").alias("retraining_recommended"))
+    row = _severity_row(spark, sf_dir)
+    return row.select(F.round("share", 6).alias("share_of_drifted_columns"), "target_drift",
+                      "prediction_drift", F.round("recall", 6).alias("recall"), "drift_severity",
+                      (F.col("drift_severity") == "serious").alias("retraining_recommended"))
 
 
 # ---------------------------------------------------------------------------
@@ -215,10 +222,12 @@ FROM sev, perf"""
 def alert_row(spark, sf_dir):
     """D15/D16 from the severity row and the feedback performance."""
     from riskspark.operators.alerts import alert_text
-    from riskspark.plans.q_metrics import q_feedback_performance
-    sev = severity(spark, sf_dir)
-    perf = q_feedback_performance(spark, sf_dir)
-    j = sev.drop("recall").withColumn("_k", F.lit(1)).join(perf.withColumn("_k", F.lit(1)), "_k")
+    # the severity row already carries the performance: the join runs once
+    j = _severity_row(spark, sf_dir).select(
+        "drift_severity", F.round("share", 6).alias("share_of_drifted_columns"), "target_drift",
+        "prediction_drift", "available", _r("recall"), _r("precision"), _r("f1"),
+        "low_recall_detected",
+        (F.col("drift_severity") == "serious").alias("retraining_recommended"))
     trig = F.col("retraining_recommended")
     text = alert_text(F.col("drift_severity"), F.col("share_of_drifted_columns"), F.col("target_drift"),
                       F.col("prediction_drift"), F.col("available"), F.col("recall"), F.col("precision"),
