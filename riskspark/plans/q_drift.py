@@ -68,13 +68,21 @@ _STD = """sd AS (SELECT "column", stddev_pop(value) AS s FROM nl WHERE _ref = 1
 _BASE = [Q.EV, Q.TX, Q.PRED, _F, _NUML, _CATL, _NCNT, _SCNT, _NTOT, _STOT]
 
 
+def _num_stats(spark, sf_dir):
+    """KS and Wasserstein inputs from one checkpointed pass over the rows
+    (the running counts and the reference std both read the counts)."""
+    ref, cur = frames(spark, sf_dir)
+    ncounts, _ = D.value_counts_both(ref, cur, NUM_COLS, [])
+    return D.numeric_stats(ref, cur, NUM_COLS, ncounts) \
+        .filter(F.col("nunique_ref") > S.DRIFT_CATEGORY_MAX_VALUES)
+
+
 @query("drift_ks", sql=Q.with_(*_BASE, _CDF) + """
 SELECT "column", round(max(abs(fr - fc)), 6) AS ks_d,
        CAST(max(tot_ref) AS BIGINT) AS n_ref, CAST(max(tot_cur) AS BIGINT) AS n_cur
 FROM cdf JOIN nt USING ("column") WHERE nun > 5 GROUP BY 1""")
 def drift_ks(spark, sf_dir):
-    ref, cur = frames(spark, sf_dir)
-    s = D.numeric_stats(ref, cur, NUM_COLS).filter(F.col("nunique_ref") > S.DRIFT_CATEGORY_MAX_VALUES)
+    s = _num_stats(spark, sf_dir)
     return s.select("column", _r("ks_d"), F.col("tot_ref").cast("long").alias("n_ref"),
                     F.col("tot_cur").cast("long").alias("n_cur"))
 
@@ -83,18 +91,18 @@ def drift_ks(spark, sf_dir):
 SELECT "column", round(w / greatest(s, 0.001), 6) AS wasserstein_norm
 FROM ws JOIN sd USING ("column") JOIN nt USING ("column") WHERE nun > 5""")
 def drift_wasserstein(spark, sf_dir):
-    ref, cur = frames(spark, sf_dir)
-    s = D.numeric_stats(ref, cur, NUM_COLS).filter(F.col("nunique_ref") > S.DRIFT_CATEGORY_MAX_VALUES)
+    s = _num_stats(spark, sf_dir)
     norm = F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(S.WASSERSTEIN_STD_FLOOR))
     return s.select("column", F.round(norm, 6).alias("wasserstein_norm"))
 
 
 def _cat_stats(spark, sf_dir):
     ref, cur = frames(spark, sf_dir)
-    ncounts = D.value_counts(ref, cur, NUM_COLS, "double").checkpoint(eager=True)
+    # one pass over the rows for both kinds; the statistics read the counts
+    ncounts, scounts = D.value_counts_both(ref, cur, NUM_COLS, CAT_COLS)
     few = [r["column"] for r in D.nunique_ref(ncounts)
            .filter(F.col("nunique_ref") <= S.DRIFT_CATEGORY_MAX_VALUES).collect()]
-    s = D.categorical_stats(ref, cur, CAT_COLS)
+    s = D.categorical_stats(ref, cur, CAT_COLS, counts=scounts)
     if few:
         s = s.unionByName(D.categorical_stats(ref, cur, few, "double", ncounts))
     return s
