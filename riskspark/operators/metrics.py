@@ -21,25 +21,32 @@ def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
 
 
+def _counted(e: Column, weight: str | None) -> Column:
+    """A 0/1 condition as a count; on a reduced table each row stands for
+    ``weight`` rows (NULL conditions stay NULL, as on the raw rows)."""
+    return e.cast("long") * F.col(weight) if weight else e.cast("long")
+
+
 def confusion(df: DataFrame, label: str, pred: str, groups: list[str] | None = None,
-              count_as: str | None = None) -> DataFrame:
+              count_as: str | None = None, weight: str | None = None) -> DataFrame:
     """TP, FP, FN, TN per group (conditional sums, one pass); ``count_as``
     adds the row count (rows with any label) to the same aggregate."""
     y, p = F.col(label), F.col(pred)
-    extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    extra = [n.alias(count_as)] if count_as else []
     return df.groupBy(*(groups or [])).agg(
-        F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),
-        F.sum(((y == 0) & (p == 1)).cast("long")).alias("fp"),
-        F.sum(((y == 1) & (p == 0)).cast("long")).alias("fn"),
-        F.sum(((y == 0) & (p == 0)).cast("long")).alias("tn"),
+        F.sum(_counted((y == 1) & (p == 1), weight)).alias("tp"),
+        F.sum(_counted((y == 0) & (p == 1), weight)).alias("fp"),
+        F.sum(_counted((y == 1) & (p == 0), weight)).alias("fn"),
+        F.sum(_counted((y == 0) & (p == 0), weight)).alias("tn"),
         *extra,
     )
 
 
 def prf(df: DataFrame, label: str, pred: str, groups: list[str] | None = None,
-        count_as: str | None = None) -> DataFrame:
+        count_as: str | None = None, weight: str | None = None) -> DataFrame:
     """A4: precision, recall and F1 of class 1."""
-    c = confusion(df, label, pred, groups, count_as)
+    c = confusion(df, label, pred, groups, count_as, weight)
     prec = _safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
     f1 = _safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
@@ -76,18 +83,20 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return c.select(F.inline(rows))
 
 
-def score_counts(df: DataFrame, label: str, score: str, groups: list[str] | None = None) -> DataFrame:
+def score_counts(df: DataFrame, label: str, score: str, groups: list[str] | None = None,
+                 weight: str | None = None) -> DataFrame:
     """Positives and negatives per distinct score."""
     y = F.col(label)
     return df.groupBy(*(groups or []), F.col(score).cast("double").alias("_s")).agg(
-        F.sum((y == 1).cast("long")).alias("_pos"),
-        F.sum((y == 0).cast("long")).alias("_neg"))
+        F.sum(_counted(y == 1, weight)).alias("_pos"),
+        F.sum(_counted(y == 0, weight)).alias("_neg"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, groups: list[str] | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, groups: list[str] | None = None,
+            weight: str | None = None) -> DataFrame:
     """Mann-Whitney AUC, ties count one half. NULL when a class is absent."""
     g = list(groups or [])
-    sc = score_counts(df, label, score, g)
+    sc = score_counts(df, label, score, g, weight)
     run = ordered_scan(sc, g, ["_s"], sums={"_cneg": "_neg"})
     # negatives strictly below this score = running sum minus this score's own
     part = F.col("_pos") * ((F.col("_cneg") - F.col("_neg")) + 0.5 * F.col("_neg"))
@@ -98,19 +107,20 @@ def roc_auc(df: DataFrame, label: str, score: str, groups: list[str] | None = No
     return agg.select(*g, auc.alias("roc_auc"))
 
 
-def _desc_running(df: DataFrame, label: str, score: str, groups: list[str]) -> DataFrame:
-    sc = score_counts(df, label, score, groups)
+def _desc_running(df: DataFrame, label: str, score: str, groups: list[str],
+                  weight: str | None = None) -> DataFrame:
+    sc = score_counts(df, label, score, groups, weight)
     return ordered_scan(sc, groups, [F.col("_s").desc()], sums={"_tp": "_pos", "_fp": "_neg"})
 
 
 def average_precision(df: DataFrame, label: str, score: str,
-                      groups: list[str] | None = None) -> DataFrame:
+                      groups: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Σ (R_k − R_{k−1})·P_k over thresholds from high to low.
 
     ΔR at a threshold is its positives / P, so AP = Σ pos·precision / P.
     """
     g = list(groups or [])
-    run = _desc_running(df, label, score, g)
+    run = _desc_running(df, label, score, g, weight)
     prec = F.col("_tp") / (F.col("_tp") + F.col("_fp"))
     agg = run.groupBy(*g).agg(F.sum(F.col("_pos") * prec).alias("_w"), F.sum("_pos").alias("_p"))
     ap = F.when(F.col("_p") == 0, F.lit(0.0)).otherwise(F.col("_w") / F.col("_p"))
@@ -137,11 +147,20 @@ def pr_curve(df: DataFrame, label: str, score: str, groups: list[str] | None = N
 
 def evaluation(df: DataFrame, label: str, score: str, pred: str,
                groups: list[str] | None = None) -> DataFrame:
-    """One row per group with precision, recall, f1, roc_auc, pr_auc."""
+    """One row per group with precision, recall, f1, roc_auc, pr_auc.
+
+    The rows are read once: reduced (map-side combined) to a count per
+    ``(group, score, label, prediction)`` and checkpointed; the three
+    metrics read that table with the count as weight."""
     g = list(groups or [])
-    a = prf(df, label, pred, g).select(*g, "precision", "recall", "f1")
-    b = roc_auc(df, label, score, g)
-    c = average_precision(df, label, score, g).withColumnRenamed("average_precision", "pr_auc")
+    red = (df.groupBy(*g, F.col(score).cast("double").alias("_es"), F.col(label).alias("_ey"),
+                      F.col(pred).alias("_ep"))
+           .agg(F.count(F.lit(1)).alias("_ew"))
+           .checkpoint(eager=True))
+    a = prf(red, "_ey", "_ep", g, weight="_ew").select(*g, "precision", "recall", "f1")
+    b = roc_auc(red, "_ey", "_es", g, weight="_ew")
+    c = average_precision(red, "_ey", "_es", g, weight="_ew") \
+        .withColumnRenamed("average_precision", "pr_auc")
     if g:
         return a.join(b, g).join(c, g)
     k = F.lit(1)

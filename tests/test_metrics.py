@@ -74,3 +74,24 @@ def test_class_report(spark):
     assert rows["accuracy"]["f1_score"] == 0.6 and rows["accuracy"]["support"] == 5
     assert rows["1"]["support"] == 3 and rows["0"]["support"] == 2
     assert math.isclose(rows["macro avg"]["precision"], (0.5 + 2 / 3) / 2)
+
+
+def test_evaluation_on_reduced_rows_equals_the_direct_metrics(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(400):
+        y = rnd.choice([0, 1, 1, None]) if i % 37 else None
+        s = round(rnd.random(), 1)                     # many ties
+        p = None if i % 53 == 0 else int(s > 0.5)
+        rows.append(("a" if i % 3 else "b", y, s, p))
+    df = spark.createDataFrame(rows, "g string, y int, s double, p int")
+    got = {r["g"]: r for r in M.evaluation(df, "y", "s", "p", ["g"]).collect()}
+    a = {r["g"]: r for r in M.prf(df, "y", "p", ["g"]).collect()}
+    b = {r["g"]: r["roc_auc"] for r in M.roc_auc(df, "y", "s", ["g"]).collect()}
+    c = {r["g"]: r["average_precision"] for r in M.average_precision(df, "y", "s", ["g"]).collect()}
+    assert set(got) == {"a", "b"}
+    for g, r in got.items():
+        for k in ("precision", "recall", "f1"):
+            assert r[k] == a[g][k]
+        assert math.isclose(r["roc_auc"], b[g], rel_tol=1e-12)
+        assert math.isclose(r["pr_auc"], c[g], rel_tol=1e-12)
