@@ -145,6 +145,19 @@ def pr_curve(df: DataFrame, label: str, score: str, groups: list[str] | None = N
     return pts.unionByName(end)
 
 
+def reduce_scored(df: DataFrame, label: str, score: str, pred: str,
+                  groups: list[str] | None = None) -> DataFrame:
+    """Scored rows reduced (map-side combined) to a count ``_ew`` per
+    ``(groups, _es score, _ey label, _ep prediction)`` and checkpointed to
+    the shared folder, so several metrics read the rows once. Pass
+    ``weight="_ew"`` to the metric functions."""
+    g = list(groups or [])
+    return (df.groupBy(*g, F.col(score).cast("double").alias("_es"), F.col(label).alias("_ey"),
+                       F.col(pred).alias("_ep"))
+            .agg(F.count(F.lit(1)).alias("_ew"))
+            .checkpoint(eager=True))
+
+
 def evaluation(df: DataFrame, label: str, score: str, pred: str,
                groups: list[str] | None = None) -> DataFrame:
     """One row per group with precision, recall, f1, roc_auc, pr_auc.
@@ -153,10 +166,7 @@ def evaluation(df: DataFrame, label: str, score: str, pred: str,
     ``(group, score, label, prediction)`` and checkpointed; the three
     metrics read that table with the count as weight."""
     g = list(groups or [])
-    red = (df.groupBy(*g, F.col(score).cast("double").alias("_es"), F.col(label).alias("_ey"),
-                      F.col(pred).alias("_ep"))
-           .agg(F.count(F.lit(1)).alias("_ew"))
-           .checkpoint(eager=True))
+    red = reduce_scored(df, label, score, pred, g)
     a = prf(red, "_ey", "_ep", g, weight="_ew").select(*g, "precision", "recall", "f1")
     b = roc_auc(red, "_ey", "_es", g, weight="_ew")
     c = average_precision(red, "_ey", "_es", g, weight="_ew") \

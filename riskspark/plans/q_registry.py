@@ -22,17 +22,19 @@ def _scored(spark, sf_dir):
 
 
 def daily_metrics(spark, sf_dir):
-    sc = _scored(spark, sf_dir)
-    auc = M.roc_auc(sc, "label", "score", ["model", "day"])
-    prf = M.prf(sc, "label", "pred", ["model", "day"]).select("model", "day", "recall")
+    g = ["model", "day"]
+    # one pass over the scored rows feeds both metrics
+    red = M.reduce_scored(_scored(spark, sf_dir), "label", "score", "pred", g)
+    auc = M.roc_auc(red, "_ey", "_es", g, weight="_ew")
+    prf = M.prf(red, "_ey", "_ep", g, weight="_ew").select("model", "day", "recall")
     ver = F.dense_rank().over(Window.partitionBy("model").orderBy("day"))
     return (auc.join(prf, ["model", "day"])
             .withColumn("model_version", ver.cast("int"))
             .withColumn("run_id", F.concat_ws("-", "model", F.col("day").cast("string"))))
 
 
-def daily_best(spark, sf_dir):
-    m = daily_metrics(spark, sf_dir)
+def daily_best(spark, sf_dir, m=None):
+    m = daily_metrics(spark, sf_dir) if m is None else m
     pos = F.array_position(F.array(*[F.lit(x) for x in ORDER]), F.col("model"))
     w = Window.partitionBy("day").orderBy(F.col("roc_auc").desc_nulls_last(), pos)
     return m.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
@@ -92,11 +94,12 @@ JOIN (SELECT model AS model_name, CAST(max(model_version) AS INTEGER) AS latest_
 def latest_alias(spark, sf_dir):
     """R3 + J4 + W2: alias holders after the daily promotions, next to each
     model's latest version."""
-    best = daily_best(spark, sf_dir).select(F.col("day").alias("period"), F.col("model").alias("model_name"),
-                                            "model_version")
+    m = daily_metrics(spark, sf_dir)
+    best = daily_best(spark, sf_dir, m).select(F.col("day").alias("period"),
+                                               F.col("model").alias("model_name"), "model_version")
     events = R.promotion_events(best)
     cur = R.current_aliases(events)
-    vers = daily_metrics(spark, sf_dir).select(
+    vers = m.select(
         F.col("model").alias("model_name"), "model_version", F.col("day").alias("created_at"))
     latest = R.latest_versions(vers).withColumnRenamed("model_version", "latest_version")
     return cur.join(latest, "model_name").select("model_name", "alias", "model_version", "latest_version")
