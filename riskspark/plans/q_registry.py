@@ -118,7 +118,9 @@ def q_audit(spark, sf_dir):
     prod = best.select(F.date_add("day", 1).alias("day"), F.col("model").alias("model_name"),
                        "model_version", "run_id", "roc_auc")
     sc = _scored(spark, sf_dir).withColumnRenamed("model", "model_name")
-    preds = sc.join(prod, ["model_name", "day"], "inner")
+    # prod holds one row per day (bounded by the days covered, not by rows);
+    # a shuffle join on (model, day) would put a whole day in one task
+    preds = sc.join(F.broadcast(prod), ["model_name", "day"], "inner")
     return preds.select("transaction_id", "model_name", "model_version", F.round("score", 6).alias("score"),
                         F.col("pred").alias("predicted_label"), "run_id",
                         F.round("roc_auc", 6).alias("run_roc_auc"))
