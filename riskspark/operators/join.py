@@ -27,7 +27,13 @@ def feedback_join(predictions: DataFrame, feedback: DataFrame, ordered: bool = T
         cols.append(F.col("f.source"))
     cols.append(F.col("f.confirmed_at"))
     j = p.join(f, F.col("p.transaction_id") == F.col("f.transaction_id"), "inner").select(*cols)
-    return j.orderBy(F.col("confirmed_at").desc()) if ordered else j
+    if not ordered:
+        return j
+    # Ties on confirmed_at may come in any order (as in SQL); ordering them
+    # by the other columns lets the range partitioner split a hot timestamp
+    # across tasks instead of sending all its rows to one.
+    ties = [F.col(c) for c in ("transaction_id", "actual_label", "predicted_label")]
+    return j.orderBy(F.col("confirmed_at").desc(), *ties)
 
 
 def performance(matched: DataFrame, label: str = "actual_label",

@@ -167,3 +167,36 @@ def test_sessions_with_a_hot_customer(spark):
             prev = t
         exp.append((c, start, n))
     assert got == sorted(exp)
+
+
+def test_feedback_order_splits_a_hot_timestamp(spark):
+    """A third of the feedback shares one confirmed_at: the newest-first
+    order holds and that timestamp spans more than one sorted partition."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from riskspark.operators.join import feedback_join
+    hot = dt.datetime(2024, 1, 10, 12, 0)
+    n = 3000
+    preds = spark.createDataFrame(
+        [(f"txn_{i}", i % 2, 0.5) for i in range(n)],
+        "transaction_id string, predicted_label int, confidence_score double")
+    fb = spark.createDataFrame(
+        [(f"txn_{i}", (i // 2) % 2, "manual", hot if i % 3 == 0 else hot + dt.timedelta(minutes=i))
+         for i in range(n)],
+        "transaction_id string, actual_label int, source string, confirmed_at timestamp")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")        # keep the sort's own partitions visible
+    try:
+        out = feedback_join(preds, fb)
+        rows = out.select("confirmed_at").collect()
+        assert len(rows) == n
+        ts = [r[0] for r in rows]
+        assert all(a >= b for a, b in zip(ts, ts[1:]))
+        parts = (out.withColumn("_p", F.spark_partition_id())
+                 .filter(F.col("confirmed_at") == F.lit(hot)).select("_p").distinct().count())
+        assert parts > 1
+    finally:
+        spark.conf.set(key, before)
