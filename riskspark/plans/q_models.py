@@ -191,7 +191,22 @@ def tree_importance(spark, sf_dir):
     return top_per_model(global_importance(c, names, "XGBoost"), "shap_importance")
 
 
-@query("smote")
+def _smote_sql() -> str:
+    """Rows per class and origin after balancing the training split: every
+    original row, plus (majority - minority) synthetic minority rows (none
+    when the classes are even or the minority has fewer than two rows)."""
+    from riskspark.plans.q_prep import _U
+    return Q.with_(Q.EV, Q.TX, f"""c AS (SELECT CAST(is_fraud AS DOUBLE) AS label, count(*) AS n
+                                      FROM tx WHERE {_U} >= 0.28 GROUP BY 1)""",
+                   "mi AS (SELECT label, n FROM c ORDER BY n, label LIMIT 1)",
+                   "ma AS (SELECT label, n FROM c ORDER BY n DESC, label LIMIT 1)") + """
+SELECT label, false AS synthetic, n FROM c
+UNION ALL
+SELECT mi.label, true, ma.n - mi.n FROM mi, ma
+WHERE (SELECT count(*) FROM c) >= 2 AND ma.n > mi.n AND mi.n >= 2"""
+
+
+@query("smote", sql=_smote_sql())
 def q_smote(spark, sf_dir):
     """M6: the preprocessed training split balanced with exact-neighbour SMOTE;
     rows per class and origin."""
