@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.session import estimated_bytes
+
 _PID = "_os_pid"
 _LC = "_os_lc"
 # The slice number is read with spark_partition_id() on the sliced rows: a
@@ -176,9 +178,8 @@ def slice_count(df: DataFrame) -> int:
     spark = df.sparkSession
     default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     target = int(spark.conf.get("riskspark.slice.bytes", str(SLICE_BYTES)))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate: use the configured count
+    size = estimated_bytes(df)
+    if size is None:                  # no estimate: use the configured count
         return default
     need = -(-size // max(target, 1))
     return max(min(MIN_SLICES, default), min(default, need))

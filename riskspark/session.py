@@ -82,3 +82,27 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+FILE_BYTES = 256 << 20
+
+
+def partitions_for_size(df, target_bytes: int = FILE_BYTES) -> int:
+    """Output partitions for writing ``df``: about ``target_bytes`` each by
+    the optimizer's size estimate (for a file scan, the bytes on disk), never
+    fewer than ``spark.sql.shuffle.partitions``. No action is run."""
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    size = estimated_bytes(df)
+    if size is None:
+        return default
+    return max(default, -(-size // max(target_bytes, 1)))
+
+
+def estimated_bytes(df) -> int | None:
+    """The optimizer's size estimate of ``df`` (no action is run); None when
+    there is none."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())   # py4j gives int or BigInteger
+    except Exception:  # noqa: BLE001
+        return None

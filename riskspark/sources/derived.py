@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from riskspark import schemas as S
 from riskspark.operators.ordered import ordered_scan
-from riskspark.session import shared_path
+from riskspark.session import partitions_for_size, shared_path
 from riskspark.sources.sinks import write_once
 
 # ---------------------------------------------------------------------------
@@ -163,7 +163,9 @@ class Workspace:
         root = self.spark.conf.get("riskspark.tables.root", None)
         path = (f"{root.rstrip('/')}/{self._fingerprint()}/transactions" if root else
                 shared_path(self.spark, "riskspark_tables", self._fingerprint(), "transactions"))
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        # one derived row per event: size the files from the events scan
+        # (bytes on disk), not from a fixed count that 100 TB would overfill
+        n = partitions_for_size(self.events)
         return write_once(df.repartitionByRange(n, "transaction_time", "transaction_id"),
                           path, sort_within=["transaction_time", "transaction_id"])
 

@@ -200,3 +200,16 @@ def test_feedback_order_splits_a_hot_timestamp(spark):
         assert parts > 1
     finally:
         spark.conf.set(key, before)
+
+
+def test_derived_table_files_follow_the_input_size(spark):
+    from riskspark.session import partitions_for_size
+    ev = Workspace(spark, "/root/testdata/sf0.1").events        # ~2 MB on disk
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        assert partitions_for_size(ev, 100 << 10) >= 15        # ~100 KB each
+        assert partitions_for_size(ev) == 2                    # never below the configured count
+    finally:
+        spark.conf.set(key, before)
