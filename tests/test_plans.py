@@ -65,3 +65,18 @@ def test_clean_reads_the_deduplicated_rows_from_the_checkpoint(spark):
     aggs = [ln for ln in plan.splitlines() if "HashAggregate" in ln]
     assert len(aggs) == 2 and all("device_type" in ln for ln in aggs)
     assert "least(greatest(transaction_amount" in plan
+
+
+def test_statistics_read_the_rows_once(spark):
+    # the rows were read once into a checkpointed reduction; the result plans
+    # read only that (no Parquet file scan left)
+    for name in ("drift_js", "drift_chi2", "drift_wasserstein", "evaluation_by_model"):
+        plan = _executed(Q[name](spark, SF_SMALL), "simple")
+        assert "FileScan" not in plan, name
+        assert "Scan ExistingRDD" in plan, name
+
+
+def test_alert_joins_predictions_and_feedback_once(spark):
+    plan = _executed(Q["alert"](spark, SF_SMALL), "simple")
+    joins = [ln for ln in plan.splitlines() if re.search(r"(HashJoin|SortMergeJoin) \[transaction_id", ln)]
+    assert len(joins) == 1
