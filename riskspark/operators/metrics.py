@@ -30,7 +30,7 @@ def _counted(e: Column, weight: str | None) -> Column:
 def confusion(df: DataFrame, label: str, pred: str, groups: list[str] | None = None,
               count_as: str | None = None, weight: str | None = None) -> DataFrame:
     """TP, FP, FN, TN per group (conditional sums, one pass); ``count_as``
-    adds the row count (rows with any label) to the same aggregate."""
+    adds the number of rows to the same aggregate."""
     y, p = F.col(label), F.col(pred)
     n = F.sum(weight) if weight else F.count(F.lit(1))
     extra = [n.alias(count_as)] if count_as else []
