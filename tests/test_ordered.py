@@ -56,3 +56,24 @@ def test_inside_a_union(spark):
     got = u.filter(F.col("rn").isNotNull()).agg(F.countDistinct("rn"), F.min("rn"), F.max("rn")).first()
     assert tuple(got) == (800, 1, 800)
     assert u.groupBy().agg(F.sum((F.col("rn") == F.col("id") + 1).cast("int"))).first()[0] == 800
+
+
+def test_slice_count_follows_the_estimated_size(spark):
+    from riskspark.operators.ordered import MIN_SLICES, slice_count
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    keys = ("spark.sql.shuffle.partitions", "riskspark.slice.bytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("riskspark.slice.bytes", str(1 << 30))      # a small input needs few slices
+    try:
+        assert slice_count(df) == MIN_SLICES
+        spark.conf.set("riskspark.slice.bytes", "2048")         # ~27 KB on disk: 14 slices
+        assert slice_count(df) == 14
+        spark.conf.set("riskspark.slice.bytes", "256")          # ~105 needed: capped
+        assert slice_count(df) == 32
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
