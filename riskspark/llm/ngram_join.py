@@ -35,6 +35,10 @@ EMPTY_SEGMENTS = 80        # bands of up to so many segments also index empty su
 STEP, SEG = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
 
 
+def salt(b: int) -> np.uint64:
+    return U64((b + 1) * int(STEP) % 2**64)
+
+
 def band(n: int) -> int:
     return (n // 3).bit_length() - 1
 
@@ -51,7 +55,7 @@ def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
     """(signatures, probe flags) of one set in band ``b``; ``limit`` is H."""
     m = segments(b)
     wide = max(1, m // 16)
-    mixed = splitmix(tokens ^ (U64(b + 1) * STEP))
+    mixed = splitmix(tokens ^ salt(b))
     seg = (mixed >> U64(33)).astype(np.int64) % m
     size = np.bincount(seg, minlength=m)
     order = np.argsort(seg, kind="stable")
@@ -59,7 +63,7 @@ def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
     held = np.flatnonzero(size)
     starts = np.concatenate([[0], np.cumsum(size[held])[:-1]]).astype(np.int64)
     total[held] = np.add.reduceat(mixed[order], starts)
-    key = np.arange(1, m + 1).astype(np.uint64) * SEG + U64(b + 1) * STEP
+    key = np.arange(1, m + 1).astype(np.uint64) * SEG + salt(b)
     exact = splitmix(total + key)
     rank = np.argsort(-size, kind="stable")
     unit = np.where((rank < wide) & (size[rank] >= 2), 2, 1)

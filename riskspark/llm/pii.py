@@ -74,13 +74,22 @@ CHECK = {
 }
 
 
+def _checked(test):
+    return lambda m: test(m["v"])
+
+
+def _accepted(kind, good):
+    """Candidates with an accepted vote pattern that overlap no base span."""
+    return lambda m: votes(kind, m).isin(good) & ~F.exists("base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"]))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id and, per kind, the checked base spans and the raw candidates."""
     d = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
     t = F.col("t")
     out = d.select("doc_id", *[_found(t, p).alias(k) for k, p in {**BASE, **ADDED}.items()])
     for k in BASE:
-        out = out.withColumn(k, F.filter(k, lambda m, k=k: CHECK[k](m["v"])))
+        out = out.withColumn(k, F.filter(k, _checked(CHECK[k])))
     return out
 
 
@@ -134,8 +143,7 @@ def find(docs: DataFrame, checkpoint) -> DataFrame:
     extra = []
     for k in ADDED:
         good = [v for v, p in posts[k].items() if p >= 0.5]
-        ok = F.filter(k, lambda m, k=k, good=good: votes(k, m).isin(good) & ~F.exists(
-            "base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"]))) if good else F.filter(k, lambda m: F.lit(False))
+        ok = F.filter(k, _accepted(k, good) if good else lambda m: F.lit(False))
         extra.append(F.transform(ok, span(k)))
     return out.withColumn("all", F.concat("base", *extra))
 

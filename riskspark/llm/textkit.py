@@ -125,8 +125,8 @@ def shingles(data: np.ndarray, k: int = 5) -> np.ndarray:
     if not len(h):
         return h
     if len(h) < k:
-        acc = U64(len(h)) * SEQ[63] + (h * SEQ[8:8 + len(h)]).sum(dtype=np.uint64)
-        return splitmix(np.array([acc], dtype=np.uint64))
+        acc = (h * SEQ[8:8 + len(h)]).sum(dtype=np.uint64, keepdims=True)
+        return splitmix(acc + np.array([len(h)], dtype=np.uint64) * SEQ[63])
     return np.unique(sequence_hashes(h, k))
 
 

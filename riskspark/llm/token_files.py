@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.textkit import reliable, shuffle_parts
-from riskspark.session import checkpoint_dir, partitions_for_size, shared_path
+from riskspark.session import checkpoint_dir, estimated_bytes, shared_path
 
 MAGIC = b"TOKFRAM1"
 FRAME_IDS = 1 << 17
 CACHE = 1 << 20
+FILE_BYTES = 64 << 20
 _tok: dict = {}
 
 
@@ -147,7 +148,9 @@ def write_documents(docs: DataFrame, tokenizer_path: str, end_id: int, folder: s
     checkpoint_dir(spark)
     folder = folder or shared_path(spark, f"tokens-{uuid.uuid4().hex[:12]}")
     d = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    parts = max(partitions_for_size(d, 64 << 20), shuffle_parts(spark))
+    size = estimated_bytes(d) or 0
+    # Inputs without an estimate (not files) report the largest long.
+    parts = max(shuffle_parts(spark), -(-size // FILE_BYTES) if size < 1 << 60 else 0)
     d = d.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "t")
     end = struct.pack("<I", end_id)
 

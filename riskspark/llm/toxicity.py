@@ -35,7 +35,7 @@ THRESHOLD = 0.3
 HOMOGLYPHS = str.maketrans(dict(zip("авеёкмнорстухіјѕԁαερτυικνο", "abeekmhopctyxijsdaeptuikvo", strict=True)))
 DIGITS = str.maketrans("01345789@$", "oieastbgas")
 ODD = re.compile(r"[Ͱ-ϿЀ-ԯ]")
-MIXED = re.compile(r"[^\W\d_]+[0-9@$]+[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)*|\b[0-9@$][^\W\d_]{2,}")
+MIXED = re.compile(r"[0-9@$]?[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)+|\b[0-9@$][^\W\d_]{2,}")
 GAPS = re.compile(r"[\W_]+")
 
 
