@@ -70,8 +70,8 @@ def norm_name(x) -> Column:
 
 
 def percent_text(x, places: int = 1) -> Column:
-    """``f"{x:.1%}"``."""
-    return F.format_string(f"%.{places}f%%", _c(x) * 100)
+    """``f"{x:.1%}"``, ties to even."""
+    return F.format_string(f"%.{places}f%%", F.bround(_c(x) * 100, places))
 
 
 def yes_no(flag) -> Column:

@@ -108,7 +108,8 @@ def failure_cases(df: DataFrame, rules: list[Rule], row_key: str | None = None)
 
 def validate(df: DataFrame, rules: list[Rule], row_key: str | None = None,
              max_report: int = 100) -> DataFrame:
-    """Raise with every failure kind (and up to ``max_report`` examples)."""
+    """Raise with every failure kind and its count. ``failure_frame`` of the
+    error is the DataFrame of all cases; ``max_report`` of them are shown."""
     missing = missing_columns(df, rules)
     if missing:
         raise SchemaValidationError(f"column(s) {missing} not in dataframe", missing)
@@ -118,8 +119,10 @@ def validate(df: DataFrame, rules: list[Rule], row_key: str | None = None,
         summary = (fc.groupBy("column", "check").agg(F.count(F.lit(1)).alias("n"))
                    .orderBy("column", "check").collect())
         kinds = ", ".join(f"{r['column']}:{r['check']} x{r['n']}" for r in summary)
-        raise SchemaValidationError(f"schema validation failed: {kinds}",
-                                    [r.asDict() for r in sample])
+        error = SchemaValidationError(f"schema validation failed: {kinds}",
+                                      [r.asDict() for r in sample])
+        error.failure_frame = fc
+        raise error
     return df
 
 

@@ -84,7 +84,9 @@ def score_stream(requests: DataFrame, cache: ModelCache, bounds: dict | None, si
     def handle(batch: DataFrame, batch_id: int) -> None:
         model, name, version = cache.get()
         if model is None:
-            return
+            # The batch fails and is not committed, so its requests are read
+            # again once a model is in production.
+            raise RuntimeError("no production model: the batch is kept for a retry")
         out = score_batch(batch, model, bounds, name, version)
         (out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}"))
 
