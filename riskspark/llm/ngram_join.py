@@ -8,12 +8,13 @@ one deletion apart, make a candidate. The larger set (the prober) gives each
 segment 0, 1 (equal subset) or 2 units (also one deletion apart, in the wide
 segments) until they exceed H: a linked pair must then meet in one of them.
 Cost: large subsets are rare, so the largest are taken first and small ones
-left out. Every set is indexed in its band and also probes the band below
+left out; measured sharing then spares every prober with more than H segments
+that no other component holds. Every set is indexed in its band and also probes the band below
 when partners may lie there.
 
 Equal sets are one class, so copies are never paired. In each signature group
-members are first verified against one pivot (a star); only groups that
-still span several components compare the rest, across components only.
+members are first verified against one pivot (a star, for each set the pivot it meets most
+often); only groups that still span several components compare the rest, across components only.
 Verification intersects the whole sets.
 
 Null texts and texts without words have an empty set and no link. A null
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.textkit import U64, reliable, shingles, shuffle_parts, splitmix, utf8, written
 
-SLACK, CHUNK, BUCKET_SHINGLES = 1.2, 1 << 20, 3_000_000
+SLACK, CHUNK, BUCKET_SHINGLES, SIG_BITS = 1.2, 1 << 22, 3_000_000, 48
 EMPTY_SEGMENTS = 80        # bands of up to so many segments also index empty subsets
 STEP, SEG = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
 
@@ -51,8 +52,13 @@ def segments(b: int) -> int:
     return int(np.ceil(SLACK * (top(b) // 3 + 1))) + 1
 
 
+PROBE, EXACT, LOW = 1, 2, 4        # bits of an entry: probed, equal subset, of the band below
+
+
 def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
-    """(signatures, probe flags) of one set in band ``b``; ``limit`` is H."""
+    """(signatures, bits, spare) of one set in band ``b``; ``limit`` is H.
+    A set with at most ``spare`` shared equal subsets has more than H
+    segments that nothing else holds, so it links with no smaller set."""
     m = segments(b)
     wide = max(1, m // 16)
     mixed = splitmix(tokens ^ salt(b))
@@ -64,33 +70,43 @@ def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
     starts = np.concatenate([[0], np.cumsum(size[held])[:-1]]).astype(np.int64)
     total[held] = np.add.reduceat(mixed[order], starts)
     key = np.arange(1, m + 1).astype(np.uint64) * SEG + salt(b)
-    exact = splitmix(total + key)
     rank = np.argsort(-size, kind="stable")
     unit = np.where((rank < wide) & (size[rank] >= 2), 2, 1)
     need = int(np.searchsorted(np.cumsum(unit), limit + 1)) + 1
     probe = np.zeros(m, bool)
     probe[rank[:need]] = True
-    use = probe | (((size > 0) | (m <= EMPTY_SEGMENTS)) if index else False)
-    sig, flag = [exact[use]], [probe[use]]
-    near = seg < wide
+    use = probe | (size > 0) | (index and m <= EMPTY_SEGMENTS)
+    sig = [splitmix(total[use] + key[use])]
+    bits = [probe[use] * np.uint8(PROBE) | np.uint8(EXACT)]
+    near = (seg < wide) & (size[seg] >= 2)
     if not index:
         near &= probe[seg]
-    near &= size[seg] >= 2
     if near.any():
         sig.append(splitmix(total[seg[near]] - mixed[near] + key[seg[near]]))
-        flag.append(probe[seg[near]])
-    return np.concatenate(sig), np.concatenate(flag)
+        bits.append(probe[seg[near]] * np.uint8(PROBE))
+    bits = np.concatenate(bits) | np.uint8(0 if index else LOW)
+    return np.concatenate(sig), bits, int(use.sum()) - limit - 1
 
 
-def set_signatures(tokens: np.ndarray):
-    n = len(tokens)
+def plans(n: int):
+    """(band, H, is its own band) of the bands that a set of ``n`` tokens uses."""
     if n < 3:       # partners of one or two tokens are equal sets
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
+        return []
     b = band(n)
-    parts = [signatures(tokens, b, 2 * n // 7, True)]
-    if b and 3 * n <= 4 * top(b - 1):
-        parts.append(signatures(tokens, b - 1, (n + top(b - 1)) // 7, False))
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    own = [(b, 2 * n // 7, True)]
+    return own + [(b - 1, (n + top(b - 1)) // 7, False)] if b and 3 * n <= 4 * top(b - 1) else own
+
+
+def entries(tokens: np.ndarray):
+    parts = [signatures(tokens, *p) for p in plans(len(tokens))]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), []
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), [p[2] for p in parts]
+
+
+def set_signatures(tokens: np.ndarray):
+    sig, bits, _ = entries(tokens)
+    return sig, (bits & PROBE).astype(bool)
 
 
 def identity(tokens: np.ndarray) -> tuple[int, int]:
@@ -103,33 +119,44 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, c1, c2 (set identity) of every row."""
+    """doc_id, n_shingles, c1, c2 (set identity), own and low (spare units
+    in the own band and in the one below) of every row."""
     def run(batches):
         for b in batches:
             data, off = utf8(b.column(1))
-            n, c1, c2 = [], [], []
+            out = []
             for i in range(b.num_rows):
                 s = shingles(data[off[i]:off[i + 1]])
-                x, y = identity(s)
-                n.append(len(s)), c1.append(x), c2.append(y)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64())],
-                                             names=["doc_id", "n_shingles", "c1", "c2"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, c1 long, c2 long")
+                spare = [*entries(s)[2], 0, 0]
+                out.append((len(s), *identity(s), spare[0], spare[1]))
+            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(5)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_shingles", "c1", "c2", "own", "low"])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, c1 long, c2 long, own long, low long")
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of ``x`` by significance: the empty high ones compress away."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def unplanes(data: np.ndarray, n: int, kind) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, n).T).view(kind).ravel()
 
 
 def _groups(docs: DataFrame, buckets: int) -> DataFrame:
-    """sig, rec, probe, pivot of all members of signature groups with a
-    prober and another set. Entries travel packed, by bucket of their hash."""
+    """sig, rec, bits, pivot of all members of signature groups of several
+    sets. Signatures travel as ``SIG_BITS`` bits (a clash only adds a
+    candidate), sorted and as differences, by bucket; a set's identity once
+    per pack."""
     def emit(batches):
         held, size = [], 0
         for b in batches:
             data, off = utf8(b.column(0))
             for i in range(b.num_rows):
                 s = shingles(data[off[i]:off[i + 1]])
-                g, f = set_signatures(s)
+                g, f, _ = entries(s)
                 if len(g):
-                    rec = np.full(len(g), identity(s)[0], np.int64) & ~1 | f
-                    held.append((g, rec.view(np.uint64)))
+                    held.append((g, f, identity(s)[0] & ~1))
                     size += len(g)
                 if size >= CHUNK:
                     yield pack(held)
@@ -138,64 +165,85 @@ def _groups(docs: DataFrame, buckets: int) -> DataFrame:
             yield pack(held)
 
     def pack(held):
-        e = np.empty((sum(len(g) for g, _ in held), 2), np.uint64)
-        e[:, 0] = np.concatenate([g for g, _ in held])
-        e[:, 1] = np.concatenate([r for _, r in held])
-        where = (e[:, 0] % U64(buckets)).astype(np.int64)
-        order = np.lexsort((e[:, 1], e[:, 0], where))
-        e, where = e[order], where[order]
-        fresh = np.ones(len(e), bool)
-        fresh[1:] = (e[1:] != e[:-1]).any(1)      # copies of a set within the chunk
-        e, where = e[fresh], where[fresh]
-        cut = np.flatnonzero(np.diff(where)) + 1
-        ids = where[np.concatenate([[0], cut])]
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array([x.tobytes() for x in np.split(e, cut)], pa.binary())], names=["bucket", "entries"])
+        g = np.concatenate([x for x, _, _ in held]) >> U64(64 - SIG_BITS)
+        recs, nth = np.unique(np.array([r for _, _, r in held], np.int64), return_inverse=True)
+        code = (np.repeat(nth, [len(x) for x, _, _ in held]).astype(np.uint32) << np.uint32(3)) | np.concatenate([f for _, f, _ in held])
+        where, low = g % U64(buckets), g // U64(buckets)
+        key = where * U64((1 << SIG_BITS) // buckets + 1) + low
+        order = np.lexsort((code, key))
+        code, key, low, where = code[order], key[order], low[order], where[order].astype(np.int64)
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1])      # copies of a set within the chunk
+        code, low, where = code[fresh], low[fresh], where[fresh]
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(where)) + 1, [len(where)]])
+        out = []
+        for a, z in zip(cut[:-1], cut[1:], strict=True):
+            names, at = np.unique(code[a:z] >> np.uint32(3), return_inverse=True)
+            c = at.astype(np.uint32) << np.uint32(3) | code[a:z] & np.uint32(7)
+            out.append(np.array([len(names), z - a], np.int64).tobytes() + recs[names].tobytes()
+                       + planes(np.diff(low[a:z], prepend=U64(0))) + planes(c))
+        return pa.RecordBatch.from_arrays([pa.array(where[cut[:-1]]), pa.array(out, pa.binary())], names=["bucket", "entries"])
+
+    def unpack(data):
+        raw = np.frombuffer(data, np.uint8)
+        k, n = raw[:16].view(np.int64).tolist()
+        at = 16 + 8 * k
+        recs = raw[16:at].view(np.int64)
+        low = np.cumsum(unplanes(raw[at:at + 8 * n], n, np.uint64))
+        code = unplanes(raw[at + 8 * n:], n, np.uint32)
+        return low, recs[code >> np.uint32(3)], (code & np.uint32(7)).astype(np.uint8)
 
     def meet(table):
-        e = np.concatenate([np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for x in table.column("entries")])
-        e = e[np.lexsort((e[:, 1], e[:, 0]))]
-        edge = np.flatnonzero(np.diff(e[:, 0])) + 1
-        start = np.concatenate([[0], edge])
-        stop = np.append(edge, len(e))
-        rec, flag = (e[:, 1] & ~U64(1)).view(np.int64), (e[:, 1] & U64(1)).astype(bool)
-        multi = np.flatnonzero((stop - start > 1) & (np.add.reduceat(flag, start) > 0))
-        out = []
-        for a, z in zip(start[multi].tolist(), stop[multi].tolist(), strict=True):
-            r, f = rec[a:z], flag[a:z]
-            if (r != r[0]).any():
-                out.append((np.full(z - a, a, np.int64), r, f, np.full(z - a, r[f].min())))
-        if not out:
-            return pa.table({"sig": pa.array([], pa.int64()), "rec": pa.array([], pa.int64()), "probe": pa.array([], pa.bool_()), "pivot": pa.array([], pa.int64())})
-        at = np.concatenate([o[0] for o in out])
-        return pa.table({"sig": e[at, 0].view(np.int64), "rec": np.concatenate([o[1] for o in out]),
-                         "probe": np.concatenate([o[2] for o in out]), "pivot": np.concatenate([o[3] for o in out])})
+        got = [unpack(x.as_buffer()) for x in table.column("entries")]
+        low, rec, bits = (np.concatenate([g[j] for g in got]) for j in range(3))
+        del got
+        order = np.lexsort((bits, rec, low))
+        low, rec, bits = low[order], rec[order], bits[order]
+        start = np.concatenate([[0], np.flatnonzero(np.diff(low)) + 1])
+        stop = np.append(start[1:], len(low))
+        pick = np.repeat(rec[start] != rec[stop - 1], stop - start)     # sorted by set within a group
+        pivot = np.repeat(rec[start], stop - start)
+        fresh = np.ones(len(low), bool)
+        fresh[1:] = (low[1:] != low[:-1]) | (rec[1:] != rec[:-1]) | (bits[1:] != bits[:-1])
+        pick &= fresh
+        sig = low[pick].view(np.int64) * buckets + table.column("bucket")[0].as_py()
+        return pa.table({"sig": sig, "rec": rec[pick], "bits": bits[pick].astype(np.int8), "pivot": pivot[pick]})
 
     packed = docs.select("text").mapInArrow(emit, "bucket long, entries binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "sig long, rec long, probe boolean, pivot long")
+    return packed.groupBy("bucket").applyInArrow(meet, "sig long, rec long, bits byte, pivot long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """rec, tokens of the documents with the given ids."""
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """rec, z (compressed text) of the documents with the given ids. Texts are
+    a third of the size of their shingle sets, so they travel instead."""
     def run(batches):
+        import zstandard
+        press = zstandard.ZstdCompressor(level=3)
         for b in batches:
             data, off = utf8(b.column(1))
-            s = [shingles(data[off[i]:off[i + 1]]).tobytes() for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.binary())], names=["rec", "tokens"])
-    return docs.select("doc_id", "text").join(ids, "doc_id").select("rec", "text").mapInArrow(run, "rec long, tokens binary")
+            z = [press.compress(data[off[i]:off[i + 1]].tobytes()) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc_id", "z"])
+    small = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, z binary")
+    return small.join(ids, "doc_id").select("rec", "z").dropDuplicates(["rec"])
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     def run(batches):
+        import zstandard
+        press = zstandard.ZstdDecompressor()
+        last = (None, None)
         for b in batches:
             keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(s, t, assume_unique=True)) if 4 * min(len(s), len(t)) >= 3 * max(len(s), len(t)) else 0
+            for i, x, y in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                if i != last[0]:
+                    last = (i, shingles(np.frombuffer(press.decompress(y.as_buffer()), np.uint8)))
+                s, t = shingles(np.frombuffer(press.decompress(x.as_buffer()), np.uint8)), last[1]
+                both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(s) + len(t) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    j = (pairs.join(sets.select(F.col("rec").alias("a"), F.col("tokens").alias("s")), "a")
-         .join(sets.select(F.col("rec").alias("b"), F.col("tokens").alias("t")), "b").select("a", "b", "s", "t"))
+    j = (pairs.join(texts.select(F.col("rec").alias("a"), F.col("z").alias("s")), "a")
+         .join(texts.select(F.col("rec").alias("b"), F.col("z").alias("t")), "b").select("a", "b", "s", "t"))
     return j.mapInArrow(run, "a long, b long")
 
 
@@ -214,8 +262,12 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The distinct pairs whose sizes allow a link, smaller identity first."""
+    p = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for side in ("a", "b"):
+        p = p.join(sizes.select(F.col("rec").alias(side), F.col("n").alias(f"n{side}")), side)
+    return p.filter("4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -223,27 +275,37 @@ def join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = reliable(profile(docs))
     total = rows.agg(F.sum("n_shingles").alias("n")).collect()[0]["n"] or 0
-    classes = reliable(rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-                       .withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
+    classes = reliable(rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"),
+        F.first("own").alias("own"), F.first("low").alias("low")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
+    sizes = classes.groupBy("rec").agg(F.max("n").alias("n"), F.min("own").alias("own"), F.min("low").alias("low"))
     members = written(_groups(docs, max(2 * shuffle_parts(spark), -(-total // BUCKET_SHINGLES))), "members")
-    star = reliable(_ordered(members.select(F.col("rec").alias("a"), F.col("pivot").alias("b"))))
-    recs = star.select(F.col("a").alias("rec")).unionByName(star.select(F.col("b").alias("rec"))).unionByName(members.select("rec")).distinct()
-    ids = classes.filter("class_id is not null").groupBy("rec").agg(F.min("class_id").alias("doc_id")).join(recs, "rec")
-    sets = written(_sets(docs, ids).dropDuplicates(["rec"]), "sets")
-    edges = reliable(_links(star, sets))
+
+    # Stars: each set against the pivot with which it shares most groups.
+    votes = members.filter("rec <> pivot").groupBy("rec", "pivot").agg(F.count(F.lit(1)).alias("n"))
+    best = votes.groupBy("rec").agg(F.max(F.struct("n", "pivot")).alias("top"))
+    star = reliable(_sized(best.select(F.col("rec").alias("a"), F.col("top.pivot").alias("b")), sizes))
+    ids = (classes.filter("class_id is not null").groupBy("rec").agg(F.min("class_id").alias("doc_id"))
+           .join(members.select("rec").distinct(), "rec"))
+    texts = written(_texts(docs, ids), "texts")
+    edges = reliable(_links(star, texts))
     label = components(edges)
-    comp = members.join(label, "rec", "left").select("sig", "rec", "probe", F.coalesce("comp", "rec").alias("comp"))
-    open_sigs = comp.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
-    rest = reliable(comp.join(open_sigs, "sig"))
-    parts = rest.select("sig", "comp").distinct()
-    cross = (parts.select("sig", F.col("comp").alias("x")).join(parts.select("sig", F.col("comp").alias("y")), "sig").filter("x <> y"))
-    size = rest.select("sig", "rec", "probe", "comp")
-    left = cross.join(size.filter("probe").select("sig", F.col("comp").alias("x"), F.col("rec").alias("a")), ["sig", "x"])
-    pairs = left.join(size.select("sig", F.col("comp").alias("y"), F.col("rec").alias("b")), ["sig", "y"]).select("a", "b")
-    pairs = reliable(_ordered(pairs).join(star, ["a", "b"], "left_anti"))
-    more = _links(pairs, sets)
+
+    # Groups that still span components. Whatever no other component holds
+    # counts as a unit without a match; a prober with more than H of them
+    # needs no comparison.
+    comp = members.join(label, "rec", "left").select("sig", "rec", "bits", F.coalesce("comp", "rec").alias("comp"))
+    spans = comp.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
+    rest = reliable(comp.join(spans, "sig").withColumn("side", F.col("bits").bitwiseAND(F.lit(LOW))))
+    shared = rest.filter(F.col("bits").bitwiseAND(F.lit(EXACT)) > 0).groupBy("rec", "side").agg(F.count(F.lit(1)).alias("shared"))
+    probes = rest.filter(F.col("bits").bitwiseAND(F.lit(PROBE)) > 0)
+    live = (probes.select("rec", "side").distinct().join(shared, ["rec", "side"], "left").join(sizes, "rec")
+            .filter(F.coalesce("shared", F.lit(0)) > F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("low"))))
+    probes = probes.join(live.select("rec", "side"), ["rec", "side"]).select("sig", F.col("rec").alias("a"), F.col("comp").alias("x"))
+    pairs = probes.join(rest.select("sig", F.col("rec").alias("b"), F.col("comp").alias("y")), "sig").filter("x <> y")
+    pairs = reliable(_sized(pairs, sizes).join(star, ["a", "b"], "left_anti"))
     if pairs.head(1):
-        label = components(edges.unionByName(reliable(more)))
+        label = components(edges.unionByName(reliable(_links(pairs, texts))))
     named = classes.join(label, "rec", "left").withColumn("comp", F.coalesce("comp", "rec"))
     low = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     named = reliable(named.join(low, "comp").select("c1", "c2", "class_id", "class_size", "component_id"))
