@@ -8,8 +8,8 @@ one deletion apart, make a candidate. The larger set (the prober) gives each
 segment 0, 1 (equal subset) or 2 units (also one deletion apart, in the wide
 segments) until they exceed H: a linked pair must then meet in one of them.
 Cost: large subsets are rare, so the largest are taken first and small ones
-left out; measured sharing then spares every prober with more than H segments
-that no other component holds. Every set is indexed in its band and also probes the band below
+left out; by measured sharing a prober then compares only in its rarest
+segments. Every set is indexed in its band and also probes the band below
 when partners may lie there.
 
 Equal sets are one class, so copies are never paired. In each signature group
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskspark.llm.textkit import U64, reliable, shingles, shuffle_parts, splitmix, utf8, written
 
@@ -55,37 +55,48 @@ def segments(b: int) -> int:
 PROBE, EXACT, LOW = 1, 2, 4        # bits of an entry: probed, equal subset, of the band below
 
 
-def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
-    """(signatures, bits, spare) of one set in band ``b``; ``limit`` is H.
-    A set with at most ``spare`` shared equal subsets has more than H
-    segments that nothing else holds, so it links with no smaller set."""
+def layout(tokens: np.ndarray, b: int, limit: int, index: bool):
+    """Of one set in band ``b``: mixed tokens, their segments, segment sizes,
+    probed segments, used segments. ``limit`` is H."""
     m = segments(b)
     wide = max(1, m // 16)
     mixed = splitmix(tokens ^ salt(b))
     seg = (mixed >> U64(33)).astype(np.int64) % m
     size = np.bincount(seg, minlength=m)
+    rank = np.argsort(-size, kind="stable")
+    unit = np.where((rank < wide) & (size[rank] >= 2), 2, 1)
+    need = int(np.searchsorted(np.cumsum(unit), limit + 1)) + 1
+    probe = np.zeros(m, bool)
+    probe[rank[:need]] = True
+    return mixed, seg, size, probe, probe | (size > 0) | (index and m <= EMPTY_SEGMENTS)
+
+
+def spares(n: int, tokens: np.ndarray) -> list[int]:
+    """Per band of the set: used segments beyond the H + 1 that a prober
+    needs. So many shared equal subsets may stay unprobed."""
+    return [int(layout(tokens, *p)[4].sum()) - p[1] - 1 for p in plans(n)]
+
+
+def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
+    """(signatures, bits) of one set in band ``b``."""
+    mixed, seg, size, probe, use = layout(tokens, b, limit, index)
+    m = len(size)
     order = np.argsort(seg, kind="stable")
     total = np.zeros(m, np.uint64)
     held = np.flatnonzero(size)
     starts = np.concatenate([[0], np.cumsum(size[held])[:-1]]).astype(np.int64)
     total[held] = np.add.reduceat(mixed[order], starts)
     key = np.arange(1, m + 1).astype(np.uint64) * SEG + salt(b)
-    rank = np.argsort(-size, kind="stable")
-    unit = np.where((rank < wide) & (size[rank] >= 2), 2, 1)
-    need = int(np.searchsorted(np.cumsum(unit), limit + 1)) + 1
-    probe = np.zeros(m, bool)
-    probe[rank[:need]] = True
-    use = probe | (size > 0) | (index and m <= EMPTY_SEGMENTS)
     sig = [splitmix(total[use] + key[use])]
     bits = [probe[use] * np.uint8(PROBE) | np.uint8(EXACT)]
-    near = (seg < wide) & (size[seg] >= 2)
+    near = (seg < max(1, m // 16)) & (size[seg] >= 2)
     if not index:
         near &= probe[seg]
     if near.any():
         sig.append(splitmix(total[seg[near]] - mixed[near] + key[seg[near]]))
         bits.append(probe[seg[near]] * np.uint8(PROBE))
     bits = np.concatenate(bits) | np.uint8(0 if index else LOW)
-    return np.concatenate(sig), bits, int(use.sum()) - limit - 1
+    return np.concatenate(sig), bits
 
 
 def plans(n: int):
@@ -100,12 +111,12 @@ def plans(n: int):
 def entries(tokens: np.ndarray):
     parts = [signatures(tokens, *p) for p in plans(len(tokens))]
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), []
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), [p[2] for p in parts]
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def set_signatures(tokens: np.ndarray):
-    sig, bits, _ = entries(tokens)
+    sig, bits = entries(tokens)
     return sig, (bits & PROBE).astype(bool)
 
 
@@ -127,7 +138,7 @@ def profile(docs: DataFrame) -> DataFrame:
             out = []
             for i in range(b.num_rows):
                 s = shingles(data[off[i]:off[i + 1]])
-                spare = [*entries(s)[2], 0, 0]
+                spare = [*spares(len(s), s), 0, 0]
                 out.append((len(s), *identity(s), spare[0], spare[1]))
             cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(5)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_shingles", "c1", "c2", "own", "low"])
@@ -154,7 +165,7 @@ def _groups(docs: DataFrame, buckets: int) -> DataFrame:
             data, off = utf8(b.column(0))
             for i in range(b.num_rows):
                 s = shingles(data[off[i]:off[i + 1]])
-                g, f, _ = entries(s)
+                g, f = entries(s)
                 if len(g):
                     held.append((g, f, identity(s)[0] & ~1))
                     size += len(g)
@@ -291,18 +302,24 @@ def join(docs: DataFrame) -> DataFrame:
     edges = reliable(_links(star, texts))
     label = components(edges)
 
-    # Groups that still span components. Whatever no other component holds
-    # counts as a unit without a match; a prober with more than H of them
-    # needs no comparison.
+    # Groups that still span components. A used segment that no other
+    # component shares is a unit without a match, so of its shared segments a
+    # prober takes only the rarest that fill up H + 1 units. (Where equal
+    # subsets alone do not reach H + 1, it takes its first allocation.)
     comp = members.join(label, "rec", "left").select("sig", "rec", "bits", F.coalesce("comp", "rec").alias("comp"))
-    spans = comp.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
-    rest = reliable(comp.join(spans, "sig").withColumn("side", F.col("bits").bitwiseAND(F.lit(LOW))))
-    shared = rest.filter(F.col("bits").bitwiseAND(F.lit(EXACT)) > 0).groupBy("rec", "side").agg(F.count(F.lit(1)).alias("shared"))
-    probes = rest.filter(F.col("bits").bitwiseAND(F.lit(PROBE)) > 0)
-    live = (probes.select("rec", "side").distinct().join(shared, ["rec", "side"], "left").join(sizes, "rec")
-            .filter(F.coalesce("shared", F.lit(0)) > F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("low"))))
-    probes = probes.join(live.select("rec", "side"), ["rec", "side"]).select("sig", F.col("rec").alias("a"), F.col("comp").alias("x"))
-    pairs = probes.join(rest.select("sig", F.col("rec").alias("b"), F.col("comp").alias("y")), "sig").filter("x <> y")
+    spans = (comp.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("held"))
+             .filter("lo <> hi").select("sig", "held"))
+    rest = reliable(comp.join(spans, "sig").join(sizes, "rec").select(
+        "sig", "rec", "bits", "comp", "held", "n", F.col("bits").bitwiseAND(F.lit(LOW)).alias("side"),
+        F.when(F.col("bits").bitwiseAND(F.lit(LOW)) == 0, F.col("own")).otherwise(F.col("low")).alias("spare")))
+    exact = F.col("bits").bitwiseAND(F.lit(EXACT)) > 0
+    common_first = Window.partitionBy("rec", "side").orderBy(F.desc("held"), "sig")
+    probes = (rest.filter(exact & (F.col("spare") >= 0)).withColumn("at", F.row_number().over(common_first))
+              .filter("at > spare").drop("at")
+              .unionByName(rest.filter((F.col("bits").bitwiseAND(F.lit(PROBE)) > 0) & (F.col("spare") < 0))))
+    probes = probes.select("sig", F.col("rec").alias("a"), F.col("comp").alias("x"), F.col("n").alias("na"))
+    index = rest.filter("side = 0").select("sig", F.col("rec").alias("b"), F.col("comp").alias("y"), F.col("n").alias("nb"))
+    pairs = probes.join(index, "sig").filter("x <> y and nb <= na and 4 * nb >= 3 * na").select("a", "b").distinct()
     pairs = reliable(_sized(pairs, sizes).join(star, ["a", "b"], "left_anti"))
     if pairs.head(1):
         label = components(edges.unionByName(reliable(_links(pairs, texts))))
