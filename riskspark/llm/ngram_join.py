@@ -15,7 +15,12 @@ when partners may lie there.
 Equal sets are one class, so copies are never paired. In each signature group
 members are first verified against one pivot (a star, for each set the pivot it meets most
 often); only groups that still span several components compare the rest, across components only.
-Verification intersects the whole sets.
+Sets that meet in crowded groups are dealt to cells around a hub, the set
+with the most company. Within a cell, sets are told apart by their symmetric
+differences from the hub (of x and y tokens): two sets that do not both link
+with the hub can link only if their differences share (x + y - H) / 2 tokens,
+hence one among the rarest of each (prefix filter), so a cell never compares
+all of its sets pair by pair. Verification intersects the whole sets.
 
 Null texts and texts without words have an empty set and no link. A null
 doc_id never is a component's id unless all of its members are null. Empty
@@ -32,6 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskspark.llm.textkit import U64, reliable, shingles, shuffle_parts, splitmix, utf8, written
 
 SLACK, CHUNK, BUCKET_SHINGLES, SIG_BITS = 1.2, 1 << 22, 3_000_000, 48
+CROWD = 1024               # comparisons in one group from which its sets are dealt to cells
 EMPTY_SEGMENTS = 80        # bands of up to so many segments also index empty subsets
 STEP, SEG = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
 
@@ -258,6 +264,58 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return j.mapInArrow(run, "a long, b long")
 
 
+def _cells(crowded: DataFrame) -> DataFrame:
+    """rec, cell: each set of the given groups with the hub that it meets most.
+    The hub of a group is its member with the most company over all groups."""
+    company = crowded.groupBy("rec").agg(F.sum("held").alias("w"))
+    hubs = crowded.join(company, "rec").groupBy("sig").agg(F.max(F.struct("w", "rec")).alias("top"))
+    votes = (crowded.join(hubs, "sig").groupBy("rec", F.col("top.rec").alias("cell"))
+             .agg(F.count(F.lit(1)).alias("met"), F.max("top.w").alias("w")))
+    return votes.groupBy("rec").agg(F.max(F.struct("met", "w", "cell")).alias("top")).select("rec", "top.cell")
+
+
+def _differences(cells: DataFrame, texts: DataFrame) -> DataFrame:
+    """rec, cell, n, x, linked (with the hub), toks: the tokens in which a set and its hub differ."""
+    def run(batches):
+        import zstandard
+        press = zstandard.ZstdDecompressor()
+        last = (None, None)
+        for b in batches:
+            n, x, linked, toks = [], [], [], []
+            for i, y, z in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                if i != last[0]:
+                    last = (i, shingles(np.frombuffer(press.decompress(z.as_buffer()), np.uint8)))
+                s = shingles(np.frombuffer(press.decompress(y.as_buffer()), np.uint8))
+                d = np.setxor1d(s, last[1], assume_unique=True)
+                n.append(len(s))
+                x.append(len(d))
+                linked.append(7 * len(d) <= len(s) + len(last[1]))
+                toks.append(d.view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(x, pa.int64()),
+                                              pa.array(linked, pa.bool_()), pa.array(toks, pa.list_(pa.int64()))],
+                                             names=["rec", "cell", "n", "x", "linked", "toks"])
+    j = (cells.join(texts.select("rec", F.col("z").alias("s")), "rec")
+         .join(texts.select(F.col("rec").alias("cell"), F.col("z").alias("t")), "cell").select("rec", "cell", "s", "t"))
+    return j.mapInArrow(run, "rec long, cell long, n long, x long, linked boolean, toks array<long>")
+
+
+def _within_cells(diffs: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) of a cell, but for two sets that both link with the hub."""
+    toks = diffs.select("rec", "cell", "n", "x", "linked", F.explode("toks").alias("tok"))
+    often = toks.groupBy("cell", "tok").agg(F.count(F.lit(1)).alias("df"))
+    rare_first = Window.partitionBy("rec").orderBy("df", "tok")
+    # A partner's difference has at least x - H tokens and H is at most n / 3: no prefix is longer than H + 1.
+    at = (toks.join(often, ["cell", "tok"]).withColumn("at", F.row_number().over(rare_first))
+          .filter("df > 1 and 3 * (at - 1) <= n").select("rec", "cell", "n", "x", "linked", "tok", "at"))
+    at = reliable(at)
+    a = at.filter("not linked").select("cell", "tok", F.col("rec").alias("a"), F.col("n").alias("na"), F.col("x").alias("xa"), F.col("at").alias("ia"))
+    b = at.select("cell", "tok", F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("x").alias("xb"), F.col("at").alias("ib"))
+    share = F.expr("ceil((xa + xb - floor((na + nb) / 7)) / 2)")
+    fits = ((F.col("a") != F.col("b")) & (F.col("ia") <= F.col("xa") - share + 1) & (F.col("ib") <= F.col("xb") - share + 1)
+            & F.expr("4 * least(na, nb) >= 3 * greatest(na, nb)"))
+    return a.join(b, ["cell", "tok"]).filter(fits).select("a", "b")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """rec, comp (smallest rec reachable) of every end of an edge: smallest
     neighbour labels and pointer jumping until nothing changes."""
@@ -317,12 +375,25 @@ def join(docs: DataFrame) -> DataFrame:
     probes = (rest.filter(exact & (F.col("spare") >= 0)).withColumn("at", F.row_number().over(common_first))
               .filter("at > spare").drop("at")
               .unionByName(rest.filter((F.col("bits").bitwiseAND(F.lit(PROBE)) > 0) & (F.col("spare") < 0))))
-    probes = probes.select("sig", F.col("rec").alias("a"), F.col("comp").alias("x"), F.col("n").alias("na"))
-    index = rest.filter("side = 0").select("sig", F.col("rec").alias("b"), F.col("comp").alias("y"), F.col("n").alias("nb"))
-    pairs = probes.join(index, "sig").filter("x <> y and nb <= na and 4 * nb >= 3 * na").select("a", "b").distinct()
-    pairs = reliable(_sized(pairs, sizes).join(star, ["a", "b"], "left_anti"))
-    if pairs.head(1):
-        label = components(edges.unionByName(reliable(_links(pairs, texts))))
+    probes = reliable(probes.select("sig", F.col("rec").alias("a"), F.col("comp").alias("x"), F.col("n").alias("na"), "held"))
+    crowds = (probes.groupBy("sig").agg((F.count(F.lit(1)) * F.first("held")).alias("work"))
+              .filter(F.col("work") > CROWD).select("sig"))
+    crowded = reliable(rest.join(crowds, "sig").select("sig", "rec", "held"))
+    cells = reliable(_cells(crowded))
+    diffs = reliable(_differences(cells, texts))
+    edges = edges.unionByName(diffs.filter("linked and rec <> cell").select(
+        F.least("rec", "cell").alias("a"), F.greatest("rec", "cell").alias("b")))
+
+    # Groups inside one cell are done with; elsewhere only sets of different cells meet.
+    whole = (crowded.join(cells, "rec").groupBy("sig").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"))
+             .filter("lo = hi").select("sig"))
+    index = (rest.filter("side = 0").join(cells, "rec", "left")
+             .select("sig", F.col("rec").alias("b"), F.col("comp").alias("y"), F.col("n").alias("nb"), F.col("cell").alias("cb")))
+    probes = probes.drop("held").join(whole, "sig", "left_anti").join(cells.select(F.col("rec").alias("a"), F.col("cell").alias("ca")), "a", "left")
+    across = probes.join(index, "sig").filter("x <> y and nb <= na and 4 * nb >= 3 * na and (ca = cb) is not true").select("a", "b").distinct()
+    pairs = reliable(_sized(across.unionByName(_within_cells(diffs)), sizes).join(star, ["a", "b"], "left_anti"))
+    edges = reliable(edges)
+    label = components(edges.unionByName(reliable(_links(pairs, texts))))
     named = classes.join(label, "rec", "left").withColumn("comp", F.coalesce("comp", "rec"))
     low = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     named = reliable(named.join(low, "comp").select("c1", "c2", "class_id", "class_size", "component_id"))

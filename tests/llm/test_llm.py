@@ -97,6 +97,33 @@ def test_join_brute_force(spark, seed):
     assert got == brute_components(pairs(df))
 
 
+def test_join_crowded_group_brute_force(spark, monkeypatch):
+    """Hundreds of copies of two related texts with zero to eight edits: the
+    cells around hubs find the components of all pairs, with far fewer pairs."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 5000, 150)]
+    rows = []
+    for i in range(260):
+        t = list(base) if i % 3 else base[:90] + [f"v{j}" for j in range(60)]
+        for at in rng.integers(0, 150, i % 9):
+            t[at] = f"x{rng.integers(0, 40 if i % 2 else 10**6)}"
+        rows.append((i, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(brute_components([(r["doc_id"], r["text"]) for r in df.collect()]), key=str)
+    seen, inner = [], ngram_join._links
+
+    def links(pairs, texts):
+        seen.append(pairs.count())
+        return inner(pairs, texts)
+
+    monkeypatch.setattr(ngram_join, "_links", links)
+    for crowd in (0, ngram_join.CROWD, 10**9):
+        monkeypatch.setattr(ngram_join, "CROWD", crowd)
+        got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect()), key=str)
+        assert got == expected, crowd
+    assert seen[1] < seen[5] / 2
+
+
 def test_join_documents_and_odd(docs, odd, empty):
     for df in (docs, odd):
         got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect()), key=str)
