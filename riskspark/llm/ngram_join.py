@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskspark.llm.textkit import U64, reliable, shingles, shuffle_parts, splitmix, utf8, written
+from riskspark.llm.textkit import U64, release, reliable, shingles, shuffle_parts, splitmix, utf8, written
 
 SLACK, CHUNK, BUCKET_SHINGLES, SIG_BITS = 1.2, 1 << 22, 3_000_000, 48
 CROWD = 1024               # comparisons in one group from which its sets are dealt to cells
@@ -327,6 +327,7 @@ def components(edges: DataFrame) -> DataFrame:
         jump = label.select(F.col("rec").alias("low"), F.col("comp").alias("far"))
         nxt = reliable(nxt.join(jump, "low", "left").select("rec", F.col("comp").alias("old"), F.coalesce("far", "low").alias("comp")))
         label = nxt.select("rec", "comp")
+        release(edges.sparkSession)
         if not nxt.filter("old <> comp").head(1):
             return label
 
@@ -349,6 +350,7 @@ def join(docs: DataFrame) -> DataFrame:
         F.first("own").alias("own"), F.first("low").alias("low")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
     sizes = classes.groupBy("rec").agg(F.max("n").alias("n"), F.min("own").alias("own"), F.min("low").alias("low"))
     members = written(_groups(docs, max(2 * shuffle_parts(spark), -(-total // BUCKET_SHINGLES))), "members")
+    release(spark)
 
     # Stars: each set against the pivot with which it shares most groups.
     votes = members.filter("rec <> pivot").groupBy("rec", "pivot").agg(F.count(F.lit(1)).alias("n"))
@@ -358,6 +360,7 @@ def join(docs: DataFrame) -> DataFrame:
            .join(members.select("rec").distinct(), "rec"))
     texts = written(_texts(docs, ids), "texts")
     edges = reliable(_links(star, texts))
+    release(spark)
     label = components(edges)
 
     # Groups that still span components. A used segment that no other
@@ -393,6 +396,7 @@ def join(docs: DataFrame) -> DataFrame:
     across = probes.join(index, "sig").filter("x <> y and nb <= na and 4 * nb >= 3 * na and (ca = cb) is not true").select("a", "b").distinct()
     pairs = reliable(_sized(across.unionByName(_within_cells(diffs)), sizes).join(star, ["a", "b"], "left_anti"))
     edges = reliable(edges)
+    release(spark)
     label = components(edges.unionByName(reliable(_links(pairs, texts))))
     named = classes.join(label, "rec", "left").withColumn("comp", F.coalesce("comp", "rec"))
     low = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))

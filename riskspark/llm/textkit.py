@@ -8,6 +8,7 @@ Texts are never cut: a document longer than a block is walked block by block.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -148,6 +149,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark) -> None:
+    """Let Spark's cleaner drop the shuffle files and checkpoints that no frame
+    refers to any more; left alone, it waits for the driver's next full
+    collection (``spark.cleaner.periodicGC.interval``, 30 minutes)."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def shuffle_parts(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
