@@ -11,7 +11,8 @@ So a question with other numbers or names is still found.
 An item shorter than a window is matched as one window of its own length; one
 of under ``LEAST`` template words, or null, is not searched, and a window needs ``SOLID``
 plain words (or all its words, if fewer). Null and empty texts match nothing. Other columns are ignored.
-The benchmark's windows are broadcast only below ``BROADCAST_ROWS`` rows.
+The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows; above, both
+sides are shuffled and a window carries its own words. The result is the same.
 """
 
 from __future__ import annotations
@@ -78,10 +79,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for n in lens or [WINDOW]:
         b = bench.filter(F.col("len") == n)
         w = d.select("doc_id", "dt", F.posexplode(windows(F.col("h"), n)).alias("pos", "wh"))
-        if not small:
-            w = w.withColumn("dt", F.lit(None).cast("string"))
-        j = w.join(F.broadcast(b) if small else b, "wh")
-        dr = F.when(F.col("slots"), F.slice(words(F.col("dt")), F.col("pos") + 1, n))
+        own = F.slice(words(F.col("dt")), F.col("pos") + 1, n)
+        if small:
+            j, dr = w.join(F.broadcast(b), "wh"), F.when(F.col("slots"), own)
+        else:       # the window's own words travel, not the whole text
+            j, dr = w.select("doc_id", "pos", "wh", own.alias("dw")).join(b, "wh"), F.when(F.col("slots"), F.col("dw"))
         pairs = F.filter(F.transform(F.arrays_zip(F.col("part"), F.col("iraw"), dr.alias("draw")),
                                      lambda x: F.when(x["part"].isin(NUM, NAME, UNIT), F.struct(x["iraw"].alias("i"), x["draw"].alias("d")))),
                          lambda x: x.isNotNull())

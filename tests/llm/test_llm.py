@@ -280,6 +280,21 @@ def test_decontamination(spark, odd, empty):
     assert decontaminate.matches(empty, bench).count() == 0 and decontaminate.matches(df, bench.limit(0)).count() == 0
 
 
+def leaks(spark, texts, items):
+    """{(doc, item)} of the matches; ids count from 0."""
+    df = spark.createDataFrame([(i, t, "en", "s", 0, 0.0, 0) for i, t in enumerate(texts)], SCHEMA)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(df, bench).collect()}
+
+
+def test_decontamination_without_broadcast(spark, monkeypatch):
+    q = "a train leaves the old station with 40 passengers and then 25 km later it stops and 40 people leave the train"
+    texts = [q, q.replace("40", "77"), q.replace("40", "77", 1), q[:50]]
+    small = leaks(spark, texts, [q])
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert leaks(spark, texts, [q]) == small == {(0, 0), (1, 0)}
+
+
 def test_pipeline_stages(spark, docs):
     d = docs
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
