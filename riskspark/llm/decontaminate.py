@@ -1,16 +1,18 @@
 """Benchmark decontamination by template canonicalisation (DataFrame only).
 
-Numbers, names (capitalised words inside a sentence) and units become typed
-placeholders; words are lower-cased and punctuation goes. Windows of
-``WINDOW`` template words of every document are hash-joined with those of the
-benchmark. At one alignment, the placeholders of the item must map
-consistently to values of the document (same value in the item, same value in
-the document); the consistent windows must cover ``COVERAGE`` of the item's.
-So a question with other numbers or names is still found.
+Numbers, names (capitalised words inside a sentence, but not inside upper-case
+text) and units become typed placeholders; case and punctuation go. Windows of
+``WINDOW`` words of every document are hash-joined with those of the benchmark,
+once by their words and, where they hold placeholders, once by their template.
+At one alignment, the placeholders of the item must map consistently to values
+of the document (same value in the item, same value in the document); the
+consistent windows and those with the very words must cover ``COVERAGE`` of the
+item's. So a question with other numbers or names is still found, and a copy
+in another case also.
 
 An item shorter than a window is matched as one window of its own length; one
-of under ``LEAST`` template words, or null, is not searched, and a window needs ``SOLID``
-plain words (or all its words, if fewer). Null and empty texts match nothing. Other columns are ignored.
+of under ``LEAST`` words, or null, is not searched. A window with fewer than ``SOLID``
+plain words (or than all its words, if shorter) is found by its very words only. Null and empty texts match nothing. Other columns are ignored.
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows; above, both
 sides are shuffled and a window carries its own words. The result is the same.
 """
@@ -23,49 +25,66 @@ from riskspark.llm.textkit import reliable
 
 WINDOW, LEAST, SOLID, COVERAGE = 8, 4, 4, 0.5
 BROADCAST_ROWS = 200_000
-# Placeholder words and units.
+# Marks of slots, which stand before their word, and units.
 NUM, NAME, UNIT = "\ue001", "\ue002", "\ue003"
+MARKS, PAST = NUM + NAME + UNIT, "\ue004"
 UNITS = ("km|kilometers?|kilometres?|cm|mm|meters?|metres?|miles?|feet|foot|inch|inches|kg|kilograms?|grams?|mg|pounds?|lbs?|ounces?|"
          "liters?|litres?|ml|gallons?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|mph|kph")
 NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
+# After an upper-case word and a comma, a word all in upper case is running text.
+NAMES = r"(?=\p{Lu})(?<=[\p{Ll},;] )(?!(?<=\p{Lu}[,;] )\p{Lu}+(?!\p{L}))"
 
 
-def words(text):
-    """Words and numbers as written."""
-    return F.regexp_extract_all(text, F.lit(rf"{NUMBER}|\p{{L}}+"), F.lit(0))
+def tokens(text):
+    """Words and numbers without case; slots begin with their mark."""
+    t = F.regexp_replace(F.translate(text, MARKS, "   "), NAMES, NAME)
+    t = F.regexp_replace(t, rf"({NUMBER} ?)(?=(?i:{UNITS})(?!\p{{L}}))", f"$1{UNIT}")
+    t = F.lower(F.upper(F.regexp_replace(t, NUMBER, f"{NUM}$0")))
+    return F.regexp_extract_all(t, F.lit(rf"[{MARKS}]?(?:{NUMBER}|\p{{L}}+)"), F.lit(0))
 
 
-def template(text):
-    """Template words, in step with ``words``."""
-    t = F.regexp_replace(text, NUMBER, f" {NUM} ")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll},;] )\p{Lu}\p{L}*", f" {NAME} ")
-    t = F.regexp_replace(F.lower(t), rf"(?<= {NUM} {{1,2}})(?:{UNITS})(?!\p{{L}})", f" {UNIT} ")
-    return F.split(F.trim(F.regexp_replace(t, rf"[^\p{{L}}{NUM}{NAME}{UNIT}]+", " ")), " ")
+def _slot(x):
+    return (x >= NUM) & (x < PAST)
 
 
-def windows(hashes, length):
-    return F.when(F.size(hashes) >= length, F.transform(
-        F.sequence(F.lit(1), F.size(hashes) - length + 1), lambda i: F.xxhash64(F.slice(hashes, i, length)))).otherwise(
-        F.array().cast("array<bigint>"))
+def _bare(x):
+    return F.when(_slot(x), F.substring(x, 2, 1 << 30)).otherwise(x)
 
 
-def _slots(t):
-    return F.exists(t, lambda x: x.isin(NUM, NAME, UNIT))
+def plain(toks):
+    """The words as such."""
+    return F.transform(toks, _bare)
+
+
+def template(toks):
+    """The words, slots as their mark alone."""
+    return F.transform(toks, lambda x: F.when(_slot(x), F.substring(x, 1, 1)).otherwise(x))
+
+
+def windows(df: DataFrame, length) -> DataFrame:
+    """k, wh: the hashes of all plain windows, then as many of the templates (none where equal)."""
+    def of(h):
+        return F.transform(F.sequence(F.lit(1), F.size(h) - length + 1), lambda i: F.xxhash64(F.slice(h, i, length)))
+    df = df.filter(F.size("toks") >= length)
+    df = df.select("*", *[F.transform(f(F.col("toks")), lambda x: F.xxhash64(x)).alias(n) for f, n in ((plain, "hp"), (template, "ht"))])
+    df = df.select("*", of("hp").alias("wp"))
+    typed = F.zip_with(of("ht"), "wp", lambda t, e: F.when(t != e, t))
+    return df.select("*", F.posexplode(F.concat("wp", typed)).alias("k", "wh")).drop("hp", "ht", "wp").filter("wh is not null")
 
 
 def bench_windows(benchmark: DataFrame) -> DataFrame:
-    b = (benchmark.select(F.col("item_id"), F.col("text").alias("bt")).filter("bt is not null")
-         .withColumn("tpl", template(F.col("bt"))).withColumn("raw", words(F.col("bt")))
-         .filter((F.size("tpl") >= LEAST) & (F.size("raw") == F.size("tpl"))))
-    b = b.withColumn("len", F.least(F.lit(WINDOW), F.size("tpl")))
-    b = b.withColumn("n_windows", F.size("tpl") - F.col("len") + 1)
-    h = F.transform("tpl", lambda x: F.xxhash64(x))
-    b = b.select("item_id", "len", "n_windows", "raw", "tpl", F.posexplode(windows(h, F.col("len"))).alias("ipos", "wh"))
-    b = b.withColumn("part", F.slice("tpl", F.col("ipos") + 1, F.col("len")))
-    plain = F.size(F.filter("part", lambda x: ~x.isin(NUM, NAME, UNIT)))
-    return reliable(b.filter(plain >= F.least(F.lit(SOLID), F.col("len"))).select(
-        "item_id", "len", "n_windows", "ipos", "wh", _slots(F.col("part")).alias("slots"),
-        F.slice("raw", F.col("ipos") + 1, F.col("len")).alias("iraw"), "part"))
+    """Per item one row for each plain window, and one for each solid window with slots."""
+    b = (benchmark.select("item_id", tokens(F.col("text")).alias("toks")).filter(F.size("toks") >= LEAST)
+         .withColumn("len", F.least(F.lit(WINDOW), F.size("toks"))))
+    b = b.withColumn("n_windows", F.size("toks") - F.col("len") + 1)
+    b = windows(b, F.col("len"))
+    b = b.withColumn("ipos", F.col("k") % F.col("n_windows")).withColumn("exact", F.col("k") < F.col("n_windows"))
+    b = b.withColumn("part", F.slice("toks", F.col("ipos") + 1, F.col("len")))
+    b = b.withColumn("solid", F.size(F.filter("part", lambda x: ~_slot(x))) >= F.least(F.lit(SOLID), F.col("len")))
+    slots = F.filter(F.transform("part", lambda x, i: F.when(_slot(x), F.struct(
+        i.alias("at"), _bare(x).alias("i")))), lambda x: x.isNotNull())
+    return reliable(b.filter(F.col("exact") | F.col("solid")).select(
+        "item_id", "len", "n_windows", "ipos", "wh", "exact", "solid", F.when(~F.col("exact"), slots).alias("slots")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -73,27 +92,26 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bench = bench_windows(benchmark)
     lens = sorted(r["len"] for r in bench.select("len").distinct().collect())    # at most WINDOW values
     small = bench.count() <= BROADCAST_ROWS
-    d = docs.select(F.col("doc_id"), F.col("text").alias("dt")).filter("dt is not null")
-    d = d.select("doc_id", "dt", F.transform(template(F.col("dt")), lambda x: F.xxhash64(x)).alias("h"))
+    d = docs.select("doc_id", tokens(F.col("text")).alias("toks"))
     hits = None
     for n in lens or [WINDOW]:
-        b = bench.filter(F.col("len") == n)
-        w = d.select("doc_id", "dt", F.posexplode(windows(F.col("h"), n)).alias("pos", "wh"))
-        own = F.slice(words(F.col("dt")), F.col("pos") + 1, n)
+        b = bench.filter(F.col("len") == n).drop("len")
+        w = windows(d, n)
+        count = F.size("toks") - n + 1
+        pos = (F.col("k") % count).alias("pos")
+        own = F.when(F.col("k") >= count, plain(F.slice("toks", F.col("k") % count + 1, n))).alias("own")
         if small:
-            j, dr = w.join(F.broadcast(b), "wh"), F.when(F.col("slots"), own)
+            j = w.join(F.broadcast(b), "wh").select("*", pos, own)
         else:       # the window's own words travel, not the whole text
-            j, dr = w.select("doc_id", "pos", "wh", own.alias("dw")).join(b, "wh"), F.when(F.col("slots"), F.col("dw"))
-        pairs = F.filter(F.transform(F.arrays_zip(F.col("part"), F.col("iraw"), dr.alias("draw")),
-                                     lambda x: F.when(x["part"].isin(NUM, NAME, UNIT), F.struct(x["iraw"].alias("i"), x["draw"].alias("d")))),
-                         lambda x: x.isNotNull())
-        j = j.select("doc_id", "item_id", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("diag"),
-                     F.when(F.col("slots"), pairs).alias("pairs"))
+            j = w.select("doc_id", "wh", pos, own).join(b, "wh")
+        j = j.select("doc_id", "item_id", "n_windows", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
+                     F.transform("slots", lambda s: F.struct(s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"), "exact")
         hits = j if hits is None else hits.unionByName(j)
     g = hits.groupBy("doc_id", "item_id", "n_windows", "diag").agg(
-        F.collect_set("ipos").alias("seen"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        F.collect_set(F.when(F.col("exact"), F.col("ipos"))).alias("same"), F.collect_set("ipos").alias("seen"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda x: x["i"]))) == F.size("pairs")
-    g = g.filter(F.col("pairs").isNull() | consistent)
+    g = g.withColumn("seen", F.when(consistent, F.col("seen")).otherwise(F.col("same")))
     g = g.groupBy("doc_id", "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("seen")))).alias("n"))
     return g.withColumn("coverage", F.col("n") / F.col("n_windows")).filter(F.col("coverage") >= COVERAGE).select("doc_id", "item_id", "coverage")
 

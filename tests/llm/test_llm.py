@@ -295,6 +295,13 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     assert leaks(spark, texts, [q]) == small == {(0, 0), (1, 0)}
 
 
+def test_decontamination_case(spark):
+    q = "after the long trip Ann, Bob, Carl, Dora, Emil, Fritz and old Gustav sold the house, the garden, the boat and the car to Hans"
+    texts = ["x " + q, q.upper(), q.lower(), q.title(), "Some words before, " + q.upper() + " and after", q.replace("Ann", "Zoe").replace("Hans", "Kim")]
+    assert leaks(spark, texts, [q]) == {(i, 0) for i in range(6)}
+    assert leaks(spark, texts, [q.upper()]) >= {(i, 0) for i in range(5)}
+
+
 def test_pipeline_stages(spark, docs):
     d = docs
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
