@@ -7,12 +7,12 @@ once by their words and, where they hold placeholders, once by their template.
 At one alignment, the placeholders of the item must map consistently to values
 of the document (same value in the item, same value in the document); the
 consistent windows and those with the very words must cover ``COVERAGE`` of the
-item's. So a question with other numbers or names is still found, and a copy
+item's, or those that are solid (below) ``COVERAGE`` of its solid ones. So a question with other numbers or names is still found, and a copy
 in another case also.
 
 An item shorter than a window is matched as one window of its own length; one
-of under ``LEAST`` words, or null, is not searched. A window with fewer than ``SOLID``
-plain words (or than all its words, if shorter) is found by its very words only. Null and empty texts match nothing. Other columns are ignored.
+of under ``LEAST`` words, or null, is not searched. A window is solid with ``SOLID``
+plain words (or all its words, if fewer); others are found by their very words only. Null and empty texts match nothing. Other columns are ignored.
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows; above, both
 sides are shuffled and a window carries its own words. The result is the same.
 """
@@ -72,19 +72,25 @@ def windows(df: DataFrame, length) -> DataFrame:
     return df.select("*", F.posexplode(F.concat("wp", typed)).alias("k", "wh")).drop("hp", "ht", "wp").filter("wh is not null")
 
 
+def _solid(part, length):
+    return F.size(F.filter(part, lambda x: ~_slot(x))) >= F.least(F.lit(SOLID), length)
+
+
 def bench_windows(benchmark: DataFrame) -> DataFrame:
     """Per item one row for each plain window, and one for each solid window with slots."""
     b = (benchmark.select("item_id", tokens(F.col("text")).alias("toks")).filter(F.size("toks") >= LEAST)
          .withColumn("len", F.least(F.lit(WINDOW), F.size("toks"))))
     b = b.withColumn("n_windows", F.size("toks") - F.col("len") + 1)
+    b = b.withColumn("n_solid", F.size(F.filter(
+        F.sequence(F.lit(1), F.col("n_windows")), lambda i: _solid(F.slice("toks", i, F.col("len")), F.col("len")))))
     b = windows(b, F.col("len"))
     b = b.withColumn("ipos", F.col("k") % F.col("n_windows")).withColumn("exact", F.col("k") < F.col("n_windows"))
     b = b.withColumn("part", F.slice("toks", F.col("ipos") + 1, F.col("len")))
-    b = b.withColumn("solid", F.size(F.filter("part", lambda x: ~_slot(x))) >= F.least(F.lit(SOLID), F.col("len")))
+    b = b.withColumn("solid", _solid(F.col("part"), F.col("len")))
     slots = F.filter(F.transform("part", lambda x, i: F.when(_slot(x), F.struct(
         i.alias("at"), _bare(x).alias("i")))), lambda x: x.isNotNull())
     return reliable(b.filter(F.col("exact") | F.col("solid")).select(
-        "item_id", "len", "n_windows", "ipos", "wh", "exact", "solid", F.when(~F.col("exact"), slots).alias("slots")))
+        "item_id", "len", "n_windows", "n_solid", "ipos", "wh", "exact", "solid", F.when(~F.col("exact"), slots).alias("slots")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -104,16 +110,19 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             j = w.join(F.broadcast(b), "wh").select("*", pos, own)
         else:       # the window's own words travel, not the whole text
             j = w.select("doc_id", "wh", pos, own).join(b, "wh")
-        j = j.select("doc_id", "item_id", "n_windows", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
+        j = j.select("doc_id", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
                      F.transform("slots", lambda s: F.struct(s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"), "exact")
         hits = j if hits is None else hits.unionByName(j)
-    g = hits.groupBy("doc_id", "item_id", "n_windows", "diag").agg(
-        F.collect_set(F.when(F.col("exact"), F.col("ipos"))).alias("same"), F.collect_set("ipos").alias("seen"),
+    g = hits.groupBy("doc_id", "item_id", "n_windows", "n_solid", "diag").agg(
+        F.collect_set(F.when(F.col("exact"), F.struct("ipos", "solid"))).alias("same"), F.collect_set(F.struct("ipos", "solid")).alias("seen"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda x: x["i"]))) == F.size("pairs")
     g = g.withColumn("seen", F.when(consistent, F.col("seen")).otherwise(F.col("same")))
-    g = g.groupBy("doc_id", "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("seen")))).alias("n"))
-    return g.withColumn("coverage", F.col("n") / F.col("n_windows")).filter(F.col("coverage") >= COVERAGE).select("doc_id", "item_id", "coverage")
+    g = g.groupBy("doc_id", "item_id", "n_windows", "n_solid").agg(F.array_distinct(F.flatten(F.collect_set("seen"))).alias("seen"))
+    # Other values can only be found in solid windows, the very words in all.
+    among = F.size(F.filter("seen", lambda x: x["solid"])) / F.nullif(F.col("n_solid"), F.lit(0))
+    return (g.withColumn("coverage", F.greatest(F.size("seen") / F.col("n_windows"), among))
+            .filter(F.col("coverage") >= COVERAGE).select("doc_id", "item_id", "coverage"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

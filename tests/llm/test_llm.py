@@ -302,6 +302,14 @@ def test_decontamination_case(spark):
     assert leaks(spark, texts, [q.upper()]) >= {(i, 0) for i in range(5)}
 
 
+def test_decontamination_few_plain_words(spark):
+    sums = "a clerk adds the following numbers to his long list 3 14 15 92 65 35 89 79 32 38 46 26 43 38 32 79 50 28"
+    items = ["What is 7 times 8?", sums, "the people of \u0130zmir and of old Bursa walk home at dawn"]
+    texts = ["so what is 7 times 8 then", "what is 9 times 8 then", sums, sums.replace("3", "4").replace("9", "1"),
+             "1 14 15 92 65 35 89 79 32 and no more", items[2], items[2].upper()]
+    assert leaks(spark, texts, items) == {(0, 0), (2, 1), (3, 1), (5, 2), (6, 2)}
+
+
 def test_pipeline_stages(spark, docs):
     d = docs
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
