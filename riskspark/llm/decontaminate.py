@@ -5,8 +5,9 @@ text) and units become typed placeholders; case and punctuation go. Windows of
 ``WINDOW`` words of every document are hash-joined with those of the benchmark,
 once by their words and, where they hold placeholders, once by their template.
 At one alignment, the placeholders of the item must map consistently to values
-of the document (same value in the item, same value in the document); the
-consistent windows and those with the very words must cover ``COVERAGE`` of the
+of the document (same value in the item, same value in the document): a slot is
+judged by the majority of the slots of its value, a tie has none, and a window
+with an inconsistent slot does not count. The consistent windows and those with the very words must cover ``COVERAGE`` of the
 item's, or those that are solid (below) ``COVERAGE`` of its solid ones. So a question with other numbers or names is still found, and a copy
 in another case also.
 
@@ -111,13 +112,16 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         else:       # the window's own words travel, not the whole text
             j = w.select("doc_id", "wh", pos, own).join(b, "wh")
         j = j.select("doc_id", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
-                     F.transform("slots", lambda s: F.struct(s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"), "exact")
+                     F.transform("slots", lambda s: F.struct((F.col("ipos") + s["at"]).alias("p"), s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"),
+                     "exact")
         hits = j if hits is None else hits.unionByName(j)
     g = hits.groupBy("doc_id", "item_id", "n_windows", "n_solid", "diag").agg(
-        F.collect_set(F.when(F.col("exact"), F.struct("ipos", "solid"))).alias("same"), F.collect_set(F.struct("ipos", "solid")).alias("seen"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda x: x["i"]))) == F.size("pairs")
-    g = g.withColumn("seen", F.when(consistent, F.col("seen")).otherwise(F.col("same")))
+        F.collect_set(F.struct("ipos", "solid", "exact", "pairs")).alias("seen"), F.flatten(F.collect_set("pairs")).alias("votes"))
+    # A slot is consistent if most slots with its value in the item have its value in the document.
+    g = g.withColumn("votes", F.array_distinct("votes")).withColumn("odd", F.filter("votes", lambda v: F.size(F.filter(
+        "votes", lambda u: (u["i"] == v["i"]) & (u["d"] == v["d"]))) * 2 <= F.size(F.filter("votes", lambda u: u["i"] == v["i"]))))
+    g = g.withColumn("seen", F.transform(F.filter("seen", lambda w: w["exact"] | ~F.arrays_overlap(w["pairs"], "odd")),
+                                         lambda w: F.struct(w["ipos"].alias("ipos"), w["solid"].alias("solid"))))
     g = g.groupBy("doc_id", "item_id", "n_windows", "n_solid").agg(F.array_distinct(F.flatten(F.collect_set("seen"))).alias("seen"))
     # Other values can only be found in solid windows, the very words in all.
     among = F.size(F.filter("seen", lambda x: x["solid"])) / F.nullif(F.col("n_solid"), F.lit(0))

@@ -310,6 +310,15 @@ def test_decontamination_few_plain_words(spark):
     assert leaks(spark, texts, items) == {(0, 0), (2, 1), (3, 1), (5, 2), (6, 2)}
 
 
+def test_decontamination_one_changed_slot(spark):
+    q = ("a train leaves the old station with 40 passengers and later it stops and 40 people leave the train while the driver "
+         "of the other train waits at the bridge until the signal turns green and then goes on to the next town with 9 more")
+    short = "the farmer sells 12 apples and the other farmer sells 12 pears while their son eats 12 plums and sells 12 figs"
+    texts = [q, q.replace("40", "77", 1), q.replace("40", "77", 1).replace("9", "8"), q.replace("40", "77").replace("9", "8"),
+             short.replace("12", "7"), short.replace("12", "7", 3).replace("figs", "dates"), short.replace("12", "7", 1).replace("12 pears", "8 pears").replace("12 plums", "9 plums")]
+    assert leaks(spark, texts, [q, short]) == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)}
+
+
 def test_pipeline_stages(spark, docs):
     d = docs
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
