@@ -20,11 +20,12 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 # The base patterns (a run is tried from its beginning only,
-# which finds the same leftmost matches).
+# which finds the same leftmost matches; repeated groups are possessive, others
+# recurse once per round and overflow the stack on long runs).
 BASE = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9](?=[\x20-]?[0-9])[0-9]*+(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 ADDED = {

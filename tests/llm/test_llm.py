@@ -260,6 +260,17 @@ def test_pii(spark, odd, docs, empty):
     assert pii.find(empty, textkit.reliable).count() == 0
 
 
+def test_pii_long_runs(spark):
+    card = "4111 1111 1111 1111"
+    texts = ["1 " * 100_000 + "x " + card, "12-" * 50_000 + "3", "7" * 100_000, "+1 " + "2 " * 50_000, "a" * 100_000 + "@b" + ".c" * 50_000,
+             "5 x " + card + ", 6"]
+    df = spark.createDataFrame([(i, t, "en", "s", 0, 0.0, 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r["base"] for r in pii.find(df, textkit.reliable).collect()}
+    assert [(s["k"], s["s"], s["e"]) for s in got[0]] == [("card", 200_002, 200_021)]
+    assert [(s["k"], s["s"], s["e"]) for s in got[5]] == [("card", 4, 23)]
+    assert not got[1] and not got[2] and not got[3] and [s["k"] for s in got[4]] == ["email"]
+
+
 def test_licenses(spark, odd):
     t = "é one two\nLicensed under the Apache License, Version 2.0. more words here"
     df = odd.unionByName(spark.createDataFrame([(50, t, "en", "s", 0, 0.0, 0)], SCHEMA))
