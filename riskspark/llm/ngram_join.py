@@ -135,8 +135,13 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return int(c[0]), int(c[1])
 
 
+def text_key(text):
+    """th, tk: 96 bits of a text. Rows are told apart by it, as ids may be null or repeated."""
+    return F.xxhash64(text).alias("th"), F.hash(text).alias("tk")
+
+
 def profile(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, c1, c2 (set identity), own and low (spare units
+    """doc_id, th, tk, n_shingles, c1, c2 (set identity), own and low (spare units
     in the own band and in the one below) of every row."""
     def run(batches):
         for b in batches:
@@ -147,8 +152,10 @@ def profile(docs: DataFrame) -> DataFrame:
                 spare = [*spares(len(s), s), 0, 0]
                 out.append((len(s), *identity(s), spare[0], spare[1]))
             cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(5)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_shingles", "c1", "c2", "own", "low"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, c1 long, c2 long, own long, low long")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *cols],
+                                             names=["doc_id", "th", "tk", "n_shingles", "c1", "c2", "own", "low"])
+    return docs.select("doc_id", "text", *text_key("text")).mapInArrow(
+        run, "doc_id long, th long, tk int, n_shingles long, c1 long, c2 long, own long, low long")
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -230,8 +237,8 @@ def _groups(docs: DataFrame, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(meet, "sig long, rec long, bits byte, pivot long")
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """rec, z (compressed text) of the documents with the given ids. Texts are
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """rec, z (compressed text) of the texts with the given keys. Texts are
     a third of the size of their shingle sets, so they travel instead."""
     def run(batches):
         import zstandard
@@ -239,9 +246,10 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
         for b in batches:
             data, off = utf8(b.column(1))
             z = [press.compress(data[off[i]:off[i + 1]].tobytes()) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc_id", "z"])
-    small = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, z binary")
-    return small.join(ids, "doc_id").select("rec", "z").dropDuplicates(["rec"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(z, pa.binary())], names=["th", "tk", "z"])
+    th, tk = text_key("text")
+    small = docs.select(th, "text", tk).mapInArrow(run, "th long, tk int, z binary")
+    return small.join(keys, ["th", "tk"]).select("rec", "z").dropDuplicates(["rec"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -342,12 +350,19 @@ def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id, class_size of every row."""
+    return _joined(docs).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+                                F.coalesce("class_id", "doc_id").alias("class_id"),
+                                F.coalesce("class_size", F.lit(1)).alias("class_size"))
+
+
+def _joined(docs: DataFrame) -> DataFrame:
+    """Every row with its text key, class and component (comp; null for an empty set)."""
     spark = docs.sparkSession
     rows = reliable(profile(docs))
     total = rows.agg(F.sum("n_shingles").alias("n")).collect()[0]["n"] or 0
     classes = reliable(rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"),
-        F.first("own").alias("own"), F.first("low").alias("low")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
+        F.first("own").alias("own"), F.first("low").alias("low"), F.min(F.struct("th", "tk")).alias("key")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
     sizes = classes.groupBy("rec").agg(F.max("n").alias("n"), F.min("own").alias("own"), F.min("low").alias("low"))
     members = written(_groups(docs, max(2 * shuffle_parts(spark), -(-total // BUCKET_SHINGLES))), "members")
     release(spark)
@@ -356,9 +371,9 @@ def join(docs: DataFrame) -> DataFrame:
     votes = members.filter("rec <> pivot").groupBy("rec", "pivot").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("rec").agg(F.max(F.struct("n", "pivot")).alias("top"))
     star = reliable(_sized(best.select(F.col("rec").alias("a"), F.col("top.pivot").alias("b")), sizes))
-    ids = (classes.filter("class_id is not null").groupBy("rec").agg(F.min("class_id").alias("doc_id"))
-           .join(members.select("rec").distinct(), "rec"))
-    texts = written(_texts(docs, ids), "texts")
+    keys = (classes.groupBy("rec").agg(F.min("key").alias("key")).join(members.select("rec").distinct(), "rec")
+            .select("rec", "key.th", "key.tk"))
+    texts = written(_texts(docs, keys), "texts")
     edges = reliable(_links(star, texts))
     release(spark)
     label = components(edges)
@@ -400,13 +415,18 @@ def join(docs: DataFrame) -> DataFrame:
     label = components(edges.unionByName(reliable(_links(pairs, texts))))
     named = classes.join(label, "rec", "left").withColumn("comp", F.coalesce("comp", "rec"))
     low = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    named = reliable(named.join(low, "comp").select("c1", "c2", "class_id", "class_size", "component_id"))
-    out = rows.join(named, ["c1", "c2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-                      F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    named = reliable(named.join(low, "comp").select("c1", "c2", "class_id", "class_size", "comp", "component_id"))
+    return rows.join(named, ["c1", "c2"], "left")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each component the row with the smallest id, with all columns."""
-    gone = reliable(join(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """Of each component the row with the smallest id (null last), then text
+    key, with all columns. Rows equal in id and text stay or go together."""
+    rows = _joined(docs).filter("comp is not null").select(
+        "comp", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "tk").alias("row"))
+    rows = reliable(rows.distinct())
+    best = rows.groupBy("comp").agg(F.min("row").alias("best"))
+    gone = reliable(rows.join(best, "comp").filter("row <> best").select(
+        F.col("row.doc_id").alias("__gone"), F.col("row.th").alias("__th"), F.col("row.tk").alias("__tk")).distinct())
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]) & (F.xxhash64(docs["text"]) == gone["__th"])
+                     & (F.hash(docs["text"]) == gone["__tk"]), "left_anti")

@@ -124,6 +124,23 @@ def test_join_crowded_group_brute_force(spark, monkeypatch):
     assert seen[1] < seen[5] / 2
 
 
+def test_join_null_and_repeated_ids(spark):
+    """Near copies whose ids are null, or shared by texts that have nothing in common."""
+    base = near_table(spark, 150, 4).select("doc_id", "text").collect()
+    rows = [(None if i % 4 == 1 else r["doc_id"] % 40, r["text"]) for i, r in enumerate(base)]
+    a = [f"a{i}" for i in range(60)]
+    b = a[:58] + ["x", "y"]
+    c = b[2:] + ["z", "q"]
+    rows += [(1000, " ".join(a)), (None, " ".join(b)), (1002, " ".join(c))]         # linked through the null id
+    df = spark.createDataFrame([(i, t, "en", "s", 0, 0.0, 0) for i, t in rows], SCHEMA)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect()), key=str)
+    assert got == brute_components(rows)
+    two = [(7, " ".join(a)), (7, "k l m n o p q r s"), (7, " ".join(b)), (8, " ".join(c)), (3, "k l m n o p q r s"), (None, " ".join(a) + " e"), (None, "")]
+    kept = pairs(ngram_join.keep_one(spark.createDataFrame([(i, t, "en", "s", 0, 0.0, 0) for i, t in two], SCHEMA)))
+    assert len(kept) == 3 and (3, two[4][1]) in kept and (None, "") in kept
+    assert [x for x in kept if x[0] == 7] in ([two[0]], [two[2]])
+
+
 def test_join_documents_and_odd(docs, odd, empty):
     for df in (docs, odd):
         got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(df).collect()), key=str)
