@@ -52,22 +52,17 @@ def _bare(x):
     return F.when(_slot(x), F.substring(x, 2, 1 << 30)).otherwise(x)
 
 
-def plain(toks):
-    """The words as such."""
-    return F.transform(toks, _bare)
-
-
-def template(toks):
-    """The words, slots as their mark alone."""
-    return F.transform(toks, lambda x: F.when(_slot(x), F.substring(x, 1, 1)).otherwise(x))
+def _typed(x):
+    return F.when(_slot(x), F.substring(x, 1, 1)).otherwise(x)
 
 
 def windows(df: DataFrame, length) -> DataFrame:
     """k, wh: the hashes of all plain windows, then as many of the templates (none where equal)."""
-    def of(h):
-        return F.transform(F.sequence(F.lit(1), F.size(h) - length + 1), lambda i: F.xxhash64(F.slice(h, i, length)))
-    df = df.filter(F.size("toks") >= length)
-    df = df.select("*", *[F.transform(f(F.col("toks")), lambda x: F.xxhash64(x)).alias(n) for f, n in ((plain, "hp"), (template, "ht"))])
+    def of(h):      # no filter on toks: it would be pushed down and cut the text into words twice
+        at = F.when(F.size(h) >= length, F.sequence(F.lit(1), F.size(h) - length + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.xxhash64(F.slice(h, i, length)))
+    df = df.select("*", F.transform("toks", lambda x: F.xxhash64(_bare(x))).alias("hp"),
+                   F.transform("toks", lambda x: F.xxhash64(_typed(x))).alias("ht"))
     df = df.select("*", of("hp").alias("wp"))
     typed = F.zip_with(of("ht"), "wp", lambda t, e: F.when(t != e, t))
     return df.select("*", F.posexplode(F.concat("wp", typed)).alias("k", "wh")).drop("hp", "ht", "wp").filter("wh is not null")
@@ -99,14 +94,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bench = bench_windows(benchmark)
     lens = sorted(r["len"] for r in bench.select("len").distinct().collect())    # at most WINDOW values
     small = bench.count() <= BROADCAST_ROWS
-    d = docs.select("doc_id", tokens(F.col("text")).alias("toks"))
+    d = docs.filter("text is not null").select("doc_id", tokens(F.col("text")).alias("toks"))
     hits = None
     for n in lens or [WINDOW]:
         b = bench.filter(F.col("len") == n).drop("len")
         w = windows(d, n)
         count = F.size("toks") - n + 1
         pos = (F.col("k") % count).alias("pos")
-        own = F.when(F.col("k") >= count, plain(F.slice("toks", F.col("k") % count + 1, n))).alias("own")
+        own = F.when(F.col("k") >= count, F.transform(F.slice("toks", F.col("k") % count + 1, n), _bare)).alias("own")
         if small:
             j = w.join(F.broadcast(b), "wh").select("*", pos, own)
         else:       # the window's own words travel, not the whole text
