@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, and SQL where it can say them."""
+"""The registered queries of the operators, and SQL where it can say them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import (bpe_bytes, decontaminate, exact_dedup, language, licenses, ngram_join, pii, quality,
-                           token_files, toxicity)
+from riskspark.llm import (alignment, bpe_bytes, decontaminate, exact_dedup, language, licenses, ngram_join, pii, quality,
+                           spelling, token_files, toxicity, warc)
 from riskspark.llm.textkit import read_table, reliable
 
 END_ID = 2
@@ -64,6 +64,21 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.group(read_table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark, sf_dir):
+    return warc.read_pages(warc.write_pages(read_table(spark, sf_dir, "pages")))
+
+
+def op13_alignment(spark, sf_dir):
+    import public_tokenizers
+    return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language, op2_ngram_join, op3_decontaminate, op4_exact_dedup, op5_token_files,
-                                   op6_toxicity, op7_pii, op8_licenses, op9_byte_bpe, op10_quality)}
-ORACLES = {"op4_exact_dedup": exact_dedup.SQL.strip()}
+                                   op6_toxicity, op7_pii, op8_licenses, op9_byte_bpe, op10_quality, op11_spelling, op12_warc,
+                                   op13_alignment)}
+ORACLES = {"op4_exact_dedup": exact_dedup.SQL.strip(), "op12_warc": warc.SQL.strip()}

@@ -149,6 +149,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_folder(spark, tag: str) -> str:
+    """A new folder's full address in the shared folder. A path without a
+    scheme is completed on the driver as Spark itself would, so that Python
+    workers open it on the same file system."""
+    checkpoint_dir(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}"))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def release(spark) -> None:
     """Let Spark's cleaner drop the shuffle files and checkpoints that no frame
     refers to any more; left alone, it waits for the driver's next full
