@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame, functions as F
 from riskspark.llm.textkit import reliable, written
 
 CUT = re.compile(r"(?<=\S) ")
-BLOCK_CHARS = 8 << 20       # a block closes once it holds this many characters
-BLOCK_DOCS = 8192
-BATCH = 1 << 16
+BLOCK_CHARS = 4 << 20       # a block closes once it holds this many characters
+BLOCK_DOCS = 4096
+BATCH = 1 << 14
 RUN_PIECES = 512
 DIGITS = 6
 _loaded: dict = {}
@@ -51,8 +51,11 @@ class Pair:
     """The two tokenizers and the bytes of their ids."""
 
     def __init__(self, a_path: str, b_path: str):
+        import os
+
         import sentencepiece
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the threads
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -210,8 +213,8 @@ def ragged(off: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(owner)) - np.repeat(np.cumsum(n) - n - off[:-1][which], n), owner
 
 
-def align_block(tok: Pair, texts: list[str | None]) -> tuple[list[dict], np.ndarray, np.ndarray]:
-    """(a record per text, the block's distinct pairs, their document counts).
+def align_block(tok: Pair, texts: list[str | None], groups: bool = True) -> tuple[list[dict], np.ndarray, np.ndarray]:
+    """(a record per text, with its ``groups`` in writing if asked for, the block's distinct pairs, their document counts).
     A record's ``places`` are its distinct pairs as places in the block's
     table and ``times`` how often it holds each linked."""
     pieces: list[str] = []
@@ -221,6 +224,7 @@ def align_block(tok: Pair, texts: list[str | None]) -> tuple[list[dict], np.ndar
         size.append(len(cut))
         pieces += cut
     known = pa.array(pieces, pa.string()).dictionary_encode()
+    del pieces
     code = known.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     al = Aligned(tok, known.dictionary.to_pylist(), tok.cuttable)
     off = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
@@ -265,7 +269,8 @@ def align_block(tok: Pair, texts: list[str | None]) -> tuple[list[dict], np.ndar
             line = extra.written[k]
         line = line[:-1]
         rec["groups_sha256"] = hashlib.sha256(line).hexdigest() if rec["n_a"] else ""
-        rec["groups"] = line
+        if groups:
+            rec["groups"] = line
         rec["places"], rec["times"] = place[edge[d]:edge[d + 1]], times[edge[d]:edge[d + 1]]
         out.append(rec)
     return out, table, seen
@@ -300,7 +305,7 @@ def tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         tok, pack = loaded(a_path, b_path), zstandard.ZstdCompressor(level=1).compress
         part, n = TaskContext.get().partitionId(), 0
         for ids, texts in _blocks(batches):
-            recs, table, seen = align_block(tok, texts)
+            recs, table, seen = align_block(tok, texts, groups=False)
             block = (part << 32) | n
             n += 1
             rows = [{"block": block, "doc_id": i} | {k: r[k] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
