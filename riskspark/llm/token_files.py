@@ -7,10 +7,11 @@ table has, per frame, its offset, compressed length, CRC-32 of the compressed
 bytes and its documents (doc_id, null flag, number of ids). A reader decompresses only
 the frames of the documents it is asked for and checks both checksums.
 
-Documents are range-partitioned and sorted by doc_id (null first; ties by
-text), one file a partition in the shared folder; a retried task writes a
+Documents are range-partitioned and sorted by doc_id (null first; ties by a
+hash of the text, then the text), one file a partition in the shared folder; a retried task writes a
 file of its own and only the successful one is listed. Null text is empty; an
-end id follows each document. Words between spaces and line ends are encoded
+end id follows each document. A special token's name in a text is that token, as
+the library has it by default. Words between spaces and line ends are encoded
 once and kept (no token spans them), which gives the library's ids of the
 whole text. Other columns are ignored; an empty table gives no rows.
 """
@@ -18,44 +19,70 @@ whole text. Other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
-from riskspark.llm.textkit import reliable, shuffle_parts
-from riskspark.session import checkpoint_dir, estimated_bytes, shared_path
+from riskspark.llm.textkit import reliable, shared_folder, shuffle_parts
+from riskspark.session import checkpoint_dir, estimated_bytes
 
 MAGIC = b"TOKFRAM1"
 FRAME_IDS = 1 << 17
 CACHE = 1 << 20
+STEP = 2000        # texts encoded at once
+GROUP = 1024       # files whose ids are summed first
 FILE_BYTES = 64 << 20
 _tok: dict = {}
 
 
 class Encoder:
-    """The library's encoder with a bounded memory of words."""
+    """The library's encoder with a bounded memory of words: their ids lie in
+    one array, and a batch of texts is put together from it."""
 
     def __init__(self, path: str):
+        import os
+
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the threads
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        need = list({w for ws in split for w in ws} - self.known.keys())
-        if len(self.known) + len(need) > CACHE:
-            self.known = {"": b""}
-            need = list({w for ws in split for w in ws} - {""})
-        for i in range(0, len(need), 20_000):
-            part = need[i:i + 20_000]
-            for w, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        self.forget()
+
+    def forget(self):
+        self.place: dict[str, int] = {"": 0}
+        self.ids, self.off = np.zeros(0, "<u4"), np.zeros(2, np.int64)
+
+    def learn(self, words: list[str]):
+        ids, sizes = [self.ids], [np.diff(self.off)]
+        for i in range(0, len(words), 20_000):
+            part = words[i:i + 20_000]
+            found = [e.ids for e in self.lib.encode_batch_fast(part, add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), "<u4"))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.ids = np.concatenate(ids)
+        self.off = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets): words stand between spaces and line ends."""
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        if isinstance(split, pa.ChunkedArray):
+            split = split.combine_chunks()
+        known = split.flatten().dictionary_encode()
+        words = known.dictionary.to_pylist()
+        if len(self.place) + len(words) > CACHE:
+            self.forget()
+        self.learn([w for w in words if w not in self.place])
+        place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        word = place[known.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        n = (self.off[1:] - self.off[:-1])[word]
+        end = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.arange(end[-1]) - np.repeat(end[:-1] - self.off[word], n)]
+        edge = split.offsets.to_numpy()
+        return ids, end[edge - edge[0]]
 
 
 def encoder(path: str) -> Encoder:
@@ -74,7 +101,7 @@ def file_system(uri: str):
 class Writer:
     def __init__(self, out):
         import zstandard
-        self.z = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True)
+        self.z = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True)
         self.out, self.at, self.table, self.frames = out, 0, [], 0
         self.docs: list = []
         self.buf: list[bytes] = []
@@ -146,12 +173,13 @@ def write_documents(docs: DataFrame, tokenizer_path: str, end_id: int, folder: s
     """Write all documents; returns the manifest: shard, path, n_docs, n_tokens."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    folder = folder or shared_path(spark, f"tokens-{uuid.uuid4().hex[:12]}")
-    d = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    folder = folder or shared_folder(spark, "tokens")
+    d = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
     size = estimated_bytes(d) or 0
     # Inputs without an estimate (not files) report the largest long.
     parts = max(shuffle_parts(spark), -(-size // FILE_BYTES) if size < 1 << 60 else 0)
-    d = d.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "t")
+    # Rows of one id, or without one, are dealt by their texts.
+    d = d.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "t").drop("h")
     end = struct.pack("<I", end_id)
 
     def run(batches):
@@ -167,10 +195,13 @@ def write_documents(docs: DataFrame, tokenizer_path: str, end_id: int, folder: s
                 system.create_dir(at.rpartition("/")[0], recursive=True)
                 out = system.open_output_stream(at)
                 w = Writer(out)
-            for i, ids in zip(b.column(0).to_pylist(), enc(b.column(1).to_pylist()), strict=True):
-                w.add(i, ids + end)
-                n_docs += 1
-                n_ids += len(ids) // 4 + 1
+            for lo in range(0, b.num_rows, STEP):
+                part = b.slice(lo, STEP)
+                ids, edge = enc(part.column(1))
+                for i, x, y in zip(part.column(0).to_pylist(), edge.tolist(), edge[1:].tolist(), strict=False):
+                    w.add(i, ids[x:y].tobytes() + end)
+                n_docs += part.num_rows
+                n_ids += len(ids) + part.num_rows
         if out is not None:
             w.close()
             out.close()
@@ -182,12 +213,14 @@ def write_documents(docs: DataFrame, tokenizer_path: str, end_id: int, folder: s
 
 def read_documents(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
-    spark = manifest.sparkSession
-    start, files = 0, []
-    for r in manifest.orderBy("shard").collect():      # one row a file
-        files.append((r["path"], start))
-        start += r["n_tokens"]
-    listed = spark.createDataFrame(files, "path string, start long").repartition(max(1, len(files)))
+    # Ids before a file: those before its group of files and those before it
+    # in the group; the windows see a row a group and GROUP rows.
+    m = manifest.withColumn("g", F.floor(F.col("shard") / GROUP))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = m.groupBy("g").agg(F.sum("n_tokens").alias("n")).select("g", before.alias("first"))
+    within = F.sum("n_tokens").over(Window.partitionBy("g").orderBy("shard")) - F.col("n_tokens")
+    listed = (m.withColumn("within", within).join(groups, "g")
+              .select("path", (F.col("first") + F.col("within")).alias("start")).repartition(max(1, manifest.count())))
 
     def run(batches):
         for b in batches:

@@ -199,10 +199,15 @@ def test_token_files(spark, docs, odd, empty):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
-    for df in (docs, odd):
+    named = docs.sparkSession.createDataFrame(
+        [(1, "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|>\n<|endoftext|>"), (2, "É\u0301 <|endoftext|><|endoftext|>"),
+         *[(None, f"w{i}") for i in range(300)], *[(5, f"v{i}") for i in range(300)]], "doc_id long, text string")
+    assert 49407 in lib.encode("x <|endoftext|>", add_special_tokens=False).ids
+    for df in (docs, named, odd):
         at, want = 0, []
-        for d, t in sorted(pairs(df), key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        keyed = [(d, t, h) for (d, t), h in zip(pairs(df), [r[0] for r in df.select(
+            F.xxhash64(F.coalesce("text", F.lit("")))).collect()], strict=True)]
+        for d, t, _ in sorted(keyed, key=lambda x: (x[0] is not None, x[0] or 0, x[2], x[1])):
             ids = [*lib.encode(t, add_special_tokens=False).ids, 2]
             want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
             at += len(ids)
