@@ -1,6 +1,6 @@
 """Classifiers on Spark ML.
 
-``ModelFactory`` maps the reference's three model names to Spark ML
+``MODEL_REGISTRY`` maps the reference's three model names to Spark ML
 estimators with matching defaults where Spark has the same knob:
 
 - RandomForest: 100 trees, √features per split, seed 42 (Spark needs a
@@ -54,6 +54,7 @@ def _lr(n: int, C: float = 1.0, **kw):
     return LogisticRegression(**p)
 
 
+#: The models by name, in the order that settles ties.
 MODEL_REGISTRY: dict[str, ModelSpec] = {
     "RandomForest": ModelSpec(_rf, True),
     "XGBoost": ModelSpec(_gbt, True),
@@ -61,56 +62,53 @@ MODEL_REGISTRY: dict[str, ModelSpec] = {
 }
 
 
-class ModelFactory:
-    """Fresh estimator per call; unknown names raise."""
+def spec(name: str) -> ModelSpec:
+    """The entry of a model; unknown names raise."""
+    try:
+        return MODEL_REGISTRY[name]
+    except KeyError:
+        raise ValueError(f"unknown model {name!r}; known: {', '.join(MODEL_REGISTRY)}") from None
 
-    def __init__(self, registry: dict[str, ModelSpec] | None = None):
-        self.registry = registry if registry is not None else MODEL_REGISTRY
 
-    def _validate(self, name: str) -> ModelSpec:
-        if name not in self.registry:
-            raise ValueError(f"Model '{name}' is not registered. "
-                             f"Available models: {list(self.registry)}")
-        return self.registry[name]
+def estimator(name: str, n_rows: int = 1, **params):
+    """A fresh estimator for ``n_rows`` training rows."""
+    return spec(name).build(n_rows, **params)
 
-    def create_model(self, name: str, n_rows: int = 1, **params):
-        return self._validate(name).build(n_rows, **params)
 
-    def supports_feature_importance(self, name: str) -> bool:
-        return self._validate(name).supports_feature_importance
-
-    def supports_predict_proba(self, name: str) -> bool:
-        return self._validate(name).supports_predict_proba
-
-    def available_models(self) -> list[str]:
-        return list(self.registry)
-
-    def register(self, name: str, spec: ModelSpec) -> None:
-        """Add a trainer."""
-        self.registry[name] = spec
+def register_model(name: str, entry: ModelSpec) -> None:
+    """Add a trainer."""
+    MODEL_REGISTRY[name] = entry
 
 
 def with_label(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     return df.withColumn("label", F.col(target).cast("double"))
 
 
-def fit(name: str, prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
-        factory: ModelFactory | None = None, n_rows: int | None = None,
-        balance: bool = False, key: str = "transaction_id", **params) -> PipelineModel:
-    """M7-M9: preprocessing + classifier as one ``PipelineModel``. With
-    ``balance`` the preprocessed training rows are oversampled first (M6),
-    as the reference does before fitting."""
-    factory = factory or ModelFactory()
+def training_rows(prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
+                  balance: bool = False, key: str = "transaction_id") -> DataFrame:
+    """The preprocessed rows a classifier is fitted on, oversampled with
+    ``balance`` (M6), as the reference does before fitting."""
     data = prep.transform(with_label(train, target))
     if balance:
         from riskspark.operators.resample import smote
         data = smote(data.select(key, "features", "label"), key, "features", "label")
+    return data
+
+
+def fit(name: str, prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
+        n_rows: int | None = None, balance: bool = False, key: str = "transaction_id", **params) -> PipelineModel:
+    """M7-M9: preprocessing + classifier as one ``PipelineModel``."""
+    data = training_rows(prep, train, target, balance, key)
     n = n_rows if n_rows is not None else data.count()
-    est = factory.create_model(name, n, **params)
-    clf = est.fit(data)
+    clf = estimator(name, n, **params).fit(data)
     return PipelineModel(stages=[*prep.stages, clf])
 
 
+def parameters(model: PipelineModel) -> dict:
+    """The parameters the classifier was fitted with, by name."""
+    return {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
+
+
 def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5,
           keep: list[str] | None = None) -> DataFrame:
     """Probability of class 1 and the label ``score > threshold`` (C14)."""

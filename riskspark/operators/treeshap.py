@@ -217,13 +217,16 @@ def predict_raw(x: np.ndarray, trees: list[Tree], kind: str) -> np.ndarray:
 
 
 def tree_contributions(scored: DataFrame, clf, key: str = "transaction_id",
-                       features: str = "features") -> DataFrame:
+                       features: str = "features", carry: list[str] | None = None) -> DataFrame:
     """``(key, base, contrib array<double>)`` per row, computed in
-    ``mapInPandas`` with the trees broadcast."""
+    ``mapInPandas`` with the trees broadcast; with ``carry``, these columns
+    instead of ``key``."""
     spark = scored.sparkSession
     trees, kind = trees_from_model(spark, clf)
     bc = spark.sparkContext.broadcast((trees, kind))
-    x = scored.select(F.col(key).cast("string").alias("_k"), vector_to_array(F.col(features)).alias("_x"))
+    kept = [F.col(key).cast("string").alias(key)] if carry is None else [F.col(c) for c in carry]
+    x = scored.select(*kept, vector_to_array(F.col(features)).alias("_x"))
+    names = x.columns[:-1]
 
     def fn(batches):
         ts, kd = bc.value
@@ -232,8 +235,8 @@ def tree_contributions(scored: DataFrame, clf, key: str = "transaction_id",
                 continue
             xs = np.vstack([np.asarray(v, dtype=float) for v in pdf["_x"]])
             phi, base = ensemble_shap(xs, ts, kd)
-            yield pd.DataFrame({key: pdf["_k"], "base": base, "contrib": list(phi)})
+            yield pdf[names].assign(base=base, contrib=list(phi))
 
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("base", T.DoubleType()),
+    schema = T.StructType([*[x.schema[c] for c in names], T.StructField("base", T.DoubleType()),
                            T.StructField("contrib", T.ArrayType(T.DoubleType()))])
     return x.mapInPandas(fn, schema)

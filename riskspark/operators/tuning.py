@@ -10,6 +10,7 @@ sampler (single-machine).
 from __future__ import annotations
 
 import math
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from riskspark import schemas as S
 from riskspark.operators import metrics as M
-from riskspark.operators.models import ModelFactory, fit, score
+from riskspark.operators.models import estimator, score, training_rows
 
 # Fixed search spaces of the reference (low, high, kind).
 SPACES = {
@@ -61,7 +62,7 @@ def to_spark_params(model: str, p: dict) -> dict:
                     minInstancesPerNode=max(p["min_samples_leaf"], math.ceil(p["min_samples_split"] / 2)))
     if model == "LogisticRegression":
         return dict(C=p["C"], maxIter=p["max_iter"])
-    raise ValueError(f"Model '{model}' is not registered")
+    raise ValueError(f"no search space for model {model!r}")
 
 
 @dataclass
@@ -73,21 +74,31 @@ class TuneResult:
 
 
 def tune(model: str, prep: PipelineModel, train: DataFrame, val: DataFrame, n_trials: int = 50,
-         target: str = S.TARGET, parallelism: int = 4, seed: int = S.SEED) -> TuneResult:
+         target: str = S.TARGET, parallelism: int = 4, seed: int = S.SEED,
+         balance: bool = False, key: str = "transaction_id") -> TuneResult:
+    """With ``balance`` the candidates see the rows the trained models saw
+    (M6). Of the fitted models only the best so far is held."""
     if train is None or val is None:
         raise ValueError("train and val are required")
     draws = draw(model, n_trials, seed)
-    n = train.count()
-    factory = ModelFactory()
+    rows = training_rows(prep, train, target, balance, key).checkpoint(eager=True)
+    n = rows.count()
+    lock, best = threading.Lock(), {}
+
+    def rank(i, auc):
+        return (-math.inf if math.isnan(auc) else auc, -i)
 
     def run(i_p):
         i, p = i_p
-        m = fit(model, prep, train, target, factory, n_rows=n, **to_spark_params(model, p))
-        s = score(m, val, keep=[target])
-        auc = M.roc_auc(s, target, "score").first()["roc_auc"]
-        return i, p, (float("nan") if auc is None else float(auc)), m
+        clf = estimator(model, n, **to_spark_params(model, p)).fit(rows)
+        m = PipelineModel(stages=[*prep.stages, clf])
+        auc = M.roc_auc(score(m, val, keep=[target]), target, "score").first()["roc_auc"]
+        auc = float("nan") if auc is None else float(auc)
+        with lock:
+            if not best or rank(i, auc) > rank(*best["at"]):
+                best.update(at=(i, auc), params=p, model=m)
+        return i, p, auc
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        results = list(ex.map(run, enumerate(draws)))
-    best = max(results, key=lambda r: (-math.inf if math.isnan(r[2]) else r[2], -r[0]))
-    return TuneResult(best[1], best[2], [(i, p, a) for i, p, a, _ in results], best[3])
+        trials = list(ex.map(run, enumerate(draws)))
+    return TuneResult(best["params"], best["at"][1], trials, best["model"])

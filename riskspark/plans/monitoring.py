@@ -10,17 +10,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark import schemas as S
+from riskspark.operators import bundle as B
 from riskspark.operators import drift as D
 from riskspark.operators.alerts import alerts
 from riskspark.operators.clean import clean
 from riskspark.operators.features import engineer
 from riskspark.operators.join import feedback_join, performance
-from riskspark.operators.models import score
 from riskspark.operators.registry import Registry
 
 
@@ -33,23 +32,20 @@ def load_current(raw: DataFrame, validate: bool = False) -> DataFrame:
 
 def score_for_drift(ref: DataFrame, cur: DataFrame, registry: Registry | None,
                     target: str = S.TARGET) -> tuple[DataFrame, DataFrame]:
-    """Add ``predicted_fraud`` to both sides; unchanged if no production
-    model exists."""
+    """Add ``predicted_fraud`` to both sides with the bundle in
+    production (its calibration and threshold); unchanged if there is none.
+    The rows themselves stay as they are: the bundle's own clip only concerns
+    the score."""
     if registry is None:
         return ref, cur
-    prod = registry.production_model()
+    prod = registry.production()
     if prod is None:
         return ref, cur
-    name, version = prod
-    row = registry.versions().filter(
-        (F.col("model_name") == name) & (F.col("model_version") == version)).first()
-    if row is None or not row["path"]:
-        return ref, cur
-    model = PipelineModel.load(row["path"])
+    bundle = B.load(prod[2])
 
     def add(df):
-        s = score(model, df, keep=df.columns)
-        return s.withColumnRenamed("predicted_label", S.PREDICTION_COLUMN).drop("score")
+        scored = bundle.transform(df.withColumn("_row", F.struct(*df.columns)))
+        return scored.select("_row.*", F.col(B.LABEL).alias(S.PREDICTION_COLUMN))
 
     return add(ref), add(cur)
 

@@ -1,18 +1,24 @@
 """Sources (S1-S7, S9, S14, S16): one function per source kind, all returning
 DataFrames, and a name-based dispatch.
 
-Reading is lazy: filters and column choices made later reach the scan
-(Parquet / JDBC pushdown, CSV column pruning).
+Reading is lazy: column choices and, but for columns rewritten on ingest
+(``read_parquet``'s ``where``), filters made later reach the scan.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+import operator
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.sources.sinks import path_exists
+
 
 class EmptyExtractError(ValueError):
     """Raised when a source returns no rows."""
@@ -39,8 +45,29 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return _nan_to_null(df)
 
 
-def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:
-    return _nan_to_null(spark.read.options(**options).parquet(path))
+def read_parquet(spark: SparkSession, path: str, where: list[tuple] | None = None, **options) -> DataFrame:
+    """Parquet with NaN as NULL. ``where`` holds comparisons (column, operator,
+    value) that all must be met; they reach the scan, which a filter on the
+    result cannot where a column is rewritten. A comparison rejects NULL, so
+    testing it before the rewriting (row groups are skipped) and after it (a
+    NaN, which is above everything, goes) gives the filter of the result."""
+    df = spark.read.options(**options).parquet(path)
+    tests = [_comparison(*w) for w in where or []]
+    for t in tests:
+        df = df.filter(t)
+    df = _nan_to_null(df)
+    for t in tests:
+        df = df.filter(t)
+    return df
+
+
+COMPARISONS = {"=": "eq", "<": "lt", "<=": "le", ">": "gt", ">=": "ge"}
+
+
+def _comparison(column: str, op: str, value) -> Column:
+    if op not in COMPARISONS:
+        raise ValueError(f"comparison {op!r} is none of {list(COMPARISONS)}")
+    return getattr(operator, COMPARISONS[op])(F.col(column), F.lit(value))
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
@@ -76,6 +103,38 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, table: st
     return _nan_to_null(r.load())
 
 
+PARAMETER = re.compile(r"'(?:[^']|'')*'|:(\w+)")
+
+
+def bind(query: str, params: dict | None) -> str:
+    """S4 for sources without bound parameters of their own: ``:name`` outside
+    quotes becomes a typed literal. A name without a value raises."""
+    def literal(m):
+        if m[1] is None:
+            return m[0]
+        if m[1] not in (params or {}):
+            raise ValueError(f"no value for parameter :{m[1]}")
+        v = params[m[1]]
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, int | decimal.Decimal):
+            return str(v)
+        if isinstance(v, float):
+            if v != v or v in (float("inf"), float("-inf")):
+                raise ValueError(f"parameter :{m[1]} is not a finite number")
+            return repr(v)
+        if isinstance(v, dt.datetime):
+            return f"TIMESTAMP '{v.isoformat(sep=' ')}'"
+        if isinstance(v, dt.date):
+            return f"DATE '{v.isoformat()}'"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        raise TypeError(f"parameter :{m[1]} has type {type(v).__name__}")
+    return PARAMETER.sub(literal, query)
+
+
 def read_sql(spark: SparkSession, query: str, params: dict | None = None) -> DataFrame:
     """SQL over catalog tables and views, with bound parameters.
 
@@ -92,20 +151,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_warehouse(spark: SparkSession, query: str | None = None, table: str | None = None,
-                   fmt: str = "bigquery", **options) -> DataFrame:
-    """A warehouse table through its Spark connector when present,
-    otherwise the catalog (a view or table of that name)."""
+                   fmt: str = "bigquery", params: dict | None = None, **options) -> DataFrame:
+    """A warehouse table through its Spark connector when that is
+    installed, otherwise the catalog (a view or table of that name). Any other
+    error (credentials, a missing table) is raised."""
+    r = spark.read.format(fmt).options(**options)
     try:
-        r = spark.read.format(fmt)
-        for k, v in options.items():
-            r = r.option(k, v)
-        if query is not None:
-            return r.option("query", query).load()
-        return r.load(table)
-    except Exception:  # noqa: BLE001 - connector absent: use the catalog
-        if query is not None:
-            return read_sql(spark, query)
-        return spark.table(table)
+        return r.option("query", bind(query, params)).load() if query is not None else r.load(table)
+    except Exception as e:  # noqa: BLE001 - a Java exception or an analysis error; only "not installed" is expected
+        if "[DATA_SOURCE_NOT_FOUND]" not in str(e):
+            raise
+    return read_sql(spark, query, params) if query is not None else spark.table(table)
 
 
 def _nan_to_null(df: DataFrame) -> DataFrame:
@@ -119,12 +175,19 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _jdbc(spark: SparkSession, query: str, *, url: str, params: dict | None = None, **options) -> DataFrame:
+    if not query or not query.strip():
+        raise ValueError("a database extract needs a query")
+    return read_jdbc(spark, url, query=bind(query, params), **options)
+
+
+#: By name: functions of (spark, query or path or table name, **options).
 SOURCES: dict[str, Callable[..., DataFrame]] = {
     "csv": read_csv,
     "parquet": read_parquet,
     "json": read_json,
-    "jdbc": read_jdbc,
-    "postgres": read_jdbc,
+    "jdbc": _jdbc,
+    "postgres": _jdbc,
     "sql": read_sql,
     "table": read_table,
     "bigquery": read_warehouse,
@@ -154,17 +217,10 @@ def extract(spark: SparkSession, source: str, query: str, **kwargs) -> DataFrame
 
 def load_reference(spark: SparkSession, primary: str, fallback: str | None = None) -> DataFrame:
     """The drift baseline from its store, then a second path, else raise."""
-    errors = []
-    for p in [primary, fallback]:
-        if not p:
-            continue
-        try:
-            df = spark.read.parquet(p)
-            df.schema  # resolve now so a missing path fails here
-            return df
-        except Exception as e:  # noqa: BLE001
-            errors.append(f"{p}: {e}")
-    raise RuntimeError("Failed to load reference data: " + "; ".join(errors))
+    for p in (primary, fallback):
+        if p and path_exists(spark, p):
+            return spark.read.parquet(p)
+    raise RuntimeError(f"no reference data at {primary} or {fallback}")
 
 
 def requests_from_json(df: DataFrame, column: str = "value",

@@ -3,14 +3,15 @@ state and exported tables (S8, S10-S13, S15)."""
 
 from __future__ import annotations
 
-import json
+import datetime as dt
+import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskspark import schemas as S
+from riskspark.sources.commitlog import publish
 
 
 def _fs(spark: SparkSession, path: str):
@@ -19,20 +20,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _utcnow() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    parent = d.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    return bool(fs.rename(s, d))
-
-
 def write_once(df: DataFrame, path: str, sort_within: list[str] | None = None) -> DataFrame:
     """Write ``df`` to ``path`` unless a complete copy is there; read it back.
 
@@ -45,8 +41,7 @@ def write_once(df: DataFrame, path: str, sort_within: list[str] | None = None) -
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     w = df.sortWithinPartitions(*sort_within) if sort_within else df
     w.write.mode("errorifexists").parquet(tmp)
-    if not _rename(spark, tmp, path) and not path_exists(spark, f"{path}/_SUCCESS"):
-        raise RuntimeError(f"could not publish {path}")
+    publish(spark, tmp, path)
     return spark.read.parquet(path)
 
 
@@ -57,27 +52,28 @@ def save_baseline(df: DataFrame, path: str) -> None:
 
 
 # S10 --------------------------------------------------------------------------
+def _content(columns: list[str]) -> list:
+    """Row count and order-independent content hash, as metrics of a write."""
+    h = F.xxhash64(*[F.col(c) for c in columns])
+    return [F.count(F.lit(1)).alias("row_count"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("content_hash")]
+
+
 def snapshot(df: DataFrame, root: str, source: str, snapshot_id: str | None = None) -> DataFrame:
-    """Append a labelled copy of extracted data; return its manifest row.
+    """Store a labelled copy of extracted data; return its manifest row.
 
-    The manifest has the row count and an order-independent content hash
-    (sum of 64-bit row hashes), computed in the same pass as the write's
-    input, so two identical extracts get the same hash.
+    The manifest has the row count and an order-independent content hash (sum
+    of 64-bit row hashes). Both are observed while the copy is written, so the
+    input is read once and two identical extracts get the same hash.
     """
     spark = df.sparkSession
     sid = snapshot_id or uuid.uuid4().hex
     data_path = f"{root.rstrip('/')}/data/snapshot_id={sid}"
-    df.write.mode("errorifexists").parquet(data_path)
-    stored = spark.read.parquet(data_path)
-    row_hash = F.xxhash64(*[F.col(c) for c in stored.columns])
-    manifest = stored.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(row_hash.cast("decimal(38,0)")).cast("string").alias("content_hash"),
-    ).select(
-        F.lit(sid).alias("snapshot_id"), F.lit(source).alias("source"),
-        F.current_timestamp().alias("created_at"), "row_count", "content_hash",
-        F.lit(data_path).alias("path"),
-    )
+    seen = Observation()
+    df.observe(seen, *_content(df.columns)).write.mode("errorifexists").parquet(data_path)
+    found = seen.get
+    manifest = spark.createDataFrame(
+        [(sid, source, _utcnow(), found["row_count"], found["content_hash"], data_path)],
+        "snapshot_id string, source string, created_at timestamp, row_count long, content_hash string, path string")
     manifest.write.mode("append").parquet(f"{root.rstrip('/')}/manifest")
     return manifest
 
@@ -85,17 +81,31 @@ def snapshot(df: DataFrame, root: str, source: str, snapshot_id: str | None = No
 # S11 --------------------------------------------------------------------------
 def log_predictions(scored: DataFrame, path: str, model_name: str, model_version: str,
                     label_col: str = "predicted_label", score_col: str = "confidence_score",
-                    predicted_at=None) -> None:
-    """Append prediction rows (batch form of the asynchronous log)."""
+                    predicted_at=None, batch_id: str | None = None) -> str:
+    """Add a batch of predictions to the log (batch form of the asynchronous
+    log); returns its batch id.
+
+    The id is made from the batch's content, observed while it is written to a
+    side folder (its name begins with ``_``, so readers pass it over). The
+    folder then becomes ``batch_id=...`` in one step unless that is there
+    already: a retry, whole or after a crash half way, leaves one copy. Name
+    ``batch_id`` to log equal rows on purpose a second time.
+    """
+    spark = scored.sparkSession
+    path = path.rstrip("/")
     at = F.lit(predicted_at).cast("timestamp") if predicted_at is not None else F.current_timestamp()
-    (scored.select(
+    rows = scored.select(
         F.col("transaction_id"),
         F.col(label_col).cast("int").alias("predicted_label"),
         F.col(score_col).cast("double").alias("confidence_score"),
         F.lit(model_name).alias("model_name"),
-        F.lit(str(model_version)).alias("model_version"),
-        at.alias("predicted_at"))
-     .write.mode("append").parquet(path))
+        F.lit(str(model_version)).alias("model_version"))
+    side, seen = f"{path}/_side-{uuid.uuid4().hex}", Observation()
+    rows.observe(seen, *_content(rows.columns)).withColumn("predicted_at", at).write.parquet(side)
+    if batch_id is None:
+        batch_id = hashlib.sha256(f"{seen.get['row_count']}:{seen.get['content_hash']}".encode()).hexdigest()[:24]
+    publish(spark, side, f"{path}/batch_id={batch_id}")
+    return batch_id
 
 
 # S12 --------------------------------------------------------------------------
@@ -106,20 +116,12 @@ def save_bounds(spark: SparkSession, bounds: dict, path: str) -> None:
 
 
 def load_bounds(spark: SparkSession, path: str) -> dict:
-    """Missing bounds fall back to (0, +inf): no clipping."""
-    try:
-        row = spark.read.parquet(path).first()
-        return {"lower": row["lower"], "upper": row["upper"]}
-    except Exception:  # noqa: BLE001 - absent state means the documented fallback
+    """Missing bounds fall back to (0, +inf): no clipping (P8). Anything but a
+    missing path raises: clipping is never turned off by a storage error."""
+    if not path_exists(spark, path):
         return {"lower": 0.0, "upper": float("inf")}
-
-
-def save_json(spark: SparkSession, obj: dict, path: str) -> None:
-    spark.createDataFrame([(json.dumps(obj),)], "value string").write.mode("overwrite").text(path)
-
-
-def load_json(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()[0])
+    row = spark.read.parquet(path).first()
+    return {"lower": row["lower"], "upper": row["upper"]}
 
 
 # S13 --------------------------------------------------------------------------
@@ -138,5 +140,3 @@ def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
         out[name] = path
     return out
 
-
-EMPTY = T.StructType([])

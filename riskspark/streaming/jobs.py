@@ -1,10 +1,10 @@
 """Structured Streaming jobs.
 
 - ``score_stream`` (T1, T2, T6): request rows arrive as files; each
-  micro-batch is cleaned with the saved clip bounds, engineered, scored by the
-  model that currently holds the ``production`` alias (looked up at the start
-  of every micro-batch, so a promotion is picked up without a restart) and
-  written to the prediction log. The write replaces the micro-batch's own
+  micro-batch goes through the scoring bundle in production (looked up at the
+  start of every micro-batch, so a promotion is picked up without a restart,
+  with its clip bounds, calibration and threshold) and its scores and reasons
+  are written to the prediction log. The write replaces the micro-batch's own
   folder, so a replayed batch after a failure overwrites instead of
   duplicating: the at-least-once delivery of the reference becomes
   effectively exactly-once.
@@ -28,9 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.operators.clean import clean_for_scoring
-from riskspark.operators.features import engineer
-from riskspark.operators.models import score
+from riskspark.operators import bundle as B
 
 
 def as_event_time(df: DataFrame, col: str) -> DataFrame:
@@ -48,7 +46,7 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 class ModelCache:
-    """The production model, reloaded only when the alias moves."""
+    """The production bundle, reloaded only when the alias moves."""
 
     def __init__(self, resolve: Callable[[], tuple[str, int, str] | None]):
         self.resolve = resolve          # -> (model_name, version, path) or None
@@ -61,33 +59,33 @@ class ModelCache:
             return None, None, None
         name, version, path = cur
         if (name, version) != self.key:
-            self.model = PipelineModel.load(path)
+            self.model = B.load(path)
             self.key = (name, version)
         return self.model, name, version
 
 
-def score_batch(batch: DataFrame, model: PipelineModel, bounds: dict | None,
-                model_name: str, model_version) -> DataFrame:
-    f = engineer(clean_for_scoring(batch, bounds))
-    s = score(model, f, keep=["transaction_id"])
+def score_batch(batch: DataFrame, bundle: PipelineModel, model_name: str, model_version,
+                reasons: bool = True) -> DataFrame:
+    s = B.score(bundle, batch, keep=["transaction_id"], reasons=reasons)
+    why = ["available", "reason", B.REASONS] if reasons else []
     return s.select(
-        "transaction_id", F.col("predicted_label").cast("int"),
-        F.col("score").alias("confidence_score"),
+        "transaction_id", F.col(B.LABEL).cast("int").alias("predicted_label"),
+        F.col(B.SCORE).alias("confidence_score"),
         F.lit(model_name).alias("model_name"), F.lit(str(model_version)).alias("model_version"),
-        F.current_timestamp().alias("predicted_at"))
+        F.current_timestamp().alias("predicted_at"), *why)
 
 
-def score_stream(requests: DataFrame, cache: ModelCache, bounds: dict | None, sink: str,
-                 checkpoint: str, trigger: dict | None = None):
-    """T1 + T2 + T6. Returns the started ``StreamingQuery``."""
+def score_stream(requests: DataFrame, cache: ModelCache, sink: str, checkpoint: str,
+                 trigger: dict | None = None, reasons: bool = True):
+    """T1 + T2 + T6 + M20. Returns the started ``StreamingQuery``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        model, name, version = cache.get()
-        if model is None:
+        bundle, name, version = cache.get()
+        if bundle is None:
             # The batch fails and is not committed, so its requests are read
             # again once a model is in production.
             raise RuntimeError("no production model: the batch is kept for a retry")
-        out = score_batch(batch, model, bounds, name, version)
+        out = score_batch(batch, bundle, name, version, reasons)
         (out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}"))
 
     w = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from riskspark import schemas as S
+from riskspark.operators import bundle as B
 from riskspark.operators.registry import Registry
 from riskspark.plans.monitoring import run_monitoring
 from riskspark.plans.training import TrainingConfig, run_training
 from riskspark.sources.derived import Workspace
-from riskspark.sources.sinks import load_bounds
 from riskspark.streaming import jobs as J
 
 
@@ -35,25 +35,28 @@ def test_train_score_monitor(spark, tmp):
     assert prod == (S.MODEL_PREFIX + res.best, 1)
     assert spark.read.parquet(f"{tmp}/baseline").count() > 0
 
-    # Stream requests through the production model, replay-safe
+    # M21 + R1: importance and parameters are logged with the run
+    run = reg.versions().filter(F.col("model_name") == prod[0]).first()["run_id"]
+    logged = {(r["kind"], r["key"]): r["value"] for r in reg.runs().filter(F.col("run_id") == run).collect()}
+    assert sum(k.startswith("shap_top_feature_") for _, k in logged) == 5
+    assert {("param", "maxIter"), ("param", "numTrees")} & set(logged) and float(logged["metric", "roc_auc"]) > 0.5
+    assert spark.read.option("header", True).csv(f"{tmp}/runs/{run}/shap").count() == len(res.feature_names)
+
+    # Stream requests through the production bundle, replay-safe
     req = raw.drop(S.TARGET)
     req.repartition(2).write.parquet(f"{tmp}/requests")
-
-    def resolve():
-        p = reg.production_model()
-        if p is None:
-            return None
-        row = reg.versions().filter((F.col("model_name") == p[0]) & (F.col("model_version") == p[1])).first()
-        return p[0], p[1], row["path"]
-
-    cache = J.ModelCache(resolve)
-    bounds = load_bounds(spark, f"{tmp}/artifacts/clip_bounds")
-    q = J.score_stream(J.read_stream(spark, f"{tmp}/requests", req.schema), cache, bounds,
+    cache = J.ModelCache(reg.production)
+    q = J.score_stream(J.read_stream(spark, f"{tmp}/requests", req.schema), cache,
                        f"{tmp}/predictions", f"{tmp}/ck_score")
     q.awaitTermination()
     preds = spark.read.parquet(f"{tmp}/predictions")
     assert preds.count() == req.count()
     assert preds.filter((F.col("confidence_score") < 0) | (F.col("confidence_score") > 1)).count() == 0
+    assert preds.filter(F.col("available") & (F.size("top_reasons") == S.TOP_REASONS)).count() == req.count()
+    batch = B.score(B.load(res.paths[res.best]), req, keep=["transaction_id"])
+    apart = preds.join(batch, "transaction_id").filter((F.abs(F.col("confidence_score") - F.col("score")) > 1e-12)
+                                                       | (preds["predicted_label"] != batch["predicted_label"]))
+    assert apart.count() == 0
 
     # monitoring: baseline vs a later day, feedback from the stream's log
     base = spark.read.parquet(f"{tmp}/baseline")
@@ -61,7 +64,7 @@ def test_train_score_monitor(spark, tmp):
     ref = base.filter(F.col("transaction_time") < split)
     cur = base.filter(F.col("transaction_time") >= split)
     record, alert = run_monitoring(spark, ref, cur, registry=reg,
-                                   predictions=preds.drop("batch_id"), feedback=ws.feedback(),
+                                   predictions=preds.drop("batch_id", "available", "reason", "top_reasons"), feedback=ws.feedback(),
                                    out=f"{tmp}/monitoring")
     r = record.first()
     assert r["drift_severity"] in ("none", "negligible", "serious")

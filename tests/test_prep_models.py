@@ -12,7 +12,7 @@ from riskspark.operators import prep as P
 from riskspark.operators.calibrate import apply_isotonic, fit_isotonic
 from riskspark.operators.clean import clean
 from riskspark.operators.features import engineer
-from riskspark.operators.models import ModelFactory, best_model, fit, importance, score
+from riskspark.operators.models import MODEL_REGISTRY, best_model, estimator, fit, importance, score, spec
 
 
 def _engineered(spark, n=200, ratio=0.1):
@@ -64,14 +64,13 @@ def test_one_hot_unseen_is_zero(spark):
     assert got["tablet"] == [0.0, 0.0] and got["mobile"] == [0.0, 1.0]
 
 
-def test_factory():
-    f = ModelFactory()
-    assert f.available_models() == ["RandomForest", "XGBoost", "LogisticRegression"]
-    assert f.supports_feature_importance("RandomForest") and not f.supports_feature_importance("LogisticRegression")
-    assert all(f.supports_predict_proba(m) for m in f.available_models())
-    assert f.create_model("RandomForest") is not f.create_model("RandomForest")
-    with pytest.raises(ValueError):
-        f.create_model("SVM")
+def test_model_table():
+    assert list(MODEL_REGISTRY) == ["RandomForest", "XGBoost", "LogisticRegression"]
+    assert spec("RandomForest").supports_feature_importance and not spec("LogisticRegression").supports_feature_importance
+    assert all(spec(m).supports_predict_proba for m in MODEL_REGISTRY)
+    assert estimator("RandomForest") is not estimator("RandomForest")
+    with pytest.raises(ValueError, match="SVM"):
+        estimator("SVM")
 
 
 def test_forest_catches_fraud_and_scores_are_probabilities(spark, tmp):
