@@ -18,9 +18,9 @@ whole text. Other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,10 @@ from riskspark.session import checkpoint_dir, estimated_bytes
 MAGIC = b"TOKFRAM1"
 FRAME_IDS = 1 << 17
 CACHE = 1 << 20
+SPECIAL = "<|"      # how the names of special tokens begin
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")       # as long in UTF-8 after normalisation
+MARKS = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])"
+RUN_WORDS = 512
 STEP = 2000        # texts encoded at once
 GROUP = 1024       # files whose ids are summed first
 FILE_BYTES = 64 << 20
@@ -49,6 +53,10 @@ class Encoder:
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the threads
         self.lib = Tokenizer.from_file(path)
+        vocab = self.lib.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():      # byte-level: a character a byte
+            self.bytes[i] = len(token.removesuffix("</w>"))
         self.forget()
 
     def forget(self):
@@ -56,19 +64,40 @@ class Encoder:
         self.ids, self.off = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
     def learn(self, words: list[str]):
+        """Encode new words many at a time as running text. The bytes of a
+        token are known, so a word's tokens end where its bytes do; words whose
+        normalised bytes are not certain are encoded one by one."""
+        plain = [w for w in words if PLAIN.fullmatch(w) and SPECIAL not in w]
+        known = set(plain)
+        odd = [w for w in words if w not in known]
         ids, sizes = [self.ids], [np.diff(self.off)]
-        for i in range(0, len(words), 20_000):
-            part = words[i:i + 20_000]
-            found = [e.ids for e in self.lib.encode_batch_fast(part, add_special_tokens=False)]
-            ids.append(np.fromiter(chain.from_iterable(found), "<u4"))
-            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        runs = [plain[i:i + RUN_WORDS] for i in range(0, len(plain), RUN_WORDS)]
+        for lo in range(0, len(runs), 64):
+            part = runs[lo:lo + 64]
+            for run, e in zip(part, self.lib.encode_batch_fast([" ".join(r) for r in part], add_special_tokens=False), strict=True):
+                got = np.array(e.ids, "<u4")
+                size = np.cumsum([len(w.encode()) for w in run])
+                end = np.cumsum(self.bytes[got])
+                last = np.searchsorted(end, size)
+                if end[-1] != size[-1] or (end[last] != size).any():
+                    raise RuntimeError("the tokenizer does not keep the words apart")
+                ids.append(got)
+                sizes.append(np.diff(last, prepend=-1))
+        for lo in range(0, len(odd), 20_000):
+            for e in self.lib.encode_batch_fast(odd[lo:lo + 20_000], add_special_tokens=False):
+                ids.append(np.array(e.ids, "<u4"))
+                sizes.append(np.array([len(e.ids)]))
+        self.place.update(zip(plain + odd, range(len(self.place), len(self.place) + len(words)), strict=True))
         self.ids = np.concatenate(ids)
         self.off = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets): words stand between spaces and line ends."""
-        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        """(ids of all texts, offsets). Words stand between spaces and line
+        ends, and a mark behind a letter begins a word: the tokenizer cuts
+        there too. Case goes first unless a special token may be spelt out."""
+        t = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        t = pc.if_else(pc.match_substring(t, SPECIAL), t, pc.ascii_lower(t))
+        split = pc.split_pattern(pc.replace_substring_regex(t, pattern=MARKS, replacement=r"\1 \2"), " ")
         if isinstance(split, pa.ChunkedArray):
             split = split.combine_chunks()
         known = split.flatten().dictionary_encode()
