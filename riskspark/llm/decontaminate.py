@@ -13,7 +13,8 @@ in another case also.
 
 An item shorter than a window is matched as one window of its own length; one
 of under ``LEAST`` words, or null, is not searched. A window is solid with ``SOLID``
-plain words (or all its words, if fewer); others are found by their very words only. Null and empty texts match nothing. Other columns are ignored.
+plain words (or all its words, if fewer); others are found by their very words only. Null and empty texts match nothing. A document is a
+row's id and text, so null or repeated ids neither share windows nor fates. Other columns are ignored.
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows; above, both
 sides are shuffled and a window carries its own words. The result is the same.
 """
@@ -89,12 +90,18 @@ def bench_windows(benchmark: DataFrame) -> DataFrame:
         "item_id", "len", "n_windows", "n_solid", "ipos", "wh", "exact", "solid", F.when(~F.col("exact"), slots).alias("slots")))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, coverage of every contaminated pair."""
+def text_key(column: str):
+    """128 bits that stand for a text."""
+    return F.xxhash64(column).alias("k1"), F.xxhash64(F.lit(7), F.col(column)).alias("k2")
+
+
+def _pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """row (doc_id and text key), item_id, coverage."""
     bench = bench_windows(benchmark)
     lens = sorted(r["len"] for r in bench.select("len").distinct().collect())    # at most WINDOW values
     small = bench.count() <= BROADCAST_ROWS
-    d = docs.filter("text is not null").select("doc_id", tokens(F.col("text")).alias("toks"))
+    # A document is its id and text: null or repeated ids stay apart.
+    d = docs.filter("text is not null").select(F.struct("doc_id", *text_key("text")).alias("row"), tokens(F.col("text")).alias("toks"))
     hits = None
     for n in lens or [WINDOW]:
         b = bench.filter(F.col("len") == n).drop("len")
@@ -105,26 +112,34 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if small:
             j = w.join(F.broadcast(b), "wh").select("*", pos, own)
         else:       # the window's own words travel, not the whole text
-            j = w.select("doc_id", "wh", pos, own).join(b, "wh")
-        j = j.select("doc_id", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
+            j = w.select("row", "wh", pos, own).join(b, "wh")
+        j = j.select("row", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
                      F.transform("slots", lambda s: F.struct((F.col("ipos") + s["at"]).alias("p"), s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"),
                      "exact")
         hits = j if hits is None else hits.unionByName(j)
-    g = hits.groupBy("doc_id", "item_id", "n_windows", "n_solid", "diag").agg(
+    g = hits.groupBy("row", "item_id", "n_windows", "n_solid", "diag").agg(
         F.collect_set(F.struct("ipos", "solid", "exact", "pairs")).alias("seen"), F.flatten(F.collect_set("pairs")).alias("votes"))
     # A slot is consistent if most slots with its value in the item have its value in the document.
     g = g.withColumn("votes", F.array_distinct("votes")).withColumn("odd", F.filter("votes", lambda v: F.size(F.filter(
         "votes", lambda u: (u["i"] == v["i"]) & (u["d"] == v["d"]))) * 2 <= F.size(F.filter("votes", lambda u: u["i"] == v["i"]))))
     g = g.withColumn("seen", F.transform(F.filter("seen", lambda w: w["exact"] | ~F.arrays_overlap(w["pairs"], "odd")),
                                          lambda w: F.struct(w["ipos"].alias("ipos"), w["solid"].alias("solid"))))
-    g = g.groupBy("doc_id", "item_id", "n_windows", "n_solid").agg(F.array_distinct(F.flatten(F.collect_set("seen"))).alias("seen"))
+    g = g.groupBy("row", "item_id", "n_windows", "n_solid").agg(F.array_distinct(F.flatten(F.collect_set("seen"))).alias("seen"))
     # Other values can only be found in solid windows, the very words in all.
     among = F.size(F.filter("seen", lambda x: x["solid"])) / F.nullif(F.col("n_solid"), F.lit(0))
     return (g.withColumn("coverage", F.greatest(F.size("seen") / F.col("n_windows"), among))
-            .filter(F.col("coverage") >= COVERAGE).select("doc_id", "item_id", "coverage"))
+            .filter(F.col("coverage") >= COVERAGE).select("row", "item_id", "coverage"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, coverage of every contaminated pair; rows equal in id
+    and text give one."""
+    return _pairs(docs, benchmark).select("row.doc_id", "item_id", "coverage")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose id is in no contaminated pair, with all their columns."""
-    bad = reliable(matches(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """The rows whose own text is in no contaminated pair, with all their
+    columns. Other rows of the same or of no id stay."""
+    bad = reliable(_pairs(docs, benchmark).select("row.k1", "row.k2").distinct())
+    k1, k2 = text_key("text")
+    return docs.join(bad, (k1 == bad["k1"]) & (k2 == bad["k2"]), "left_anti")

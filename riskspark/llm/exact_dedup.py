@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.textkit import reliable
+from riskspark.llm.textkit import reliable, unused
 
 FAN = 8
 KEY = ["digest", "length", "second"]
@@ -68,11 +68,12 @@ def drop_copies(docs: DataFrame) -> DataFrame:
                              F.col("kept").alias("__kept"), F.col("same").alias("__same")))
     gone = keep.filter("not __kept").drop("__kept", "__same")
     sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    out = docs.withColumn("__sha256", sha)
-    out = out.join(gone, out["doc_id"].eqNullSafe(gone["__id"]) & (out["__sha256"] == gone["__sha"]), "left_anti")
+    name = unused(docs, "sha256")
+    out = docs.withColumn(name, sha)
+    out = out.join(gone, out["doc_id"].eqNullSafe(gone["__id"]) & (out[name] == gone["__sha"]), "left_anti")
     if keep.filter("__same > 1").head(1):     # rows equal in id and text: one of them
-        out = out.dropDuplicates(["doc_id", "__sha256"])
-    return out.select(*docs.columns)
+        out = out.dropDuplicates(["doc_id", name])
+    return out.drop(name)
 
 
 SQL = """

@@ -158,6 +158,14 @@ def shared_folder(spark, tag: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def release(spark) -> None:
     """Let Spark's cleaner drop the shuffle files and checkpoints that no frame
     refers to any more; left alone, it waits for the driver's next full
@@ -185,9 +193,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
     ``per_class`` bounds the sampled rows of each class: those with the
     smallest hash of their id, so the choice does not depend on the layout.
     Rows whose crc32(doc_id) mod 4 is 2, null labels and null ids are left
-    out; of several labels of one id the largest counts. The sample is at most
-    ``sum(per_class)`` ids, so it is broadcast to the documents and no text is
-    shuffled. Returns columns ``doc_id, text, y`` (checkpointed) and the exact
+    out; of several labels of one id the largest counts, and of several rows of
+    one id one text. The sample is at most ``sum(per_class)`` ids and rows; the
+    ids are broadcast to the documents and only the sample's texts are shuffled. Returns columns ``doc_id, text, y`` (checkpointed) and the exact
     number of training labels per class."""
     lab = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"))
            .filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & (remainder() != 2))
@@ -197,8 +205,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: d
     for y, bound in per_class.items():
         part = (lab.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(bound))
         ids = part if ids is None else ids.unionByName(part)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
-    return reliable(sample), counts
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    # An id that stands on several rows is one of the sample: its least text by hash.
+    found = found.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    return reliable(found.select("doc_id", F.col("t.text").alias("text"), "y")), counts
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:

@@ -301,3 +301,53 @@ def test_alignment_empty(spark):
     got = alignment.align(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), A, B)
     assert alignment_rows(got) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
     assert got.filter(F.col("n_best").isNull()).count() == 0
+
+
+# ------------------------------------------- rows, not ids, in older operators
+def test_decontamination_goes_by_row(spark):
+    """Null and repeated ids share neither windows nor fates."""
+    from riskspark.llm import decontaminate
+    words = "the quick brown fox jumps over a lazy dog while seven small birds watch quietly from their old".split()
+    item = " ".join(words)
+    rows = [(None, " ".join(words[:9]) + " and then it rained"), (None, " ".join(words[9:]) + " and then it rained"),
+            (None, item), (7, f"see {item} here"), (7, "nothing to see in this clean row at all"), (8, "another clean row of text"),
+            (None, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "k", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, k1 string, row int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    half = decontaminate.matches(docs.filter("row < 2"), bench).collect()
+    assert {r["doc_id"] for r in half} <= {None} and all(r["coverage"] < 1 for r in half)
+    got = decontaminate.drop_contaminated(docs, bench)
+    assert got.columns == docs.columns
+    kept = {r["row"] for r in got.collect()}
+    assert kept >= {4, 5, 6, 7} and not kept & {2, 3}
+    assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0
+    assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_two_clean_halves_do_not_add_up(spark):
+    from riskspark.llm import decontaminate
+    words = [f"word{chr(97 + i)}" for i in range(24)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    part = [" ".join(words[:12]), " ".join(words[8:20])]
+    docs = spark.createDataFrame([(None, part[0]), (None, part[1]), (None, "a clean text of several plain words")], "doc_id long, text string")
+    assert decontaminate.matches(docs, bench).collect() == []
+    assert decontaminate.drop_contaminated(docs, bench).count() == 3
+
+
+def test_drop_copies_keeps_columns_of_any_name(spark):
+    from riskspark.llm import exact_dedup
+    docs = spark.createDataFrame([(1, "x", "a", 5), (2, "x", "b", 6), (3, "y", "c", 7), (3, "y", "d", 8)],
+                                 "doc_id long, text string, __sha256 string, sha256 int")
+    got = exact_dedup.drop_copies(docs)
+    assert got.columns == docs.columns
+    rows = {(r["doc_id"], r["__sha256"], r["sha256"]) for r in got.collect()}
+    assert (2, "b", 6) in rows and len(rows) == 2 and rows <= {(2, "b", 6), (3, "c", 7), (3, "d", 8)}
+    assert exact_dedup.drop_copies(docs.limit(0)).count() == 0
+
+
+def test_labelled_sample_bounds_its_rows(spark):
+    docs = spark.createDataFrame([(4, f"text {i}") for i in range(300)] + [(i, "t") for i in range(5, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(4, 1)], "doc_id long, quality int")
+    sample, _ = textkit.labelled_sample(docs, labels, "quality", {0: 10, 1: 10})
+    rows = sample.collect()
+    assert len(rows) <= 20 and len({r["doc_id"] for r in rows}) == len(rows)
