@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +37,36 @@ NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Do
 # ---------------------------------------------------------------------------
 # p-values (driver, scalars)
 # ---------------------------------------------------------------------------
+KS_EXACT = 10_000        # samples of at most this size have the exact distribution
+
+
+def ks_exact(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) of two samples of one continuous distribution. Each order of
+    the pooled values is a lattice path from (0, 0) to (n1, n2), all equally
+    likely; D stays below d where no point of the path has
+    ``|i / n1 - j / n2| >= d``. ``u[j]`` is the share of the paths to (i, j)
+    that stay inside, built row by row: the allowed points of a row are one
+    interval, so a row is a running sum over it."""
+    m, n = sorted((n1, n2))
+    edge = math.floor(d * m * n + 0.5) - 0.5        # |i n - j m| is a whole number
+    inside = np.abs(np.arange(n + 1) * m) <= edge
+    u = np.where(inside, 1.0, 0.0)
+    for i in range(1, m + 1):
+        low = max(0, math.ceil((i * n - edge) / m))
+        high = min(n, math.floor((i * n + edge) / m))
+        new = np.zeros(n + 1)
+        new[low:high + 1] = np.cumsum(u[low:high + 1] * (i / (i + n)))
+        u = new
+    return float(min(1.0, max(0.0, 1.0 - u[n])))
+
+
 def ks_pvalue(d: float, n1: int, n2: int) -> float:
-    """Two-sided asymptotic p-value of the two-sample KS statistic."""
+    """Two-sided p-value of the two-sample KS statistic: exact up to KS_EXACT
+    rows a side, else the Kolmogorov limit."""
     if n1 == 0 or n2 == 0:
         return float("nan")
+    if max(n1, n2) <= KS_EXACT:
+        return ks_exact(d, n1, n2)
     en = n1 * n2 / (n1 + n2)
     z = math.sqrt(en) * d
     if z < 1e-8:
@@ -191,11 +218,12 @@ def numeric_stats(ref: DataFrame, cur: DataFrame, cols: list[str],
     run = ordered_scan(counts, ["column"], ["value"],
                        sums={"_cr": "n_ref", "_cc": "n_cur"}, lags={"_pv": "value"})
     j = _with_totals(run)
-    fr = F.col("_cr") / F.col("tot_ref")
-    fc = F.col("_cc") / F.col("tot_cur")
+    # a side without values has no distribution: NULL, not a division by zero
+    fr = F.try_divide(F.col("_cr"), F.col("tot_ref"))
+    fc = F.try_divide(F.col("_cc"), F.col("tot_cur"))
     # CDF difference just below this value, times the gap to the previous value
-    fr_prev = (F.col("_cr") - F.col("n_ref")) / F.col("tot_ref")
-    fc_prev = (F.col("_cc") - F.col("n_cur")) / F.col("tot_cur")
+    fr_prev = F.try_divide(F.col("_cr") - F.col("n_ref"), F.col("tot_ref"))
+    fc_prev = F.try_divide(F.col("_cc") - F.col("n_cur"), F.col("tot_cur"))
     gap = F.when(F.col("_pv").isNull(), F.lit(0.0)).otherwise(F.col("value") - F.col("_pv"))
     stats = j.groupBy("column").agg(
         F.max(F.abs(fr - fc)).alias("ks_d"),
@@ -227,12 +255,12 @@ def categorical_stats(ref: DataFrame, cur: DataFrame, cols: list[str],
     two-proportion z (2 values), tot_ref, tot_cur, nunique_ref, n_values."""
     counts = counts if counts is not None else value_counts(ref, cur, cols, as_type)
     counts = _with_totals(counts.filter(F.col("column").isin(cols)))
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
+    p = F.try_divide(F.col("n_ref"), F.col("tot_ref"))
+    q = F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2
     kl = (F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
           + F.when(q > 0, q * F.log(q / m)).otherwise(0.0))
-    exp = F.col("n_ref") * (F.col("tot_cur") / F.col("tot_ref"))
+    exp = F.col("n_ref") * F.try_divide(F.col("tot_cur"), F.col("tot_ref"))
     chi = F.when(exp == 0, F.when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(0.0)) \
         .otherwise((F.col("n_cur") - exp) ** 2 / exp)
     first_val = F.min("value")
@@ -247,12 +275,12 @@ def categorical_stats(ref: DataFrame, cur: DataFrame, cols: list[str],
     # z for two values: shares of the first value (by order) on both sides
     k0 = counts.join(agg.select("column", "_key0"), "column") \
         .filter(F.col("value") == F.col("_key0")) \
-        .select("column", (F.col("n_ref") / F.col("tot_ref")).alias("_p1"),
-                (F.col("n_cur") / F.col("tot_cur")).alias("_p2"))
+        .select("column", F.try_divide("n_ref", "tot_ref").alias("_p1"), F.try_divide("n_cur", "tot_cur").alias("_p2"))
     out = agg.join(k0, "column", "left")
     pooled = (F.col("_p1") * F.col("tot_ref") + F.col("_p2") * F.col("tot_cur")) / \
         (F.col("tot_ref") + F.col("tot_cur"))
-    den = F.sqrt(pooled * (1 - pooled) * (1.0 / F.col("tot_ref") + 1.0 / F.col("tot_cur")))
+    one = F.lit(1.0)
+    den = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("tot_ref")) + F.try_divide(one, F.col("tot_cur"))))
     z = F.when(den > 0, (F.col("_p1") - F.col("_p2")) / den)
     return out.withColumn("z", z).drop("_key0", "_p1", "_p2")
 
@@ -282,6 +310,9 @@ class DriftReport:
     prediction_drift: bool | None
 
 
+NO_DATA, NO_REFERENCE, NO_CURRENT = "no_data", "no_reference", "no_current"
+
+
 def _choose(kind: str, n_ref: int, nunique: int, method: str) -> str:
     small = n_ref <= S.DRIFT_SMALL_SAMPLE if method == "auto" else method == "test"
     if kind == "num" and nunique > S.DRIFT_CATEGORY_MAX_VALUES:
@@ -294,7 +325,9 @@ def _choose(kind: str, n_ref: int, nunique: int, method: str) -> str:
 def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str] | None = None,
                  method: str = "auto", include_ids: bool = False) -> DataFrame:
     """One row per column (``DRIFT_SCHEMA``). ``method``: ``auto`` (by
-    reference size), ``test`` or ``distance``."""
+    reference size), ``test`` or ``distance``. A column without values on a
+    side keeps its row, with the state in place of the test: ``no_current``
+    and ``no_reference`` count as drifted, ``no_data`` (neither) does not."""
     spark: SparkSession = ref.sparkSession
     num, cat = drift_columns(ref, cur, include_ids, columns)
     rows = []
@@ -319,8 +352,14 @@ def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str] | None = Non
         cstats.update({r["column"]: r for r in categorical_stats(ref, cur, cat, counts=scounts).collect()})
     for c in num + cat:
         kind = "num" if c in nstats and c not in few else "cat"
-        st = nstats[c] if kind == "num" else cstats[c]
-        n_ref, n_cur, nun = int(st["tot_ref"] or 0), int(st["tot_cur"] or 0), int(st["nunique_ref"] or 0)
+        st = nstats.get(c) or cstats.get(c)
+        n_ref, n_cur = (int(st["tot_ref"] or 0), int(st["tot_cur"] or 0)) if st else (0, 0)
+        if not n_ref or not n_cur:
+            # Values came or went altogether: drift. None on either side: nothing to compare.
+            state = NO_DATA if not n_ref and not n_cur else NO_REFERENCE if not n_ref else NO_CURRENT
+            rows.append((c, "num" if c in num else "cat", state, None, None, None, state != NO_DATA))
+            continue
+        nun = int(st["nunique_ref"] or 0)
         test = _choose(kind, n_ref, nun, method)
         if test == "ks":
             stat, p = st["ks_d"], ks_pvalue(st["ks_d"], n_ref, n_cur)
@@ -384,16 +423,6 @@ def severity_expr(share, prediction_drift, target_drift, recall):
             .otherwise(F.lit("none")))
 
 
-def classify_severity(share: float, prediction_drift, target_drift, recall) -> str:
-    """D12 for driver-side scalars (same rule as ``severity_expr``)."""
-    if (share >= S.SERIOUS_DRIFT_THRESHOLD or bool(prediction_drift) or bool(target_drift)
-            or (recall is not None and recall < S.LOW_RECALL_THRESHOLD)):
-        return "serious"
-    if share >= S.NEGLIGIBLE_DRIFT_THRESHOLD:
-        return "negligible"
-    return "none"
-
-
 RESULT_SCHEMA = (
     "run_id string, checked_at timestamp, "
     "data_drift struct<drift_score: double, drifted_features: int, dataset_drift_detected: boolean>, "
@@ -411,7 +440,6 @@ def run_record(spark: SparkSession, report: DriftReport, performance: dict | Non
     import datetime as _dt
     perf = performance or {"available": False, "reason": "No feedback data yet"}
     recall = perf.get("recall") if perf.get("available") else None
-    sev = classify_severity(report.share, report.prediction_drift, report.target_drift, recall)
     row = (
         run_id, checked_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
         (float(report.share), int(report.n_drifted), bool(report.dataset_drift)),
@@ -419,6 +447,9 @@ def run_record(spark: SparkSession, report: DriftReport, performance: dict | Non
         (report.prediction_drift, report.prediction_drift is not None),
         (bool(perf.get("available")), perf.get("reason"), perf.get("precision"), recall,
          perf.get("f1"), perf.get("low_recall_detected")),
-        sev, sev == "serious",
+        None, None,
     )
-    return spark.createDataFrame([row], RESULT_SCHEMA)
+    grade = severity_expr(F.col("data_drift.drift_score"), F.col("prediction_drift.drift_detected"),
+                          F.col("target_drift.drift_detected"), F.col("performance.recall"))
+    return (spark.createDataFrame([row], RESULT_SCHEMA).withColumn("drift_severity", grade)
+            .withColumn("retraining_recommended", F.col("drift_severity") == "serious"))

@@ -8,19 +8,21 @@ failure-case table ``(row_key, column, check, failure_case)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark import schemas as S
+from riskspark.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
 class Rule:
     column: str
     check: str                      # label, e.g. "greater_than(0)"
-    ok: Column | None               # True when the (non-null) value passes
+    ok: Callable[[Column], Column] | None    # of the coerced value: True when it passes
     nullable: bool = False
     required: bool = True
     cast: str | None = None         # coercion target; a failed cast is a failure
@@ -32,19 +34,18 @@ class SchemaValidationError(ValueError):
         self.failures = failures or []
 
 
-def _in_range(c: str, lo, hi) -> Column:
-    return (F.col(c) >= lo) & (F.col(c) <= hi)
+def _in_range(lo, hi) -> Callable[[Column], Column]:
+    return lambda v: (v >= lo) & (v <= hi)
 
 
-# Fixed rule sets of the reference (raw and engineered frames). Built on call:
-# column expressions need an active session.
+# Fixed rule sets of the reference (raw and engineered frames).
 def raw_rules() -> list[Rule]:
     return [
-        Rule("transaction_amount", "greater_than(0)", F.col("transaction_amount") > 0, cast="double"),
+        Rule("transaction_amount", "greater_than(0)", lambda v: v > 0, cast="double"),
         Rule("transaction_time", "dtype('str')", None, cast="string"),
-        Rule("device_type", f"isin({S.DEVICE_TYPES})", F.col("device_type").isin(S.DEVICE_TYPES),
+        Rule("device_type", f"isin({S.DEVICE_TYPES})", lambda v: v.isin(S.DEVICE_TYPES),
              cast="string"),
-        Rule("is_fraud", "isin([0, 1])", F.col("is_fraud").isin(S.LABEL_VALUES), required=False,
+        Rule("is_fraud", "isin([0, 1])", lambda v: v.isin(S.LABEL_VALUES), required=False,
              cast="int"),
     ]
 
@@ -52,12 +53,12 @@ def raw_rules() -> list[Rule]:
 def engineered_rules() -> list[Rule]:
     return [
         Rule("log_transaction_amount", "greater_than_or_equal_to(0)",
-             F.col("log_transaction_amount") >= 0, cast="double"),
+             lambda v: v >= 0, cast="double"),
         Rule("transaction_year", "dtype('int64')", None, cast="int"),
-        Rule("transaction_month", "in_range(1, 12)", _in_range("transaction_month", 1, 12), cast="int"),
-        Rule("transaction_day", "in_range(1, 31)", _in_range("transaction_day", 1, 31), cast="int"),
-        Rule("transaction_hour", "in_range(0, 23)", _in_range("transaction_hour", 0, 23), cast="int"),
-        Rule("transaction_day_of_week", "in_range(0, 6)", _in_range("transaction_day_of_week", 0, 6),
+        Rule("transaction_month", "in_range(1, 12)", _in_range(1, 12), cast="int"),
+        Rule("transaction_day", "in_range(1, 31)", _in_range(1, 31), cast="int"),
+        Rule("transaction_hour", "in_range(0, 23)", _in_range(0, 23), cast="int"),
+        Rule("transaction_day_of_week", "in_range(0, 6)", _in_range(0, 6),
              cast="int"),
         Rule("amount_by_device", "dtype('float64')", None, cast="double"),
     ]
@@ -72,8 +73,10 @@ def missing_columns(df: DataFrame, rules: list[Rule]) -> list[str]:
 def failure_cases(df: DataFrame, rules: list[Rule], row_key: str | None = None) -> DataFrame:
     """V3: one row per failed (row, check): ``row_key, column, check, failure_case``.
 
-    Checks on absent optional columns are skipped; absent required columns are
-    reported by ``missing_columns``.
+    A value is coerced first (F10) and judged as what it became: text that is
+    no number is a failed coercion and nothing else, never an error. Checks on
+    absent optional columns are skipped; absent required columns are reported
+    by ``missing_columns``.
     """
     have = set(df.columns)
     cases = []
@@ -82,8 +85,8 @@ def failure_cases(df: DataFrame, rules: list[Rule], row_key: str | None = None)
             continue
         raw = F.col(r.column)
         sval = raw.cast("string")
+        coerced = raw.try_cast(r.cast) if r.cast else raw
         if r.cast:
-            coerced = raw.try_cast(r.cast) if hasattr(raw, "try_cast") else raw.cast(r.cast)
             bad_cast = raw.isNotNull() & coerced.isNull()
             cases.append(F.when(bad_cast, F.struct(F.lit(r.column).alias("column"),
                                                    F.lit(f"coerce_dtype('{r.cast}')").alias("check"),
@@ -93,7 +96,7 @@ def failure_cases(df: DataFrame, rules: list[Rule], row_key: str | None = None)
                                                        F.lit("not_nullable").alias("check"),
                                                        F.lit(None).cast("string").alias("failure_case"))))
         if r.ok is not None:
-            cases.append(F.when(raw.isNotNull() & ~F.coalesce(r.ok, F.lit(False)),
+            cases.append(F.when(coerced.isNotNull() & ~F.coalesce(r.ok(coerced), F.lit(False)),
                                 F.struct(F.lit(r.column).alias("column"),
                                          F.lit(r.check).alias("check"),
                                          sval.alias("failure_case"))))
@@ -109,11 +112,13 @@ def failure_cases(df: DataFrame, rules: list[Rule], row_key: str | None = None)
 def validate(df: DataFrame, rules: list[Rule], row_key: str | None = None,
              max_report: int = 100) -> DataFrame:
     """Raise with every failure kind and its count. ``failure_frame`` of the
-    error is the DataFrame of all cases; ``max_report`` of them are shown."""
+    error is the DataFrame of all cases; ``max_report`` of them are shown. The
+    cases are found in one pass and kept in the shared checkpoint folder."""
     missing = missing_columns(df, rules)
     if missing:
         raise SchemaValidationError(f"column(s) {missing} not in dataframe", missing)
-    fc = failure_cases(df, rules, row_key)
+    checkpoint_dir(df.sparkSession)
+    fc = failure_cases(df, rules, row_key).checkpoint(eager=True)
     sample = fc.limit(max_report).collect()
     if sample:
         summary = (fc.groupBy("column", "check").agg(F.count(F.lit(1)).alias("n"))

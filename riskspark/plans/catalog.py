@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None, note: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from riskspark.plans import (  # noqa: F401
-        q_bundle, q_clean, q_metrics, q_drift, q_prep, q_models, q_registry, q_windows,
+        q_bundle, q_checks, q_clean, q_metrics, q_drift, q_prep, q_models, q_registry, q_windows,
     )
     register_late()
 

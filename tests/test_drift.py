@@ -22,8 +22,12 @@ SEVERITY_CASES = [
 
 
 @pytest.mark.parametrize("share,pred,tgt,recall,expected", SEVERITY_CASES)
-def test_severity_driver(share, pred, tgt, recall, expected):
-    assert D.classify_severity(share, pred, tgt, recall) == expected
+def test_severity_of_the_run_record(spark, share, pred, tgt, recall, expected):
+    report = D.DriftReport(None, 10, round(share * 10), share, share >= 0.5, tgt, pred)
+    perf = None if recall is None else {"available": True, "recall": recall}
+    r = D.run_record(spark, report, perf, "r1").first()
+    assert (r["drift_severity"], r["retraining_recommended"]) == (expected, expected == "serious")
+    assert r["performance"]["available"] == (recall is not None) and r["target_drift"]["available"] == (tgt is not None)
 
 
 def test_severity_expression(spark):
@@ -102,3 +106,57 @@ def test_report_target_and_prediction(spark):
     cur = spark.createDataFrame([(i % 2, float(i)) for i in range(100)], "is_fraud int, amount double")
     rep = D.drift_report(ref, cur)
     assert rep.target_drift is False and rep.prediction_drift is None and rep.share == 0.0
+
+
+def paths_reaching(d, m, n):
+    """Share of all orders of m and n values whose D is at least d."""
+    from itertools import combinations
+    hit = total = 0
+    for at in combinations(range(m + n), m):
+        i = j = 0
+        most = 0.0
+        for k in range(m + n):
+            if k in at:
+                i += 1
+            else:
+                j += 1
+            most = max(most, abs(i / m - j / n))
+        total += 1
+        hit += most >= d - 1e-9
+    return hit / total
+
+
+@pytest.mark.parametrize(("m", "n"), [(1, 1), (3, 4), (4, 4), (5, 3), (6, 5), (2, 9)])
+def test_exact_ks_against_all_orders(m, n):
+    for d in sorted({abs(i / m - j / n) for i in range(m + 1) for j in range(n + 1)}):
+        assert math.isclose(D.ks_exact(d, m, n), paths_reaching(d, m, n), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_exact_ks_published_and_limit():
+    # Equal sizes, by the reflection formula: P(D >= k/n) = 2 sum (-1)^(i-1) C(2n, n-ik) / C(2n, n)
+    for n, k in ((10, 6), (10, 7), (15, 7), (20, 8), (40, 12)):
+        p = 2 * sum((-1) ** (i - 1) * math.comb(2 * n, n - i * k) for i in range(1, n // k + 1)) / math.comb(2 * n, n)
+        assert math.isclose(D.ks_exact(k / n, n, n), p, rel_tol=1e-9)
+    assert round(D.ks_exact(0.6, 10, 10), 5) == 0.05245
+    assert abs(D.ks_exact(0.05, 3000, 2500) - D.ks_exact(0.05, 2500, 3000)) < 1e-12
+    # near the limit distribution for large samples
+    z = 0.03 * math.sqrt(8000 * 8000 / 16000)
+    limit = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * z * z) for k in range(1, 50))
+    assert math.isclose(D.ks_pvalue(0.03, 8000, 8000), limit, rel_tol=0.05)
+    assert D.ks_exact(0.0, 5, 5) == 1.0 and D.ks_exact(1.0, 5, 5) == pytest.approx(2 / math.comb(10, 5))
+
+
+def test_columns_without_values_keep_their_row(spark):
+    schema = "a double, b string, c double, d string, is_fraud int"
+    ref = spark.createDataFrame([(float(i), "x", None, None, i % 2) for i in range(50)], schema)
+    cur = spark.createDataFrame([(None, None, float(i), None, i % 2) for i in range(50)], schema)
+    for method in ("auto", "test", "distance"):
+        got = {r["column"]: (r["stattest"], r["drifted"]) for r in D.column_drift(ref, cur, method=method).collect()}
+        assert got["a"] == ("no_current", True) and got["b"] == ("no_current", True)
+        assert got["c"] == ("no_reference", True) and got["d"] == ("no_data", False)
+        assert got["is_fraud"][1] is False and got["is_fraud"][0] not in ("no_data", "no_current")
+    rep = D.drift_report(ref, cur)
+    assert (rep.n_columns, rep.n_drifted, rep.dataset_drift) == (5, 3, True)
+    empty = D.drift_report(ref, cur.limit(0))
+    assert empty.target_drift is True and empty.n_drifted == 3
+    assert D.drift_report(ref.limit(0), cur.limit(0)).n_drifted == 0

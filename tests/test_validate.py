@@ -52,3 +52,16 @@ def test_failure_cases_lists_every_failure(spark):
         .otherwise(F.col("transaction_amount")))
     fc = {(r["row_key"], r["column"]) for r in failure_cases(df, raw_rules(), "transaction_id").collect()}
     assert fc == {("txn_1", "device_type"), ("txn_2", "device_type"), ("txn_2", "transaction_amount")}
+
+
+def test_text_values_are_coerced_then_judged(spark):
+    df = make_raw(spark, 8).withColumn("transaction_amount", F.element_at(F.array(*[F.lit(v) for v in (
+        "abc", "-1", "0", "1e3", " 7 ", "", "12", "NaN")]), F.substring("transaction_id", 5, 9).cast("int") + 1))
+    df = df.withColumn("is_fraud", F.when(F.col("transaction_id") == "txn_6", "yes").otherwise(F.col("is_fraud").cast("string")))
+    got = {(r["row_key"], r["column"], r["check"], r["failure_case"]) for r in failure_cases(df, raw_rules(), "transaction_id").collect()}
+    assert got == {("txn_0", "transaction_amount", "coerce_dtype('double')", "abc"), ("txn_1", "transaction_amount", "greater_than(0)", "-1"),
+                   ("txn_2", "transaction_amount", "greater_than(0)", "0"), ("txn_5", "transaction_amount", "coerce_dtype('double')", ""),
+                   ("txn_6", "is_fraud", "coerce_dtype('int')", "yes")}
+    with pytest.raises(SchemaValidationError) as e:
+        validate_raw(df)
+    assert len(e.value.failures) == 5 and e.value.failure_frame.count() == 5
