@@ -44,20 +44,21 @@ def ks_exact(d: float, n1: int, n2: int) -> float:
     """P(D >= d) of two samples of one continuous distribution. Each order of
     the pooled values is a lattice path from (0, 0) to (n1, n2), all equally
     likely; D stays below d where no point of the path has
-    ``|i / n1 - j / n2| >= d``. ``u[j]`` is the share of the paths to (i, j)
-    that stay inside, built row by row: the allowed points of a row are one
-    interval, so a row is a running sum over it."""
+    ``|i / n1 - j / n2| >= d``. ``f[i]`` is the share of the paths to (i, k - i)
+    that stay inside. The last step to a point came from the left with chance
+    i / k and from below with (k - i) / k, so a diagonal follows from the one
+    before and all values are shares."""
     m, n = sorted((n1, n2))
     edge = math.floor(d * m * n + 0.5) - 0.5        # |i n - j m| is a whole number
-    inside = np.abs(np.arange(n + 1) * m) <= edge
-    u = np.where(inside, 1.0, 0.0)
-    for i in range(1, m + 1):
-        low = max(0, math.ceil((i * n - edge) / m))
-        high = min(n, math.floor((i * n + edge) / m))
-        new = np.zeros(n + 1)
-        new[low:high + 1] = np.cumsum(u[low:high + 1] * (i / (i + n)))
-        u = new
-    return float(min(1.0, max(0.0, 1.0 - u[n])))
+    i = np.arange(m + 1)
+    f = np.zeros(m + 1)
+    f[0] = 1.0 if edge > 0 else 0.0
+    for k in range(1, m + n + 1):
+        j = k - i
+        step = f * np.clip(j, 0, None) / k          # from (i, j - 1)
+        step[1:] += f[:-1] * i[1:] / k              # from (i - 1, j)
+        f = np.where((j >= 0) & (j <= n) & (np.abs(i * n - j * m) <= edge), step, 0.0)
+    return float(min(1.0, max(0.0, 1.0 - f[m])))
 
 
 def ks_pvalue(d: float, n1: int, n2: int) -> float:

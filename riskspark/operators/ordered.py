@@ -6,14 +6,16 @@ one task, and a window without ``partitionBy`` sends the whole table to one
 task. Here instead:
 
 1. ``repartitionByRange(P, *keys, *order)``: rows are cut into P ordered
-   slices of similar size; a hot key spans several slices.
-2. Each slice is scanned in order (``mapInPandas``) giving slice-local
-   running values.
-3. A second scan of the same slices keeps only the first and last run of
-   each slice: at most ``2·P`` rows, whatever the data size.
-4. A window over that small table gives, for each key segment, the totals of
-   the same key in earlier slices; it is broadcast (size bounded by ``2·P``)
-   and added to the local values.
+   slices of similar size; a hot key spans several slices. The slice number is
+   written with the row (checkpoint in the shared folder), so every later read
+   sees the same slices, after a lost executor and without exchange reuse.
+2. Windows over (slice, key) give slice-local running values: a group is at
+   most a slice.
+3. An aggregate over (slice, key) gives each segment's totals and last values.
+   Only a key that goes on in the next slice needs them: slices are ordered by
+   key, so these are at most one a slice.
+4. A window over those rows gives the totals of a key's earlier slices; at
+   most P rows, which are broadcast and added to the local values.
 
 The order columns must make rows unique within a key for the result to be
 deterministic (add a tie-breaker column).
@@ -21,150 +23,12 @@ deterministic (add a tie-breaker column).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from riskspark.session import estimated_bytes
-
-_PID = "_os_pid"
-_LC = "_os_lc"
-# The slice number is read with spark_partition_id() on the sliced rows: a
-# task's TaskContext.partitionId() is shifted when the stage sits under a
-# union, spark_partition_id() is the index within the sliced input itself.
-_SLICE = "_os_slice"
-
-
-@dataclass
-class _Spec:
-    keys: list[str]
-    sums: dict[str, str] = field(default_factory=dict)   # out -> input column
-    lags: dict[str, str] = field(default_factory=dict)   # out -> input column
-
-
-def _run_ids(pdf: pd.DataFrame, keys: list[str], carry_key):
-    """Run id per row (0-based within the batch) and whether run 0 continues
-    the run carried from the previous batch."""
-    n = len(pdf)
-    if not keys:
-        return np.zeros(n, dtype=np.int64), carry_key is not None
-    codes = []
-    for k in keys:
-        c, _ = pd.factorize(pdf[k], use_na_sentinel=True)
-        codes.append(c)
-    change = np.zeros(n, dtype=bool)
-    for c in codes:
-        change[1:] |= c[1:] != c[:-1]
-    rid = np.cumsum(change)
-    first = tuple(_norm(pdf[k].iloc[0]) for k in keys)
-    continues = carry_key is not None and first == carry_key
-    return rid, continues
-
-
-def _norm(v):
-    if v is None:
-        return None
-    try:
-        if pd.isna(v):
-            return None
-    except (TypeError, ValueError):
-        pass
-    return v
-
 
-def _key_of_last(pdf: pd.DataFrame, keys: list[str]):
-    if not keys:
-        return ()
-    return tuple(_norm(pdf[k].iloc[-1]) for k in keys)
+from riskspark.session import checkpoint_dir, estimated_bytes
 
-
-def _scan_partition(batches, spec: _Spec):
-    """Yield batches with slice-local running values.
-
-    Adds ``_os_lc`` (running count), one column per sum and per lag.
-    """
-    carry_key = None
-    carry_cnt = 0
-    carry_sum = {o: 0.0 for o in spec.sums}
-    carry_last = {o: None for o in spec.lags}
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        rid, continues = _run_ids(pdf, spec.keys, carry_key)
-        g = pd.Series(rid)
-        lc = g.groupby(rid).cumcount().to_numpy(dtype=np.int64) + 1
-        first_run = rid == 0
-        if continues:
-            lc = lc + np.where(first_run, carry_cnt, 0)
-        out = pdf.copy()
-        out[_LC] = lc
-        for o, c in spec.sums.items():
-            vals = pd.to_numeric(pdf[c], errors="coerce").fillna(0.0).astype("float64")
-            cs = vals.groupby(rid).cumsum().to_numpy()
-            if continues:
-                cs = cs + np.where(first_run, carry_sum[o], 0.0)
-            out[o] = cs
-        for o, c in spec.lags.items():
-            sh = pdf[c].groupby(rid).shift(1)
-            if continues and len(sh) > 0:
-                sh = sh.astype(object)
-                sh.iloc[0] = carry_last[o]
-            out[o] = sh.to_numpy()
-        # carry the last run
-        carry_key = _key_of_last(pdf, spec.keys)
-        carry_cnt = int(lc[-1])
-        for o in spec.sums:
-            carry_sum[o] = float(out[o].iloc[-1])
-        for o, c in spec.lags.items():
-            carry_last[o] = pdf[c].iloc[-1]
-        yield out
-
-
-def _data_fn(spec: _Spec):
-    def fn(batches):
-        for out in _scan_partition(batches, spec):
-            out[_PID] = out.pop(_SLICE).astype("int32")
-            yield out
-    return fn
-
-
-def _edge_fn(spec: _Spec):
-    """Per slice: the totals and last values of its first and last run."""
-    def rec_at(out, i):
-        row = out.iloc[i]
-        rec = {k: row[k] for k in spec.keys}
-        rec["_os_cnt"] = int(row[_LC])
-        for o in spec.sums:
-            rec["_os_s_" + o] = float(row[o])
-        for o, c in spec.lags.items():
-            rec["_os_l_" + o] = row[c]
-        rec["_key"] = tuple(_norm(row[k]) for k in spec.keys)
-        return rec
-
-    def fn(batches):
-        pid = None
-        first = None        # the slice's first run, once it has ended
-        last = None         # the current run, up to the last row seen
-        for out in _scan_partition(batches, spec):
-            pid = int(out[_SLICE].iloc[0])
-            if first is None:
-                rid, _ = _run_ids(out, spec.keys, None)
-                head_key = tuple(_norm(out[k].iloc[0]) for k in spec.keys)
-                if last is not None and last["_key"] != head_key:
-                    first = last
-                elif rid[-1] > 0:
-                    first = rec_at(out, int(np.argmax(rid > 0)) - 1)
-            last = rec_at(out, len(out) - 1)
-        rows = [r for r in (first, last) if r is not None]
-        if rows:
-            pdf = pd.DataFrame(rows).drop(columns=["_key"])
-            pdf[_PID] = np.int32(pid)
-            yield pdf
-    return fn
+_SLICE, _LC = "_os_slice", "_os_lc"
 
 
 SLICE_BYTES = 256 << 20
@@ -189,71 +53,55 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Column | str], *,
                  count_as: str | None = None,
                  sums: dict[str, str] | None = None,
                  lags: dict[str, str] | None = None,
-                 num_partitions: int | None = None,
-                 stable_input: bool = False) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Running values within ``keys`` in ``order`` (inclusive of the row).
 
-    The slices are read twice (local values, then the edge table). Unless the
-    input comes straight from files (``stable_input``: same rows in the same
-    order on every read, so the range sample and the bounds repeat), the
-    sliced input is checkpointed to the shared checkpoint folder first, so
-    both reads see the same slices even after a lost executor.
-
     - ``count_as``: running row number (1-based)
     - ``sums``: ``{out: col}`` running sum of ``col`` (nulls count as 0)
-    - ``lags``: ``{out: col}`` value of ``col`` on the previous row of the key
+    - ``lags``: ``{out: col}`` value of ``col`` on the previous row of the key;
+      needs an order of column names (ascending)
     """
-    spark = df.sparkSession
-    sums = dict(sums or {})
-    lags = dict(lags or {})
-    spec = _Spec(list(keys), sums, lags)
+    sums, lags = dict(sums or {}), dict(lags or {})
+    if lags and not all(isinstance(o, str) for o in order):
+        raise ValueError("previous-row values need an order of column names")
     p = num_partitions or slice_count(df)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + order_cols
-    # An explicit partition count keeps the exchange out of AQE coalescing, so
-    # both scans below see the same slices (and the exchange is reused).
-    ranged = df.repartitionByRange(p, *sort_cols).sortWithinPartitions(*sort_cols)
-    if not stable_input:
-        ranged = ranged.checkpoint(eager=True)
-    ranged = ranged.withColumn(_SLICE, F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    sliced = (df.repartitionByRange(p, *[F.col(k).asc_nulls_first() for k in keys], *order_cols)
+              .withColumn(_SLICE, F.spark_partition_id()).checkpoint(eager=True))
+
+    here = Window.partitionBy(_SLICE, *keys).orderBy(*order_cols)
+    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    base_fields = list(df.schema.fields)
-    by_name = {f.name: f for f in base_fields}
-    data_fields = base_fields + [T.StructField(_LC, T.LongType())]
-    data_fields += [T.StructField(o, T.DoubleType()) for o in sums]
-    data_fields += [T.StructField(o, by_name[c].dataType) for o, c in lags.items()]
-    data_fields += [T.StructField(_PID, T.IntegerType())]
-    data = ranged.mapInPandas(_data_fn(spec), T.StructType(data_fields))
+    def number(c):
+        return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
 
-    edge_fields = [by_name[k] for k in keys] + [T.StructField("_os_cnt", T.LongType())]
-    edge_fields += [T.StructField("_os_s_" + o, T.DoubleType()) for o in sums]
-    edge_fields += [T.StructField("_os_l_" + o, by_name[c].dataType) for o, c in lags.items()]
-    edge_fields += [T.StructField(_PID, T.IntegerType())]
-    edges = ranged.mapInPandas(_edge_fn(spec), T.StructType(edge_fields))
+    data = sliced.withColumns({_LC: F.row_number().over(here).cast("long"),
+                               **{"_os_s_" + o: F.sum(number(c)).over(upto) for o, c in sums.items()},
+                               **{"_os_l_" + o: F.lag(c).over(here) for o, c in lags.items()}})
 
-    w = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
+    totals = [F.count(F.lit(1)).alias("_os_n"), *[F.sum(number(c)).alias("_os_t_" + o) for o, c in sums.items()],
+              *[F.max_by(F.struct(c), F.struct(*order)).getField(c).alias("_os_e_" + o) for o, c in lags.items()]]
+    edges = sliced.groupBy(_SLICE, *keys).agg(*totals)
+    w = Window.partitionBy(*keys).orderBy(_SLICE) if keys else Window.orderBy(_SLICE)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    offs = [F.coalesce(F.sum("_os_cnt").over(before), F.lit(0)).alias("_os_off_cnt")]
-    offs += [F.coalesce(F.sum("_os_s_" + o).over(before), F.lit(0.0)).alias("_os_off_" + o)
-             for o in sums]
-    offs += [F.lag("_os_l_" + o).over(w).alias("_os_prev_" + o) for o in lags]
-    # Bounded by 2 rows per slice: safe to broadcast.
-    offsets = edges.select(F.col(_PID).alias("_os_opid"),
-                           *[F.col(k).alias("_os_k_" + k) for k in keys], *offs)
+    offsets = edges.select(
+        F.col(_SLICE).alias("_os_slice_"), *[F.col(k).alias("_os_k_" + k) for k in keys],
+        F.sum("_os_n").over(before).alias("_os_off"),
+        *[F.sum("_os_t_" + o).over(before).alias("_os_off_" + o) for o in sums],
+        *[F.lag("_os_e_" + o).over(w).alias("_os_prev_" + o) for o in lags]).filter("_os_off > 0")
 
-    cond = data[_PID] == offsets["_os_opid"]
+    cond = data[_SLICE] == offsets["_os_slice_"]
     for k in keys:
         cond = cond & data[k].eqNullSafe(offsets["_os_k_" + k])
-    j = data.join(F.broadcast(offsets), cond, "left")
-    off_cnt = F.coalesce(F.col("_os_off_cnt"), F.lit(0))
-    cols = [F.col(f.name) for f in base_fields]
+    j = data.join(F.broadcast(offsets), cond, "left")       # at most a row a slice
+    cols = [F.col(f"`{c}`") for c in df.columns]
     if count_as:
-        cols.append((F.col(_LC) + off_cnt).alias(count_as))
+        cols.append((F.col(_LC) + F.coalesce("_os_off", F.lit(0))).alias(count_as))
     for o in sums:
-        cols.append((F.col(o) + F.coalesce(F.col("_os_off_" + o), F.lit(0.0))).alias(o))
+        cols.append((F.col("_os_s_" + o) + F.coalesce("_os_off_" + o, F.lit(0.0))).alias(o))
     for o in lags:
-        # The first row of a slice's segment takes the last value of the key's
-        # previous segment.
-        seg_first = (F.col(_LC) == 1) & (off_cnt > 0)
-        cols.append(F.when(seg_first, F.col("_os_prev_" + o)).otherwise(F.col(o)).alias(o))
+        # the first row of a segment takes the last value of the key's earlier segment
+        first = (F.col(_LC) == 1) & F.col("_os_off").isNotNull()
+        cols.append(F.when(first, F.col("_os_prev_" + o)).otherwise(F.col("_os_l_" + o)).alias(o))
     return j.select(*cols)

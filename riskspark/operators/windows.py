@@ -27,13 +27,13 @@ def tumbling(df: DataFrame, time_col: str, length: str = "1 day",
 
 
 def sessions(df: DataFrame, key: str, time_col: str, gap_minutes: int = 30,
-             tie: str | None = None, stable_input: bool = False) -> DataFrame:
+             tie: str | None = None) -> DataFrame:
     """Sessions per ``key``: a new session starts when the gap to the key's
     previous event exceeds ``gap_minutes``. Output: key, session_start,
     session_end (last event + gap, as Spark's ``session_window``), n."""
     order = [time_col] + ([tie] if tie else [])
     base = df.select(key, time_col, *([tie] if tie else []))
-    s = ordered_scan(base, [key], order, lags={"_prev": time_col}, stable_input=stable_input)
+    s = ordered_scan(base, [key], order, lags={"_prev": time_col})
     gap = F.expr(f"INTERVAL {int(gap_minutes)} MINUTES")
     new = (F.col("_prev").isNull() | (F.col(time_col) > F.col("_prev") + gap)).cast("long")
     s = s.withColumn("_new", new)

@@ -35,4 +35,4 @@ def q_sessions(spark, sf_dir):
     """30-minute sessions per customer; rapid repeats are counted, never
     dropped."""
     tx = Workspace(spark, sf_dir).transactions()
-    return sessions(tx, "customer_id", "transaction_time", 30, tie="transaction_id", stable_input=True)
+    return sessions(tx, "customer_id", "transaction_time", 30, tie="transaction_id")

@@ -79,7 +79,7 @@ def test_pvalues():
     assert math.isclose(D.chi2_pvalue(11.070497693516351, 5), 0.05, rel_tol=1e-6)
     assert math.isclose(D.z_pvalue(1.959963984540054), 0.05, rel_tol=1e-9)
     # Kolmogorov limit: P(K > 1.358) ~ 0.05
-    assert math.isclose(D.ks_pvalue(1.358 / math.sqrt(50), 100, 100), 0.05, rel_tol=2e-3)
+    assert math.isclose(D.ks_pvalue(1.358 / math.sqrt(10_000), 20_000, 20_000), 0.05, rel_tol=2e-3)
 
 
 def test_auto_choice_small_and_large(spark):

@@ -77,3 +77,31 @@ def test_slice_count_follows_the_estimated_size(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_jvm_plan_and_no_need_for_exchange_reuse(spark):
+    """No Python in the plan, and right without exchange reuse."""
+    df = spark.range(4000).select(F.col("id"), (F.col("id") % 3).alias("k"), (F.col("id") * 7 % 53).cast("double").alias("v")).repartition(6)
+    key = "spark.sql.exchange.reuse"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        _check(df, ["k"], ["v", "id"], 7)
+        _check(df, [], ["id"], 7)
+        plan = ordered_scan(df, ["k"], ["id"], count_as="rn", lags={"pv": "v"})._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "MapInPandas" not in plan and "MapInArrow" not in plan
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_null_values_and_empty(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else float(i % 5), i % 2) for i in range(60)], "id int, v double, k int")
+    r = {x["id"]: (x["cs"], x["pv"]) for x in ordered_scan(df, ["k"], ["id"], sums={"cs": "v"}, lags={"pv": "v"}, num_partitions=7).collect()}
+    for k in (0, 1):
+        total, prev = 0.0, None
+        for i in range(k, 60, 2):
+            v = None if i % 4 == 0 else float(i % 5)
+            total += v or 0.0
+            assert r[i] == (total, prev)
+            prev = v
+    assert ordered_scan(df.limit(0), ["k"], ["id"], count_as="n").count() == 0

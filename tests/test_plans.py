@@ -33,22 +33,22 @@ def test_features_stay_in_codegen_without_python(spark):
 def test_ordered_scan_moves_no_row_to_one_partition(spark):
     df = spark.range(5000).select(F.col("id"), (F.col("id") % 3).alias("k"),
                                   F.col("id").cast("double").alias("v"))
-    plan = _executed(ordered_scan(df, ["k"], ["id"], count_as="rn", sums={"s": "v"}, num_partitions=6,
-                                      stable_input=True))
-    # the only single-partition exchange feeds the edge table (<= 2 rows per slice)
-    singles = [ln for ln in plan.splitlines() if "SinglePartition" in ln]
-    assert len(singles) <= 2
-    assert "rangepartitioning" in plan and "BroadcastHashJoin" in plan
+    plan = _executed(ordered_scan(df, ["k"], ["id"], count_as="rn", sums={"s": "v"}, num_partitions=6))
+    # nothing goes to one partition; the windows over rows hold a slice each
+    assert "SinglePartition" not in plan and "BroadcastHashJoin" in plan
+    rows = ordered_scan(df, [], ["id"], count_as="rn", num_partitions=6)
+    singles = [ln for ln in _executed(rows).splitlines() if "SinglePartition" in ln]
+    assert len(singles) <= 1                     # a row a slice
 
 
 def test_curve_metrics_do_not_window_the_whole_table(spark):
     plan = _executed(Q["roc_auc"](spark, SF_SMALL), "simple")
-    # no Window over the scored rows themselves: running sums go through the
-    # range-partitioned scan (MapInPandas), windows only see the edge table
-    assert "MapInPandas" in plan
+    # every window is over slices, or over the row a slice that carries totals
+    assert "Python" not in plan and "MapInPandas" not in plan
     windows = [ln for ln in plan.splitlines() if re.search(r"\bWindow\b", ln)]
+    assert windows
     for ln in windows:
-        assert "_os_" in ln
+        assert "_os_slice" in ln
 
 
 def test_dedup_is_combined_map_side(spark):

@@ -109,7 +109,7 @@ def test_sessions_stream_matches_batch_on_closed_sessions(spark, stream_dir):
     src = J.read_stream(spark, f"{d}/in", tx.schema)
     out = J.run_to_memory(J.sessions_stream(src), "t7", f"{d}/ck7").collect()
     batch = {(r["customer_id"], r["session_start"]): r["n"] for r in
-             sessions(tx, "customer_id", "transaction_time", 30, tie="transaction_id", stable_input=True)
+             sessions(tx, "customer_id", "transaction_time", 30, tie="transaction_id")
              .withColumn("session_start", F.col("session_start").cast("timestamp")).collect()}
     assert len(out) > 0
     for r in out:
