@@ -29,7 +29,6 @@ from riskspark.operators.quantile import exact_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 ID_COLUMNS = ("transaction_id", "customer_id")
-MAX_CATEGORIES = 1000
 
 
 # ---------------------------------------------------------------------------
@@ -128,9 +127,11 @@ def fit_impute_scale(df: DataFrame, num: list[str], cat: list[str]) -> tuple[SQL
 
 
 def fit_preprocessor(train: DataFrame, num: list[str], cat: list[str],
-                     max_categories: int = MAX_CATEGORIES) -> tuple[PipelineModel, list[str]]:
+                     max_categories: int | None = None) -> tuple[PipelineModel, list[str]]:
     """M2-M4 fitted on training rows only. Returns the model and the names of
-    the assembled features (numeric names, then ``{column}_{value}``)."""
+    the assembled features (numeric names, then ``{column}_{value}``). Every
+    category is encoded; the fitted model holds the labels, so columns with
+    millions of them are for ``operators/categories.py``."""
     sqlt, _ = fit_impute_scale(train, num, cat)
     stages = [sqlt]
     if cat:
@@ -146,7 +147,7 @@ def fit_preprocessor(train: DataFrame, num: list[str], cat: list[str],
     if cat:
         labels = model.stages[1].labelsArray
         for c, labs in zip(cat, labels):
-            if len(labs) > max_categories:
+            if max_categories is not None and len(labs) > max_categories:
                 raise ValueError(f"column {c} has {len(labs)} categories (> {max_categories})")
             names += [f"{c}_{v}" for v in labs]
     return model, names

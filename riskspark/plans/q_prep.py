@@ -104,3 +104,26 @@ def one_hot(spark, sf_dir):
     out = model.transform(tx).select("transaction_id", arr.alias("_v"))
     return out.select("transaction_id",
                       *[F.col("_v")[i].cast("int").alias(n) for i, n in enumerate(names)])
+
+
+# ---------------------------------------------------------------------------
+# M3 with a dictionary table: every customer is a category
+# ---------------------------------------------------------------------------
+_MANY = ["customer_id", "transaction_type", "device_type"]
+
+
+@query("one_hot_ids", sql=Q.with_(Q.EV, Q.TX, f"""tr AS (SELECT * FROM tx WHERE {_U} >= 0.28)""",
+  "v AS (" + " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS col, {c} AS value FROM tr GROUP BY {c}"
+                                for i, c in enumerate(_MANY)) + ")",
+  "dict AS (SELECT col, value, row_number() OVER (ORDER BY place, value) - 1 AS position FROM v)",
+  "l AS (" + " UNION ALL ".join(f"SELECT transaction_id, '{c}' AS col, {c} AS value FROM tx" for c in _MANY) + ")") + """
+SELECT l.transaction_id, CAST((SELECT count(*) FROM dict) AS BIGINT) AS size,
+       array_to_string(list_sort(list(position) FILTER (position IS NOT NULL)), ',') AS positions
+FROM l LEFT JOIN dict USING (col, value) GROUP BY 1""")
+def one_hot_ids(spark, sf_dir):
+    """M3: dictionary of the training rows, positions of every row."""
+    from riskspark.operators import categories as C
+    tx = P.split(Workspace(spark, sf_dir).transactions())
+    d = C.dictionary(tx.filter(F.col("split") == "train"), _MANY)
+    e = C.encode(tx, d, _MANY, "transaction_id")
+    return e.select("transaction_id", "size", F.concat_ws(",", F.col("indices").cast("array<string>")).alias("positions"))

@@ -119,3 +119,33 @@ def test_best_model_by_metric_and_ties(spark):
     assert best_model(res, "recall").first()["model"] == "LogisticRegression"
     tie = spark.createDataFrame([("LogisticRegression", 0.9), ("RandomForest", 0.9)], "model string, roc_auc double")
     assert best_model(tie).first()["model"] == "RandomForest"
+
+
+@pytest.mark.parametrize("n", [1_500, 100_000])
+def test_every_category_is_encoded(spark, n):
+    from riskspark.operators import categories as C
+    df = spark.range(n + 200).select(F.col("id"), F.concat(F.lit("c"), (F.col("id") % n).cast("string")).alias("c"),
+                                     F.when(F.col("id") % 3 == 0, None).otherwise(F.lit("x")).alias("d"))
+    d = C.dictionary(df, ["c", "d"])
+    assert d.agg(F.count(F.lit(1)), F.min("position"), F.max("position"), F.countDistinct("position")).first()[:] == (n + 1, 0, n, n + 1)
+    names = sorted(f"c{i}" for i in range(n))
+    some = {r["value"]: r["position"] for r in d.filter("position % 997 = 0").collect()}
+    assert all(names[p] == v for v, p in some.items() if v != "x")
+    new = df.unionByName(spark.createDataFrame([(-1, "unseen", "x"), (-2, None, None)], "id long, c string, d string"))
+    e = {r["id"]: r for r in C.encode(new, d, ["c", "d"], "id").filter("id < 50 OR id >= " + str(n)).collect()}
+    at = {v: i for i, v in enumerate(names)} if n == 1_500 else None
+    assert e[-1]["indices"] == [n] and e[-2]["indices"] == [] and e[-2]["size"] == n + 1
+    for i, r in e.items():
+        if i >= 0:
+            assert len(r["indices"]) == (1 if i % 3 == 0 else 2) and r["values"] == [1.0] * len(r["indices"])
+            assert (i % 3 == 0) or r["indices"][-1] == n
+            if at:
+                assert r["indices"][0] == at[f"c{i % n}"]
+
+
+def test_preparation_without_a_cap_on_categories(spark):
+    df = spark.range(1_300).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"))
+    model, names = P.fit_preprocessor(df, [], ["c"])
+    assert len(names) == 1_300 and model.transform(df).select("features").first()[0].size == 1_300
+    with pytest.raises(ValueError, match="1300 categories"):
+        P.fit_preprocessor(df, [], ["c"], max_categories=1_000)
