@@ -7,7 +7,7 @@ import datetime as dt
 import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark import schemas as S
@@ -52,25 +52,28 @@ def save_baseline(df: DataFrame, path: str) -> None:
 
 
 # S10 --------------------------------------------------------------------------
-def _content(columns: list[str]) -> list:
-    """Row count and order-independent content hash, as metrics of a write."""
+def _content(stored: DataFrame, columns: list[str]):
+    """Row count and order-independent content hash of a stored copy. (Observed
+    metrics would save this read, but a session that has used one can no longer
+    ship some of Spark ML's closures: its observation manager is not
+    serializable in Spark 4.1.)"""
     h = F.xxhash64(*[F.col(c) for c in columns])
-    return [F.count(F.lit(1)).alias("row_count"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("content_hash")]
+    return stored.agg(F.count(F.lit(1)).alias("row_count"),
+                      F.sum(h.cast("decimal(38,0)")).cast("string").alias("content_hash")).first()
 
 
 def snapshot(df: DataFrame, root: str, source: str, snapshot_id: str | None = None) -> DataFrame:
     """Store a labelled copy of extracted data; return its manifest row.
 
     The manifest has the row count and an order-independent content hash (sum
-    of 64-bit row hashes). Both are observed while the copy is written, so the
-    input is read once and two identical extracts get the same hash.
+    of 64-bit row hashes), taken from the copy: the input is read once, and two
+    identical extracts get the same hash.
     """
     spark = df.sparkSession
     sid = snapshot_id or uuid.uuid4().hex
     data_path = f"{root.rstrip('/')}/data/snapshot_id={sid}"
-    seen = Observation()
-    df.observe(seen, *_content(df.columns)).write.mode("errorifexists").parquet(data_path)
-    found = seen.get
+    df.write.mode("errorifexists").parquet(data_path)
+    found = _content(spark.read.schema(df.schema).parquet(data_path), df.columns)
     manifest = spark.createDataFrame(
         [(sid, source, _utcnow(), found["row_count"], found["content_hash"], data_path)],
         "snapshot_id string, source string, created_at timestamp, row_count long, content_hash string, path string")
@@ -85,9 +88,8 @@ def log_predictions(scored: DataFrame, path: str, model_name: str, model_version
     """Add a batch of predictions to the log (batch form of the asynchronous
     log); returns its batch id.
 
-    The id is made from the batch's content, observed while it is written to a
-    side folder (its name begins with ``_``, so readers pass it over). The
-    folder then becomes ``batch_id=...`` in one step unless that is there
+    The id is made from the batch's content once it is written to a side
+    folder (its name begins with ``_``, so readers pass it over). The folder then becomes ``batch_id=...`` in one step unless that is there
     already: a retry, whole or after a crash half way, leaves one copy. Name
     ``batch_id`` to log equal rows on purpose a second time.
     """
@@ -100,10 +102,11 @@ def log_predictions(scored: DataFrame, path: str, model_name: str, model_version
         F.col(score_col).cast("double").alias("confidence_score"),
         F.lit(model_name).alias("model_name"),
         F.lit(str(model_version)).alias("model_version"))
-    side, seen = f"{path}/_side-{uuid.uuid4().hex}", Observation()
-    rows.observe(seen, *_content(rows.columns)).withColumn("predicted_at", at).write.parquet(side)
+    side = f"{path}/_side-{uuid.uuid4().hex}"
+    rows.withColumn("predicted_at", at).write.parquet(side)
     if batch_id is None:
-        batch_id = hashlib.sha256(f"{seen.get['row_count']}:{seen.get['content_hash']}".encode()).hexdigest()[:24]
+        found = _content(spark.read.schema(rows.schema).parquet(side), rows.columns)
+        batch_id = hashlib.sha256(f"{found['row_count']}:{found['content_hash']}".encode()).hexdigest()[:24]
     publish(spark, side, f"{path}/batch_id={batch_id}")
     return batch_id
 
