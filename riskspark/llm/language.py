@@ -74,8 +74,10 @@ def fit(docs: DataFrame) -> dict:
             x = [grams(data[off[i]:off[i + 1]]).astype(np.float32) for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float32()))], names=["lang", "x"])
 
-    # No more rows than ids of the sample: at most SAMPLE_PER_LANG a language.
-    got = base.join(F.broadcast(reliable(ids.distinct())), "doc_id").select("lang", "text").mapInArrow(run, "lang string, x array<float>").toArrow()
+    # One row an id and language, so no more rows than ids of the sample for each language.
+    rows = (base.join(F.broadcast(reliable(ids.distinct())), "doc_id").groupBy("doc_id", "lang")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("lang", "t.text"))
+    got = rows.mapInArrow(run, "lang string, x array<float>").toArrow()
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, DIMS).astype(np.float32)
     pos = {g: i for i, g in enumerate(langs)}
     code = codewords(len(langs))
