@@ -19,7 +19,8 @@ Sets that meet in crowded groups are dealt to cells around a hub, the set
 with the most company. Within a cell, sets are told apart by their symmetric
 differences from the hub (of x and y tokens): two sets that do not both link
 with the hub can link only if their differences share (x + y - H) / 2 tokens,
-hence one among the rarest of each (prefix filter), so a cell never compares
+hence one among the first of each (prefix filter; tokens that the hub lacks
+come first, the rarest before others), so a cell never compares
 all of its sets pair by pair. Verification intersects the whole sets.
 
 Null texts and texts without words have an empty set and no link. A null
@@ -38,6 +39,7 @@ from riskspark.llm.textkit import U64, release, reliable, shingles, shuffle_part
 
 SLACK, CHUNK, BUCKET_SHINGLES, SIG_BITS = 1.2, 1 << 22, 3_000_000, 48
 CROWD = 1024               # comparisons in one group from which its sets are dealt to cells
+MARKS = 1 << 15            # bits of bitmap_construct_agg
 EMPTY_SEGMENTS = 80        # bands of up to so many segments also index empty subsets
 STEP, SEG = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
 
@@ -141,21 +143,34 @@ def text_key(text):
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """doc_id, th, tk, n_shingles, c1, c2 (set identity), own and low (spare units
-    in the own band and in the one below) of every row."""
+    """doc_id, th, tk, n_shingles, c1, c2 (set identity) of every row."""
     def run(batches):
         for b in batches:
             data, off = utf8(b.column(1))
             out = []
             for i in range(b.num_rows):
                 s = shingles(data[off[i]:off[i + 1]])
-                spare = [*spares(len(s), s), 0, 0]
-                out.append((len(s), *identity(s), spare[0], spare[1]))
-            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(5)]
+                out.append((len(s), *identity(s)))
+            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(3)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *cols],
-                                             names=["doc_id", "th", "tk", "n_shingles", "c1", "c2", "own", "low"])
+                                             names=["doc_id", "th", "tk", "n_shingles", "c1", "c2"])
     return docs.select("doc_id", "text", *text_key("text")).mapInArrow(
-        run, "doc_id long, th long, tk int, n_shingles long, c1 long, c2 long, own long, low long")
+        run, "doc_id long, th long, tk int, n_shingles long, c1 long, c2 long")
+
+
+def _spares(recs: DataFrame, texts: DataFrame) -> DataFrame:
+    """rec, own, low: the spare units of the given sets in their own band and in the one below."""
+    def run(batches):
+        import zstandard
+        press = zstandard.ZstdDecompressor()
+        for b in batches:
+            out = []
+            for z in b.column(1):
+                s = shingles(np.frombuffer(press.decompress(z.as_buffer()), np.uint8))
+                out.append([*spares(len(s), s), 0, 0][:2])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[j] for r in out], pa.int64()) for j in (0, 1))],
+                                             names=["rec", "own", "low"])
+    return texts.join(recs, "rec").select("rec", "z").mapInArrow(run, "rec long, own long, low long")
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -283,36 +298,72 @@ def _cells(crowded: DataFrame) -> DataFrame:
 
 
 def _differences(cells: DataFrame, texts: DataFrame) -> DataFrame:
-    """rec, cell, n, x, linked (with the hub), toks: the tokens in which a set and its hub differ."""
+    """rec, cell, n, x (tokens in which a set and its hub differ), linked (with the hub), own, late.
+
+    ``own`` are the tokens that the hub lacks, ``late`` those that only the hub
+    has, in their order. A partner's difference has at least x - H tokens and H
+    is at most n / 3, so a prefix is never longer than n / 3 + 1: of the late
+    ones, which come after all own ones, only as many are kept as still fit."""
     def run(batches):
         import zstandard
         press = zstandard.ZstdDecompressor()
         last = (None, None)
         for b in batches:
-            n, x, linked, toks = [], [], [], []
+            n, x, linked, own, late = [], [], [], [], []
             for i, y, z in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                 if i != last[0]:
                     last = (i, shingles(np.frombuffer(press.decompress(z.as_buffer()), np.uint8)))
                 s = shingles(np.frombuffer(press.decompress(y.as_buffer()), np.uint8))
-                d = np.setxor1d(s, last[1], assume_unique=True)
+                d = np.setdiff1d(s, last[1], assume_unique=True).view(np.int64)
+                e = np.sort(np.setdiff1d(last[1], s, assume_unique=True).view(np.int64))
                 n.append(len(s))
-                x.append(len(d))
-                linked.append(7 * len(d) <= len(s) + len(last[1]))
-                toks.append(d.view(np.int64))
+                x.append(len(d) + len(e))
+                linked.append(7 * x[-1] <= len(s) + len(last[1]))
+                own.append(d)
+                late.append(e[:max(0, len(s) // 3 + 1 - len(d))])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(x, pa.int64()),
-                                              pa.array(linked, pa.bool_()), pa.array(toks, pa.list_(pa.int64()))],
-                                             names=["rec", "cell", "n", "x", "linked", "toks"])
+                                              pa.array(linked, pa.bool_()), pa.array(own, pa.list_(pa.int64())),
+                                              pa.array(late, pa.list_(pa.int64()))],
+                                             names=["rec", "cell", "n", "x", "linked", "own", "late"])
     j = (cells.join(texts.select("rec", F.col("z").alias("s")), "rec")
          .join(texts.select(F.col("rec").alias("cell"), F.col("z").alias("t")), "cell").select("rec", "cell", "s", "t"))
-    return j.mapInArrow(run, "rec long, cell long, n long, x long, linked boolean, toks array<long>")
+    return j.mapInArrow(run, "rec long, cell long, n long, x long, linked boolean, own array<long>, late array<long>")
 
 
 def _within_cells(diffs: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) of a cell, but for two sets that both link with the hub."""
-    toks = diffs.select("rec", "cell", "n", "x", "linked", F.explode("toks").alias("tok"))
+    """The candidate pairs (a, b) of a cell, but for two sets that both link with the hub.
+
+    One set of a pair is thus not linked with the hub. Of the linked sets only
+    tokens that such a set of their cell may have become rows: a bitmap a cell
+    tells which (a false hit only adds a row). Tokens left out are shared by no
+    pair and the others only move forward in the order, so no pair is lost."""
+    cols = ["rec", "cell", "n", "x", "linked"]
+    bit = F.pmod(F.col("tok"), F.lit(MARKS)).cast("int")
+    free = reliable(diffs.filter("not linked").select(
+        *cols, F.posexplode(F.concat("own", "late")).alias("pos", "tok"), F.size("own").alias("m"))
+        .select(*cols, "tok", (F.col("pos") >= F.col("m")).alias("late")))
+    marks = free.groupBy(F.col("cell").alias("mc")).agg(F.bitmap_construct_agg(bit).alias("marks"))
+
+    def marked(batches):
+        for b in batches:
+            held, toks, late = [], [], []
+            for i, (t, e, m) in enumerate(zip(b.column(5), b.column(6), b.column(7), strict=True)):
+                bits = np.unpackbits(np.frombuffer(m.as_buffer(), np.uint8), bitorder="little")
+                for part in (t, e):
+                    v = part.values.to_numpy(zero_copy_only=False)
+                    v = v[bits[v % MARKS] > 0]
+                    held.append(np.full(len(v), i))
+                    toks.append(v)
+                    late.append(np.full(len(v), part is e))
+            if held:
+                out = b.select(cols).take(pa.array(np.concatenate(held)))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(toks), pa.int64()), pa.array(np.concatenate(late), pa.bool_())],
+                                                 names=[*cols, "tok", "late"])
+    met = (diffs.filter("linked").join(marks, F.col("cell") == F.col("mc")).select(*cols, "own", "late", "marks")
+           .mapInArrow(marked, free.schema))
+    toks = reliable(free.unionByName(met))
     often = toks.groupBy("cell", "tok").agg(F.count(F.lit(1)).alias("df"))
-    rare_first = Window.partitionBy("rec").orderBy("df", "tok")
-    # A partner's difference has at least x - H tokens and H is at most n / 3: no prefix is longer than H + 1.
+    rare_first = Window.partitionBy("rec").orderBy("late", F.when(~F.col("late"), F.col("df")), "tok")
     at = (toks.join(often, ["cell", "tok"]).withColumn("at", F.row_number().over(rare_first))
           .filter("df > 1 and 3 * (at - 1) <= n").select("rec", "cell", "n", "x", "linked", "tok", "at"))
     at = reliable(at)
@@ -362,8 +413,8 @@ def _joined(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n_shingles").alias("n")).collect()[0]["n"] or 0
     classes = reliable(rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"),
-        F.first("own").alias("own"), F.first("low").alias("low"), F.min(F.struct("th", "tk")).alias("key")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
-    sizes = classes.groupBy("rec").agg(F.max("n").alias("n"), F.min("own").alias("own"), F.min("low").alias("low"))
+        F.min(F.struct("th", "tk")).alias("key")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
+    sizes = classes.groupBy("rec").agg(F.max("n").alias("n"))
     members = written(_groups(docs, max(2 * shuffle_parts(spark), -(-total // BUCKET_SHINGLES))), "members")
     release(spark)
 
@@ -385,7 +436,9 @@ def _joined(docs: DataFrame) -> DataFrame:
     comp = members.join(label, "rec", "left").select("sig", "rec", "bits", F.coalesce("comp", "rec").alias("comp"))
     spans = (comp.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("held"))
              .filter("lo <> hi").select("sig", "held"))
-    rest = reliable(comp.join(spans, "sig").join(sizes, "rec").select(
+    open_groups = reliable(comp.join(spans, "sig"))
+    spare = _spares(open_groups.select("rec").distinct(), texts)
+    rest = reliable(open_groups.join(sizes, "rec").join(spare, "rec").select(
         "sig", "rec", "bits", "comp", "held", "n", F.col("bits").bitwiseAND(F.lit(LOW)).alias("side"),
         F.when(F.col("bits").bitwiseAND(F.lit(LOW)) == 0, F.col("own")).otherwise(F.col("low")).alias("spare")))
     exact = F.col("bits").bitwiseAND(F.lit(EXACT)) > 0
