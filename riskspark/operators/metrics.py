@@ -57,8 +57,11 @@ def prf(df: DataFrame, label: str, pred: str, groups: list[str] | None = None,
 def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """A5: rows '0', '1', 'accuracy', 'macro avg', 'weighted avg' with
     precision, recall, f1_score, support (accuracy sits in f1_score)."""
-    c = confusion(df, label, pred)
-    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return confusion(df, label, pred).select(F.inline(_report(*(F.col(x) for x in ("tp", "fp", "fn", "tn")))))
+
+
+def _report(tp: Column, fp: Column, fn: Column, tn: Column) -> Column:
+    """The five rows of the report as an array of structs."""
     n = tp + fp + fn + tn
     p1, r1 = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn)
     f1 = _safe_div(2 * tp, 2 * tp + fp + fn)
@@ -66,13 +69,14 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     f0 = _safe_div(2 * tn, 2 * tn + fn + fp)
     s1, s0 = tp + fn, tn + fp
     acc = _safe_div(tp + tn, n)
+
     def row(name, p, r, f, sup):
         return F.struct(F.lit(name).alias("label"), p.cast("double").alias("precision"),
                         r.cast("double").alias("recall"), f.cast("double").alias("f1_score"),
                         sup.cast("long").alias("support"))
 
     none = F.lit(None).cast("double")
-    rows = F.array(
+    return F.array(
         row("0", p0, r0, f0, s0),
         row("1", p1, r1, f1, s1),
         row("accuracy", none, none, acc, n),
@@ -80,7 +84,6 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
         row("weighted avg", _safe_div(p0 * s0 + p1 * s1, n), _safe_div(r0 * s0 + r1 * s1, n),
             _safe_div(f0 * s0 + f1 * s1, n), n),
     )
-    return c.select(F.inline(rows))
 
 
 def score_counts(df: DataFrame, label: str, score: str, groups: list[str] | None = None,
@@ -158,21 +161,62 @@ def reduce_scored(df: DataFrame, label: str, score: str, pred: str,
             .checkpoint(eager=True))
 
 
-def evaluation(df: DataFrame, label: str, score: str, pred: str,
-               groups: list[str] | None = None) -> DataFrame:
-    """One row per group with precision, recall, f1, roc_auc, pr_auc.
+def evaluation_record(df: DataFrame, label: str, score: str, pred: str,
+                      groups: list[str] | None = None, grid: int = 100) -> DataFrame:
+    """The whole evaluation of a group (e.g. a model) in one nested row.
 
-    The rows are read once: reduced (map-side combined) to a count per
-    ``(group, score, label, prediction)`` and checkpointed; the three
-    metrics read that table with the count as weight."""
+    - ``precision, recall, f1, roc_auc, pr_auc, n`` (conventions as above)
+    - ``report``: the class report (A5), ``confusion``: tp, fp, fn, tn
+    - ``curve``: precision and recall (ROC: fpr; recall is tpr) at the lowest
+      score of each ``1/grid`` step that holds a score, falling, then the end
+      point (threshold NULL, precision 1, recall 0). Each point is exact for
+      its threshold; the array has at most one point a step, whatever the
+      number of rows. ``pr_curve`` gives every distinct threshold as rows.
+
+    Rows without a score or label are left out. The rows are read once
+    (reduced to counts, map-side combined); one range shuffle orders the
+    counts and feeds every curve value; AUC counts the positives above each
+    score's negatives, so it needs no second, rising pass."""
     g = list(groups or [])
-    red = reduce_scored(df, label, score, pred, g)
-    a = prf(red, "_ey", "_ep", g, weight="_ew").select(*g, "precision", "recall", "f1")
-    b = roc_auc(red, "_ey", "_es", g, weight="_ew")
-    c = average_precision(red, "_ey", "_es", g, weight="_ew") \
-        .withColumnRenamed("average_precision", "pr_auc")
-    if g:
-        return a.join(b, g).join(c, g)
-    k = F.lit(1)
-    return (a.withColumn("_k", k).join(b.withColumn("_k", k), "_k")
-            .join(c.withColumn("_k", k), "_k").drop("_k"))
+    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    y, no, p, q = F.col(label) == 1, F.col(label) == 0, F.col(pred) == 1, F.col(pred) == 0
+    counts = ["_pos", "_neg", "_tp1", "_fp1", "_fn1", "_tn1"]
+    reduced = known.groupBy(*g, F.col(score).cast("double").alias("_s")).agg(
+        F.sum(y.cast("long")).alias("_pos"), F.sum(no.cast("long")).alias("_neg"),
+        F.sum((y & p).cast("long")).alias("_tp1"), F.sum((no & p).cast("long")).alias("_fp1"),
+        F.sum((y & q).cast("long")).alias("_fn1"), F.sum((no & q).cast("long")).alias("_tn1"))
+    run = ordered_scan(reduced, g, [F.col("_s").desc()], sums={"_tp": "_pos", "_fp": "_neg"})
+    above = F.col("_tp") - 0.5 * F.col("_pos")          # positives above, ties one half
+    steps = run.groupBy(*g, F.floor(F.col("_s") * grid).alias("_step")).agg(
+        F.min("_s").alias("threshold"), F.max("_tp").alias("_tp"), F.max("_fp").alias("_fp"),
+        *[F.sum(c).alias(c) for c in counts],
+        F.sum(F.col("_neg") * above).alias("_u"),
+        F.sum(F.col("_pos") * F.col("_tp") / (F.col("_tp") + F.col("_fp"))).alias("_w"))
+    one = steps.groupBy(*g).agg(
+        *[F.sum(c).alias(c) for c in (*counts, "_u", "_w")],
+        F.sort_array(F.collect_list(F.struct("threshold", "_tp", "_fp")), asc=False).alias("_at"))
+    pos, neg, tp, fp, fn, tn = (F.coalesce(F.col(c), F.lit(0)) for c in counts)     # no prediction counts in none
+
+    def rate(part, whole, empty):
+        return F.when(whole == 0, F.lit(empty)).otherwise(part / whole)
+
+    points = F.transform("_at", lambda x: F.struct(
+        x["threshold"].alias("threshold"), rate(x["_tp"], x["_tp"] + x["_fp"], 0.0).alias("precision"),
+        rate(x["_tp"], pos, 1.0).alias("recall"), rate(x["_fp"], neg, 0.0).alias("fpr")))
+    end = F.array(F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                           F.lit(0.0).alias("recall"), F.lit(0.0).alias("fpr")))
+    return one.filter(F.size("_at") > 0).select(
+        *g, _safe_div(tp, tp + fp).alias("precision"), _safe_div(tp, tp + fn).alias("recall"),
+        _safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        F.when((pos > 0) & (neg > 0), F.col("_u") / (pos.cast("double") * neg)).alias("roc_auc"),
+        rate(F.col("_w"), pos, 0.0).alias("pr_auc"), (pos + neg).alias("n"),
+        _report(tp, fp, fn, tn).alias("report"),
+        F.struct(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn")).alias("confusion"),
+        F.concat(points, end).alias("curve"))
+
+
+def evaluation(df: DataFrame, label: str, score: str, pred: str,
+               groups: list[str] | None = None) -> DataFrame:
+    """The five numbers of the evaluation record (M17), one row per group."""
+    return evaluation_record(df, label, score, pred, groups).select(
+        *(groups or []), "precision", "recall", "f1", "roc_auc", "pr_auc")

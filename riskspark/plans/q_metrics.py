@@ -139,6 +139,40 @@ def q_evaluation_by_model(spark, sf_dir):
     return e.select("model", *[_r(c) for c in ("precision", "recall", "f1", "roc_auc", "pr_auc")])
 
 
+_RECORD = Q.with_(Q.EV, Q.scored(_MODELS),
+  """c AS (SELECT model, score AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+                  sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS neg FROM sc GROUP BY model, score)""",
+  """tot AS (SELECT model, sum(pos) AS p, sum(neg) AS n FROM c GROUP BY model)""",
+  """auc AS (SELECT a.model, sum(a.pos * b.neg * (CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5
+                  ELSE 0.0 END)) AS u FROM c a JOIN c b ON a.model = b.model GROUP BY a.model)""",
+  """t AS (SELECT a.model, a.s, a.pos, sum(b.pos) AS tp, sum(b.neg) AS fp
+           FROM c a JOIN c b ON a.model = b.model AND b.s >= a.s GROUP BY a.model, a.s, a.pos)""",
+  """ap AS (SELECT model, sum(pos * tp / (tp + fp)) / sum(pos) AS pr_auc FROM t GROUP BY model)""",
+  """low AS (SELECT model, min(s) AS s FROM c GROUP BY model, floor(s * 100))""",
+  """pt AS (SELECT low.model, low.s AS threshold, tp / (tp + fp) AS precision, tp / p AS recall, fp / n AS fpr
+            FROM low JOIN t ON t.model = low.model AND t.s = low.s JOIN tot ON tot.model = low.model
+            UNION ALL SELECT model, NULL, 1.0, 0.0, 0.0 FROM tot)""",
+  """m AS (SELECT model, count(*) AS n, sum(CASE WHEN label = pred THEN 1 ELSE 0 END) / count(*) AS accuracy,
+                  sum(CASE WHEN label = 1 AND pred = 0 THEN 1 ELSE 0 END) AS fn FROM sc GROUP BY model)""") + """
+SELECT pt.model, CAST(m.n AS BIGINT) AS n, CAST(m.fn AS BIGINT) AS fn, round(m.accuracy, 6) AS accuracy,
+       round(u / (p * tot.n), 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+       threshold, round(precision, 6) AS precision, round(recall, 6) AS recall, round(fpr, 6) AS fpr
+FROM pt JOIN m USING (model) JOIN tot USING (model) JOIN auc USING (model) JOIN ap USING (model)"""
+
+
+@query("evaluation_record", sql=_RECORD)
+def q_evaluation_record(spark, sf_dir):
+    """The nested record of each model, its curve laid out as rows."""
+    from riskspark.sources.derived import RULE_SCORERS
+    sc = scored_events(Workspace(spark, sf_dir).events, RULE_SCORERS)
+    e = M.evaluation_record(sc, "label", "score", "pred", ["model"])
+    accuracy = F.filter("report", lambda x: x["label"] == "accuracy")[0]["f1_score"]
+    e = e.select("model", "n", F.col("confusion.fn").alias("fn"), accuracy.alias("accuracy"),
+                 _r("roc_auc"), _r("pr_auc"), F.inline("curve"))
+    return e.select("model", "n", "fn", _r("accuracy"), "roc_auc", "pr_auc", "threshold",
+                    _r("precision"), _r("recall"), _r("fpr"))
+
+
 @query("feedback_join_narrow", sql=Q.with_(Q.EV, Q.PRED, Q.FB) + """
 SELECT p.transaction_id, p.predicted_label, f.actual_label, f.confirmed_at
 FROM pred p INNER JOIN fb f ON p.transaction_id = f.transaction_id""")

@@ -106,8 +106,11 @@ class _Run:
         bundle = B.build(fitted, self.bounds, self.names, B.training_mean(fitted, self.train), iso, cfg.threshold)
         path = B.save(bundle, f"{folder}/bundle")
         scored = B.score(bundle, self.test, keep=[cfg.target])
-        ev = M.evaluation(scored, cfg.target, B.SCORE, B.LABEL).first()
-        metrics = {k: ev[k] for k in METRICS}
+        record = M.evaluation_record(scored, cfg.target, B.SCORE, B.LABEL)      # one row
+        record = record.checkpoint(eager=True)
+        record.write.mode("overwrite").json(f"{folder}/evaluation")
+        ev = record.first()
+        metrics = {k: ev[k] if ev else None for k in METRICS}
         if spec(name).supports_feature_importance:
             sinks.export_csv(importance(fitted, self.names, name), f"{folder}/importance")
         logged = dict(metrics)

@@ -42,6 +42,11 @@ def test_train_score_monitor(spark, tmp):
     assert {("param", "maxIter"), ("param", "numTrees")} & set(logged) and float(logged["metric", "roc_auc"]) > 0.5
     assert spark.read.option("header", True).csv(f"{tmp}/runs/{run}/shap").count() == len(res.feature_names)
 
+    # The whole evaluation lies with the run
+    record = spark.read.json(f"{tmp}/runs/{run}/evaluation").first()
+    assert abs(record["roc_auc"] - float(logged["metric", "roc_auc"])) < 1e-6
+    assert len(record["report"]) == 5 and record["curve"][-1]["recall"] == 0.0
+
     # Stream requests through the production bundle, replay-safe
     req = raw.drop(S.TARGET)
     req.repartition(2).write.parquet(f"{tmp}/requests")

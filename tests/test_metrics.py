@@ -95,3 +95,37 @@ def test_evaluation_on_reduced_rows_equals_the_direct_metrics(spark):
             assert r[k] == a[g][k]
         assert math.isclose(r["roc_auc"], b[g], rel_tol=1e-12)
         assert math.isclose(r["pr_auc"], c[g], rel_tol=1e-12)
+
+
+def test_evaluation_record_brute_force(spark):
+    rnd = random.Random(7)
+    ys = [rnd.randint(0, 1) for _ in range(400)]
+    ss = [round(rnd.random() ** 3, 3) for _ in range(400)]
+    ps = [int(s > 0.2) for s in ss]
+    rows = [("a", *r) for r in zip(ys, ss, ps)] + [("b", 1, 0.5, 1), ("b", 1, 0.25, 0), ("c", 0, 1.0, 1),
+                                                  ("d", None, 0.5, 1), ("a", 1, None, 1)]
+    df = spark.createDataFrame(rows, "g string, y int, s double, p int")
+    got = {r["g"]: r for r in M.evaluation_record(df, "y", "s", "p", ["g"], grid=20).collect()}
+    assert set(got) == {"a", "b", "c"}                     # d has no labelled row
+    a = got["a"]
+    assert a["n"] == 400 and math.isclose(a["roc_auc"], _auc(ys, ss)) and math.isclose(a["pr_auc"], _ap(ys, ss))
+    report = {r["label"]: r for r in a["report"]}
+    assert report["1"]["support"] == sum(ys)
+    assert math.isclose(report["accuracy"]["f1_score"], sum(y == p for y, p in zip(ys, ps)) / 400)
+    lows = sorted({math.floor(s * 20): min(x for x in ss if math.floor(x * 20) == math.floor(s * 20)) for s in ss}.values(),
+                  reverse=True)
+    assert [c["threshold"] for c in a["curve"]] == [*lows, None]
+    for c in a["curve"][:-1]:
+        tp = sum(y for y, s in zip(ys, ss) if s >= c["threshold"])
+        fp = sum(1 - y for y, s in zip(ys, ss) if s >= c["threshold"])
+        assert math.isclose(c["precision"], tp / (tp + fp)) and math.isclose(c["recall"], tp / sum(ys))
+        assert math.isclose(c["fpr"], fp / (400 - sum(ys)))
+    assert got["b"]["roc_auc"] is None and got["b"]["recall"] == 0.5 and got["b"]["pr_auc"] == 1.0
+    assert got["c"]["pr_auc"] == 0.0 and [c["recall"] for c in got["c"]["curve"]] == [1.0, 0.0]
+    assert M.evaluation_record(df.limit(0), "y", "s", "p", ["g"]).count() == 0
+
+
+def test_evaluation_record_orders_once(spark):
+    df = _df(spark, [0, 1, 1], [0.1, 0.2, 0.3])
+    plan = M.evaluation_record(df, "y", "s", "p")._jdf.queryExecution().toString()
+    assert plan.count("rangepartitioning") == 0            # ordered once, into the stored slices
