@@ -3,7 +3,7 @@
 - ``split``: a seeded hash of the row key decides the split, so the result
   does not depend on partitioning or task retries (``randomSplit`` does).
   ``exact=True`` gives the reference's exact sizes (test = ceil(0.2·n), then
-  val = ceil(0.1·rest)) by ranking the hash with the distributed running count.
+  val = ceil(0.1·rest)): the two border hashes are selected by counting passes.
 - ``fit_preprocessor``: exact medians (linear interpolation), population
   mean / std of the imputed values, modes (count desc, value asc), then
   ``StringIndexer(keep) + OneHotEncoder(dropLast)`` — known values get full
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from riskspark import schemas as S
 from riskspark.functions.columns import unit_hash
 from riskspark.operators.ordered import ordered_scan
-from riskspark.operators.quantile import exact_quantiles
+from riskspark.operators.selection import counts, quantiles, select
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 ID_COLUMNS = ("transaction_id", "customer_id")
@@ -42,13 +42,24 @@ def split(df: DataFrame, key: str = "transaction_id", test_size: float = S.SPLIT
         cut_val = test_size + (1 - test_size) * val_size
         return df.withColumn("split", F.when(u < test_size, "test")
                              .when(u < cut_val, "val").otherwise("train"))
-    n = df.count()
+    data = df.withColumn("_u", u)
+    known = counts(data, "_u")
+    if not known:
+        return df.withColumn("split", F.lit(None).cast("string"))
+    n = known[""]["n"]
     n_test = math.ceil(test_size * n)
     n_val = math.ceil(val_size * (n - n_test))
-    ranked = ordered_scan(df.withColumn("_u", u), [], ["_u", key], count_as="_rank")
-    return ranked.withColumn(
-        "split", F.when(F.col("_rank") <= n_test, "test")
-        .when(F.col("_rank") <= n_test + n_val, "val").otherwise("train")).drop("_u", "_rank")
+    found = select(data, "_u", {"": {n_test - 1, n_test + n_val - 1}}, known)
+    (last_test, _), (last_val, _) = found["", n_test - 1], found["", n_test + n_val - 1]
+    # Only rows that share the hash of a border are ranked, by key.
+    border = F.col("_u").isin(last_test, last_val)
+    below = F.create_map(*[F.lit(x) for v, b in dict(found.values()).items() for x in (v, b)])
+    clear = data.filter(~border).withColumn(
+        "split", F.when(F.col("_u") < last_test, "test").when(F.col("_u") < last_val, "val").otherwise("train"))
+    tied = ordered_scan(data.filter(border), ["_u"], [key], count_as="_rank")
+    rank = F.col("_rank") + below[F.col("_u")]
+    tied = tied.withColumn("split", F.when(rank <= n_test, "test").when(rank <= n_test + n_val, "val").otherwise("train"))
+    return clear.drop("_u").unionByName(tied.drop("_u", "_rank"))
 
 
 # ---------------------------------------------------------------------------
@@ -73,15 +84,12 @@ def feature_columns(df: DataFrame, target: str = S.TARGET, include_ids: bool = F
 # A11 / A12
 # ---------------------------------------------------------------------------
 def medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact medians of several columns in one distributed pass."""
+    """Exact medians of several columns, all in the same counting passes."""
     if not cols:
         return {}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], cols, "column", "value")
-    rows = exact_quantiles(long, "value", [0.5], groups=["column"], names=["median"]).collect()
-    out = {c: None for c in cols}
-    out.update({r["column"]: r["median"] for r in rows})
-    return out
+    return {c: None for c in cols} | {c: q[0] for c, q in quantiles(long, "value", [0.5], "column").items()}
 
 
 def modes(df: DataFrame, cols: list[str]) -> DataFrame:

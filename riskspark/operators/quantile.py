@@ -2,7 +2,8 @@
 ``median`` / DuckDB ``quantile_cont``), distributed.
 
 Spark's exact ``percentile`` keeps every value of a group in one buffer; at
-scale that is one task holding a whole column. Here values are first reduced
+scale that is one task holding a whole column. Without groups the ranks are
+found by counting passes (``selection.py``). With groups values are first reduced
 to ``(value, count)`` (map-side combined), then ranked with the range-
 partitioned running sum of ``ordered.py``; the two ranks around
 ``h = (n-1)·q`` are picked with a grouped aggregate.
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators.ordered import ordered_scan
+from riskspark.operators.selection import quantiles
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float],
@@ -25,12 +27,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     """
     groups = list(groups or [])
     names = names or [f"q_{str(p).replace('.', '_')}" for p in probs]
+    if not groups:
+        row = quantiles(df, value, probs).get("", [None] * len(probs))
+        return df.sparkSession.createDataFrame([tuple(row)], ", ".join(f"`{n}` double" for n in names))
     vals = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     counts = vals.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = ordered_scan(counts, groups, ["_v"], sums={"_cum": "_n"})
     totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     # One row per group; AQE sees its real size at run time and broadcasts it.
-    j = ranked.join(totals, groups, "inner") if groups else _attach_total(ranked, totals)
+    j = ranked.join(totals, groups, "inner")
     aggs = []
     for p, name in zip(probs, names):
         h = (F.col("_total") - 1) * F.lit(float(p))
@@ -50,14 +55,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     return out.select(*cols)
 
 
-def _attach_total(ranked: DataFrame, totals: DataFrame) -> DataFrame:
-    """Join the one-row total onto every row without a cartesian product:
-    both sides get the same constant key."""
-    return (ranked.withColumn("_one", F.lit(1))
-            .join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")   # one row
-            .drop("_one"))
-
-
 def quantile_values(df: DataFrame, value: str, probs: list[float]) -> list[float | None]:
     """Driver-side scalars for a handful of global quantiles (one small row)."""
     row = exact_quantiles(df, value, probs, names=[f"q{i}" for i in range(len(probs))]).first()
