@@ -70,8 +70,22 @@ def norm_name(x) -> Column:
 
 
 def percent_text(x, places: int = 1) -> Column:
-    """``f"{x:.1%}"``, ties to even."""
-    return F.format_string(f"%.{places}f%%", F.bround(_c(x) * 100, places))
+    """``f"{x:.1%}"``: the exact binary value of ``100 * x`` rounded, ties to even.
+
+    A double's fraction times 2^62 is a whole number wherever a tie can be, so
+    the comparison with the half is exact (0.15 lies under its tie)."""
+    y = _c(x).cast("double") * 100
+    whole = F.floor(F.abs(y))
+    unit = 1 << 62
+    part = ((F.abs(y) - whole) * float(unit)).cast("bigint").cast("decimal(20,0)") * F.lit(10**places).cast("decimal(4,0)")
+    low = F.floor(part / F.lit(unit).cast("decimal(20,0)")).cast("bigint")
+    rest = part - low.cast("decimal(5,0)") * F.lit(unit).cast("decimal(20,0)")
+    half = F.lit(unit // 2).cast("decimal(20,0)")
+    up = (rest > half) | ((rest == half) & (low % 2 == 1))
+    total = whole * 10**places + low + up.cast("bigint")
+    digits = F.format_string(f"%s%d.%0{places}d%%", F.when(y < 0, "-").otherwise(""),
+                             F.floor(total / 10**places), total % 10**places)
+    return F.when(y.isNull(), F.format_string(f"%.{places}f%%", y)).otherwise(digits)
 
 
 def yes_no(flag) -> Column:
