@@ -12,7 +12,7 @@ item's, or those that are solid (below) ``COVERAGE`` of its solid ones. So a que
 in another case also.
 
 An item shorter than a window is matched as one window of its own length; one
-of under ``LEAST`` words, or null, is not searched. A window is solid with ``SOLID``
+of under ``LEAST`` words only where it is the whole text. A null item, or one without words, matches nothing. A window is solid with ``SOLID``
 plain words (or all its words, if fewer); others are found by their very words only. Null and empty texts match nothing. A document is a
 row's id and text, so null or repeated ids neither share windows nor fates. Other columns are ignored.
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows; above, both
@@ -57,16 +57,53 @@ def _typed(x):
     return F.when(_slot(x), F.substring(x, 1, 1)).otherwise(x)
 
 
-def windows(df: DataFrame, length) -> DataFrame:
-    """k, wh: the hashes of all plain windows, then as many of the templates (none where equal)."""
-    def of(h):      # no filter on toks: it would be pushed down and cut the text into words twice
-        at = F.when(F.size(h) >= length, F.sequence(F.lit(1), F.size(h) - length + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.xxhash64(F.slice(h, i, length)))
+def _joined(left, right, ahead):
+    """Element i of ``left`` hashed with element i + ``ahead`` of ``right``; as long as ``left``."""
+    return F.zip_with(left, F.slice(right, F.lit(ahead + 1), F.greatest(F.size(right) - ahead, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+
+
+def _runs(h: str, lengths) -> dict:
+    """Per length the hashes of all runs of so many words (of the array column
+    ``h``), by doubling: each is a hash of two shorter ones, whose columns
+    ``h_2`` and ``h_4`` stand beside ``h``."""
+    two, four = F.col(f"{h}_2"), F.col(f"{h}_4")
+    made = {1: F.col(h), 2: two, 4: four}
+    made[3] = _joined(two, F.col(h), 2)
+    made[5], made[6] = _joined(four, F.col(h), 4), _joined(four, two, 4)
+    made[7], made[8] = _joined(_joined(four, two, 4), F.col(h), 6), _joined(four, four, 4)
+    return {n: F.slice(made[n], F.lit(1), F.greatest(F.size(h) - n + 1, F.lit(0))) for n in lengths}
+
+
+def windows(df: DataFrame, lengths, wanted) -> DataFrame:
+    """len, k, wh: for each length whose condition ``wanted(n)`` holds the
+    hashes of all plain windows, then as many of the templates (null where
+    equal, so only those with slots).
+
+    The array is made in a projection of its own, below an outer explode: an
+    expression in the explode itself would copy the words into every window's
+    row, an inner one would add a filter that makes the array twice."""
     df = df.select("*", F.transform("toks", lambda x: F.xxhash64(_bare(x))).alias("hp"),
                    F.transform("toks", lambda x: F.xxhash64(_typed(x))).alias("ht"))
-    df = df.select("*", of("hp").alias("wp"))
-    typed = F.zip_with(of("ht"), "wp", lambda t, e: F.when(t != e, t))
-    return df.select("*", F.posexplode(F.concat("wp", typed)).alias("k", "wh")).drop("hp", "ht", "wp").filter("wh is not null")
+    df = df.select("*", *[_joined(h, F.col(h), 1).alias(f"{h}_2") for h in ("hp", "ht")])
+    df = df.select("*", *[_joined(f"{h}_2", F.col(f"{h}_2"), 2).alias(f"{h}_4") for h in ("hp", "ht")])
+    plain, typed = _runs("hp", lengths), _runs("ht", lengths)
+    none = F.array().cast("array<bigint>")
+    df = df.select("*", *[F.when(wanted(n), plain[n]).otherwise(none).alias(f"wp{n}") for n in lengths],
+                   *[F.when(wanted(n), typed[n]).otherwise(none).alias(f"wt{n}") for n in lengths])
+    parts = []
+    for n in lengths:
+        parts += [f"wp{n}", F.zip_with(f"wt{n}", f"wp{n}", lambda t, e: F.when(t != e, t))]
+    drop = ["hp", "ht", "hp_2", "ht_2", "hp_4", "ht_4"] + [f"w{c}{n}" for c in "pt" for n in lengths]
+    df = df.select("*", F.concat(*parts).alias("whs")).drop(*drop)
+    df = df.select("*", F.posexplode_outer("whs").alias("at", "wh")).drop("whs").filter("wh is not null")
+    # The place in the array gives the length and the place among its windows.
+    size, start, length, k = F.size("toks"), F.lit(0), F.lit(None).cast("int"), F.lit(None).cast("int")
+    for n in lengths:
+        count = F.when(wanted(n), F.greatest(size - n + 1, F.lit(0))).otherwise(F.lit(0))
+        here = (F.col("at") >= start) & (F.col("at") < start + 2 * count)
+        length, k = F.when(here, F.lit(n)).otherwise(length), F.when(here, F.col("at") - start).otherwise(k)
+        start = start + 2 * count
+    return df.withColumns({"len": length, "k": k}).drop("at")
 
 
 def _solid(part, length):
@@ -75,12 +112,12 @@ def _solid(part, length):
 
 def bench_windows(benchmark: DataFrame) -> DataFrame:
     """Per item one row for each plain window, and one for each solid window with slots."""
-    b = (benchmark.select("item_id", tokens(F.col("text")).alias("toks")).filter(F.size("toks") >= LEAST)
-         .withColumn("len", F.least(F.lit(WINDOW), F.size("toks"))))
+    b = (benchmark.select("item_id", tokens(F.col("text")).alias("toks")).filter(F.size("toks") > 0)
+         .withColumn("own_len", F.least(F.lit(WINDOW), F.size("toks"))))
+    b = windows(b, range(1, WINDOW + 1), lambda n: F.col("own_len") == n).drop("own_len")
     b = b.withColumn("n_windows", F.size("toks") - F.col("len") + 1)
     b = b.withColumn("n_solid", F.size(F.filter(
         F.sequence(F.lit(1), F.col("n_windows")), lambda i: _solid(F.slice("toks", i, F.col("len")), F.col("len")))))
-    b = windows(b, F.col("len"))
     b = b.withColumn("ipos", F.col("k") % F.col("n_windows")).withColumn("exact", F.col("k") < F.col("n_windows"))
     b = b.withColumn("part", F.slice("toks", F.col("ipos") + 1, F.col("len")))
     b = b.withColumn("solid", _solid(F.col("part"), F.col("len")))
@@ -102,21 +139,18 @@ def _pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small = bench.count() <= BROADCAST_ROWS
     # A document is its id and text: null or repeated ids stay apart.
     d = docs.filter("text is not null").select(F.struct("doc_id", *text_key("text")).alias("row"), tokens(F.col("text")).alias("toks"))
-    hits = None
-    for n in lens or [WINDOW]:
-        b = bench.filter(F.col("len") == n).drop("len")
-        w = windows(d, n)
-        count = F.size("toks") - n + 1
-        pos = (F.col("k") % count).alias("pos")
-        own = F.when(F.col("k") >= count, F.transform(F.slice("toks", F.col("k") % count + 1, n), _bare)).alias("own")
-        if small:
-            j = w.join(F.broadcast(b), "wh").select("*", pos, own)
-        else:       # the window's own words travel, not the whole text
-            j = w.select("row", "wh", pos, own).join(b, "wh")
-        j = j.select("row", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
-                     F.transform("slots", lambda s: F.struct((F.col("ipos") + s["at"]).alias("p"), s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"),
-                     "exact")
-        hits = j if hits is None else hits.unionByName(j)
+    # A window of under LEAST words says little inside a text: there the whole text must be it.
+    w = windows(d, lens or [WINDOW], lambda n: F.lit(True) if n >= LEAST else F.size("toks") == n)
+    count = F.size("toks") - F.col("len") + 1
+    pos = (F.col("k") % count).alias("pos")
+    own = F.when(F.col("k") >= count, F.transform(F.slice("toks", F.col("k") % count + 1, F.col("len")), _bare)).alias("own")
+    if small:
+        j = w.join(F.broadcast(bench), ["wh", "len"]).select("*", pos, own)
+    else:       # the window's own words travel, not the whole text
+        j = w.select("row", "wh", "len", pos, own).join(bench, ["wh", "len"])
+    hits = j.select("row", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
+                    F.transform("slots", lambda s: F.struct((F.col("ipos") + s["at"]).alias("p"), s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"),
+                    "exact")
     g = hits.groupBy("row", "item_id", "n_windows", "n_solid", "diag").agg(
         F.collect_set(F.struct("ipos", "solid", "exact", "pairs")).alias("seen"), F.flatten(F.collect_set("pairs")).alias("votes"))
     # A slot is consistent if most slots with its value in the item have its value in the document.

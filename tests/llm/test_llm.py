@@ -328,6 +328,18 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     assert leaks(spark, texts, [q]) == small == {(0, 0), (1, 0)}
 
 
+def test_decontamination_short_items(spark):
+    """Items of one to three words match where they are the whole text, items of 4 to 8 anywhere, all from one cut."""
+    items = ["Yes", "forty two", "Red green blue.", "one fine day outside", "a b c d e", "a1 bird in the old tree", "five six nine ten two three on", "Who wrote this big old red book?"]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)] + [(90, None), (91, "?!")], "item_id long, text string")
+    rows = [(i, t.upper()) for i, t in enumerate(items)] + [(10 + i, f"before it comes {t} and more text goes on after that") for i, t in enumerate(items)]
+    docs = spark.createDataFrame(rows + [(80, None), (81, ""), (82, "?!")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench).collect()}
+    assert got == {(i, i) for i in range(8)} | {(10 + i, i) for i in range(3, 8)}
+    plan = decontaminate.matches(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate posexplode") <= 2
+
+
 def test_decontamination_case(spark):
     q = "after the long trip Ann, Bob, Carl, Dora, Emil, Fritz and old Gustav sold the house, the garden, the boat and the car to Hans"
     texts = ["x " + q, q.upper(), q.lower(), q.title(), "Some words before, " + q.upper() + " and after", q.replace("Ann", "Zoe").replace("Hans", "Kim")]
