@@ -3,6 +3,7 @@ import hashlib
 import os
 import re
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -282,6 +283,39 @@ def test_pii(spark, odd, docs, empty):
     assert pii.find(empty, textkit.reliable).count() == 0
 
 
+def test_pii_added_spans(spark):
+    """The classifier adds what its labelers agree on and leaves bare look-alikes; no added span overlaps a base one."""
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = ([f'api token = "{key}"', "please mail jane.doe [at] web [dot] org now", "call (212) 555-0147 today"] * 40
+             + [f"x{'ab' * 17}y", f"commit/{'a' * 33}/end", "room-(012) 555-01470"] * 40 + ["+1 (212) 555-0147", f"mail {key}@a.bc"])
+    df = spark.createDataFrame([(i, t, "en", "s", 0, 0.0, 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r["a"] for r in pii.find(df, textkit.reliable).select("doc_id", pii.text_of(F.col("all")).alias("a")).collect()}
+    want = {0: "secret:13:53", 1: "masked:12:39", 2: "number:5:19"}
+    for i, t in enumerate(texts[:240]):
+        assert got[i] == (want[i % 3] if i < 120 else ""), t
+    assert got[240] == "phone:0:17" and got[241] == f"email:5:{5 + len(key) + 5}"
+
+
+def test_pii_classifier_uses_more_than_votes():
+    """Candidates of equal votes are told apart by what goes with the other candidates' votes."""
+    k = pii.KINDS.index("secret")
+    counts = {(k, 0b0001111): 900, (k, 0b0001011): 300, (k, 0b0000000): 900, (k, 0b1000000): 300, (k, 0b0000001): 20, (k, 0b0001001): 20}
+    z = pii.classifier(counts)[k]
+    assert z[0b0001111] > 0 > z[0] and z[0b0001001] > z[0b0000001]
+    assert pii.classifier({}).shape == (len(pii.KINDS), 128)
+
+
+def test_pii_many_matches(spark):
+    """Blocks join at the right places, and matches in great number stay cheap."""
+    text = "".join(f"call (212) 555-{i % 10000:04d} or u{i}@ex.org; " for i in range(16_000))
+    start = time.time()
+    (r,) = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), textkit.reliable).collect()
+    took = time.time() - start
+    assert [(s["s"], s["e"]) for s in r["base"]] == [m.span() for m in re.finditer(r"u[0-9]+@ex\.org", text)]
+    assert [(s["s"], s["e"]) for s in r["all"][16_000:]] == [m.span() for m in re.finditer(r"\(212\) 555-[0-9]{4}", text)]
+    assert took < 60
+
+
 def test_pii_long_runs(spark):
     card = "4111 1111 1111 1111"
     texts = ["1 " * 100_000 + "x " + card, "12-" * 50_000 + "3", "7" * 100_000, "+1 " + "2 " * 50_000, "a" * 100_000 + "@b" + ".c" * 50_000,
