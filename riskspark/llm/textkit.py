@@ -32,9 +32,11 @@ def _odd(n):
     return _rng.integers(0, 2**63, n, dtype=np.uint64) * U64(2) + U64(1)
 
 
-BYTE_MIX = _odd(256)
-BYTE_MIX[SPACE] = 0
-POW = np.cumprod(np.full(POW_LEN, _odd(1)[0], dtype=np.uint64))
+# A word's hash sums one random number for each byte and place (tabulation), so
+# no pattern of bytes cancels out, as it would with powers of one factor.
+TABLE = _rng.integers(0, 2**64, (POW_LEN, 256), dtype=np.uint64)
+TABLE[:, SPACE] = 0
+TABLE = TABLE.reshape(-1)
 SEQ = _odd(64)
 
 
@@ -80,10 +82,11 @@ def words(data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     first = starts[0]
     spread = np.diff(np.append(starts, len(a)))
     pos = np.arange(first, len(a)) - np.repeat(starts, spread)
-    long = pos >= POW_LEN
-    code = BYTE_MIX[a[first:]] * POW[pos & (POW_LEN - 1)]
-    if long.any():     # a word of over 4,096 bytes: each further block has its own factor
-        code *= (pos >> 12).astype(np.uint64) * U64(2) + U64(1)
+    code = TABLE[((pos & (POW_LEN - 1)) << 8) | a[first:]]
+    far = pos >= POW_LEN
+    if far.any():      # a word of over 4,096 bytes: each further block mixes the numbers anew (gaps stay 0)
+        far &= ~gap[first:]
+        code[far] = splitmix(code[far] ^ splitmix((pos[far] >> 12).astype(np.uint64)))
     return splitmix(np.add.reduceat(code, starts - first)), starts, ends
 
 

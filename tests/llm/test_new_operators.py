@@ -351,3 +351,23 @@ def test_labelled_sample_bounds_its_rows(spark):
     sample, _ = textkit.labelled_sample(docs, labels, "quality", {0: 10, 1: 10})
     rows = sample.collect()
     assert len(rows) <= 20 and len({r["doc_id"] for r in rows}) == len(rows)
+
+
+def test_word_hashes_have_no_structure():
+    """Thue-Morse words and their complements, which powers of a factor hash alike, also over blocks of long words."""
+    import numpy as np
+
+    from riskspark.llm import textkit
+
+    seen = set()
+    for n in (6, 10, 12, 15, 16):
+        bits = [bin(i).count("1") & 1 for i in range(1 << n)]
+        for flip in (0, 1):
+            data = np.array([97 + (b ^ flip) for b in bits], dtype=np.uint8)
+            seen.add(int(textkit.word_hashes(data)[0]))
+            spaced = np.concatenate([data, np.full(9000, 32, np.uint8), data, np.full(5, 10, np.uint8)])
+            h = textkit.word_hashes(spaced)
+            assert len(h) == 2 and h[0] == h[1] == textkit.word_hashes(data)[0]
+    blocks = [np.concatenate([np.full(4096, 97 + b, np.uint8) for b in order]) for order in ((0, 1, 1, 0), (1, 0, 0, 1), (0, 0, 1, 1))]
+    seen |= {int(textkit.word_hashes(b)[0]) for b in blocks}
+    assert len(seen) == 13
