@@ -334,6 +334,36 @@ def test_licenses(spark, odd):
     assert (r["doc_id"], r["license"], r["coverage"]) == (50, "apache-2.0", 1.0) and t[r["start"]:r["end"]].startswith("Licensed under")
 
 
+def test_license_texts(spark, empty):
+    """Near relatives are told apart, whole texts and changed ones found, look-alikes left."""
+    mit = licenses.TEMPLATES["mit"]
+    body = mit[1].split()
+    cut = " ".join(w if i % 5 else "other" for i, w in enumerate(body))
+    want = [("Licensed under CC BY 4.0", ["cc-by-4.0"]), ("so licensed under CC BY-NC 4.0 now", ["cc-by-nc-4.0"]),
+            ("Released under an MIT License", ["mit"]), ("# SPDX-License-Identifier: MIT", ["mit"]), (mit[1], ["mit"]), (cut, ["mit"]),
+            ("x y " + licenses.TEMPLATES["apache-2.0"][1] + " z", ["apache-2.0"]), (licenses.TEMPLATES["gpl-2.0"][0], ["gpl-2.0"]),
+            (mit[0] + " words between " + mit[0], ["mit", "mit"]), ("Permission is hereby granted to leave the software meeting", []),
+            ("the license", []), ("", []), (None, [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
+    got = {}
+    for r in licenses.scan(df).collect():
+        got.setdefault(r["doc_id"], []).append(r["license"])
+    assert got == {i: w for i, (_, w) in enumerate(want) if w}
+    assert licenses.scan(empty).count() == 0
+
+
+def test_license_fingerprints_cover_every_match():
+    """Brute force: whichever quarter of a short template's words is replaced, the index still finds it."""
+    import itertools
+    for n in range(4, 13):
+        words = [f"w{i}" for i in range(n)]
+        idx = licenses.index({"t": (" ".join(words),)})
+        for gone in itertools.combinations(range(n), int(n * 0.25)):
+            text = " ".join("a b c " .split() + [("x" if i in gone else w) for i, w in enumerate(words)] + ["d"])
+            (hit,) = licenses.scan_text(np.frombuffer(text.encode(), np.uint8), idx)
+            assert hit[1] == (n - len(gone)) / n
+
+
 def test_decontamination(spark, odd, empty):
     q = "a train leaves the old station with 40 passengers and then 25 km later it stops and 40 people leave the train"
     bench = spark.createDataFrame([(1, q), (2, None), (3, "two words")], "item_id long, text string")
