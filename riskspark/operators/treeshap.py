@@ -5,8 +5,9 @@ Lundberg et al., Nature Machine Intelligence 2020, Algorithm 2).
 The trees come from the fitted Spark model's saved form (its ``data``
 Parquet: node ids, children, splits, node statistics), so their size is the
 model's, not the data's; they travel to the executors as a broadcast. Rows
-are explained in ``mapInPandas`` batches: the recursion walks each tree once
-per batch with the path weights held as arrays over the batch's rows.
+are explained in ``mapInPandas`` batches: each tree is walked once per batch,
+a leaf's contributions are worked out per pattern of features that follow its
+path, and the rows look them up by their pattern.
 
 - Random forest (classification): contributions to the class-1 probability
   (the mean of the trees' leaf class shares), base = mean expected leaf
@@ -101,83 +102,89 @@ def trees_from_model(spark: SparkSession, clf) -> tuple[list[Tree], str]:
 # ---------------------------------------------------------------------------
 # The algorithm, vectorised over a batch of rows
 # ---------------------------------------------------------------------------
-def _extend(path, z, o, d, b):
-    lenp = len(path)
-    new = [[p[0], p[1], p[2], p[3].copy()] for p in path]
-    new.append([d, z, o, np.ones(b) if lenp == 0 else np.zeros(b)])
-    for i in range(lenp - 1, -1, -1):
-        new[i + 1][3] = new[i + 1][3] + o * new[i][3] * ((i + 1) / (lenp + 1))
-        new[i][3] = z * new[i][3] * ((lenp - i) / (lenp + 1))
-    return new
-
-
-def _unwind(path, i):
-    last = len(path) - 1
-    o, z = path[i][2], path[i][1]
-    nz = o != 0
-    o_safe = np.where(nz, o, 1.0)
-    n = path[last][3].copy()
-    new = [[p[0], p[1], p[2], p[3].copy()] for p in path[:last]]
-    for j in range(last - 1, -1, -1):
-        t = new[j][3]
-        w_nz = n * (last + 1) / ((j + 1) * o_safe)
-        n_nz = t - w_nz * z * ((last - j) / (last + 1))
-        w_z = (t * (last + 1)) / (z * (last - j)) if z != 0 else np.zeros_like(t)
-        new[j][3] = np.where(nz, w_nz, w_z)
-        n = np.where(nz, n_nz, n)
-    for j in range(i, last):
-        new[j][0], new[j][1], new[j][2] = path[j + 1][0], path[j + 1][1], path[j + 1][2]
-    return new
-
-
-def _unwound_sum(path, i):
-    last = len(path) - 1
-    o, z = path[i][2], path[i][1]
-    nz = o != 0
-    o_safe = np.where(nz, o, 1.0)
-    nop = path[last][3].copy()
-    total = np.zeros_like(nop)
-    for j in range(last - 1, -1, -1):
-        tmp = nop * (last + 1) / ((j + 1) * o_safe)
-        tot_nz = total + tmp
-        nop = np.where(nz, path[j][3] - tmp * z * ((last - j) / (last + 1)), nop)
-        tot_z = total + (path[j][3] / z) / ((last - j) / (last + 1)) if z != 0 else total
-        total = np.where(nz, tot_nz, tot_z)
-    return total
+LEAVES = 64                # leaves whose shares are worked out together
+
+
+def _weights(z: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Shares ``(leaves, patterns, features)`` of a leaf's value. A leaf's
+    path has ``d`` distinct features; ``z (leaves, d)`` are the shares of the
+    cover that follow it when a feature is unknown, ``o (patterns, d)`` says
+    which of the features of a row follow it."""
+    d = z.shape[1]
+    z = z[:, None, :]
+    w = [np.ones((z.shape[0], len(o)))]
+    for k in range(d):                              # extend the path by one feature
+        n, zk, ok = k + 2, z[:, :, k], o[:, k]
+        new = [np.zeros_like(w[0]) for _ in range(n)]
+        for i in range(k + 1):
+            new[i] += zk * w[i] * ((k + 1 - i) / n)
+            new[i + 1] += ok * w[i] * ((i + 1) / n)
+        w = new
+    out = np.empty((z.shape[0], len(o), d))
+    for k in range(d):                              # the weight of the path without one feature
+        zk = z[:, :, k]
+        rest, with_, without = w[d], 0.0, 0.0
+        for i in range(d - 1, -1, -1):
+            t = rest * ((d + 1) / (i + 1))
+            with_ = with_ + t
+            rest = w[i] - t * zk * ((d - i) / (d + 1))
+            without = without + w[i] * ((d + 1) / (d - i))
+        out[:, :, k] = np.where(o[:, k], with_ * (1 - zk), np.where(zk != 0, -without, 0.0))
+    return out
 
 
 def tree_shap(x: np.ndarray, tree: Tree) -> np.ndarray:
-    """Contributions ``(rows, features)`` of one tree for the rows of ``x``."""
-    b, m = x.shape
-    phi = np.zeros((b, m))
+    """Contributions ``(rows, features)`` of one tree for the rows of ``x``.
 
-    def recurse(node, path, z, o, d):
-        path = _extend(path, z, o, d, b)
+    A leaf's contributions depend on a row only by which of the features on
+    its path follow it: a pattern of one bit a feature. They are worked out
+    once a pattern and looked up for the rows; of paths with more patterns
+    than rows, for the patterns that occur."""
+    b, m = x.shape
+    phi = np.zeros((m, b))
+    cols = np.ascontiguousarray(x.T)
+    held: dict[int, list] = {}                      # features on the path -> leaves
+
+    def add(leaves):
+        d = len(leaves[0][0])
+        if 1 << d <= max(b, 2):
+            seen, codes = np.arange(1 << d), [c for _, _, _, c in leaves]
+        else:
+            seen, code = np.unique(leaves[0][3], return_inverse=True)
+            codes = [code]
+        share = _weights(np.array([z for _, z, _, _ in leaves]), (seen[:, None] >> np.arange(d) & 1) > 0)
+        for (features, _, value, _), code, part in zip(leaves, codes, share, strict=True):
+            table = np.ascontiguousarray(part.T) * value
+            for f, t in zip(features, table, strict=True):
+                phi[f] += t.take(code)
+
+    def walk(node, features, z, code):
         if tree.left[node] < 0:
-            v = tree.value[node]
-            for i in range(1, len(path)):
-                w = _unwound_sum(path, i)
-                phi[:, path[i][0]] += w * (path[i][2] - path[i][1]) * v
+            if features and tree.value[node] != 0:
+                held.setdefault(len(features), []).append((features, z, tree.value[node], code))
+                if len(held[len(features)]) >= LEAVES or 1 << len(features) > max(b, 2):
+                    add(held.pop(len(features)))
             return
         f = int(tree.feature[node])
         if tree.categories[node] is None:
-            go_left = x[:, f] <= tree.threshold[node]
+            go_left = cols[f] <= tree.threshold[node]
         else:
-            go_left = np.isin(x[:, f], list(tree.categories[node]))
-        iz, io = 1.0, np.ones(b)
-        for k in range(1, len(path)):
-            if path[k][0] == f:
-                iz, io = path[k][1], path[k][2]
-                path = _unwind(path, k)
-                break
-        lc, rc, cn = tree.left[node], tree.right[node], tree.cover[node]
-        zl = iz * tree.cover[lc] / cn if cn > 0 else 0.0
-        zr = iz * tree.cover[rc] / cn if cn > 0 else 0.0
-        recurse(lc, path, zl, io * go_left, f)
-        recurse(rc, path, zr, io * ~go_left, f)
-
-    recurse(0, [], 1.0, np.ones(b), -1)
-    return phi
+            go_left = np.isin(cols[f], list(tree.categories[node]))
+        cn = tree.cover[node]
+        new = f not in features
+        at = len(features) if new else features.index(f)
+        for child, go in ((tree.left[node], go_left), (tree.right[node], ~go_left)):
+            share = tree.cover[child] / cn if cn > 0 else 0.0
+            if new:
+                walk(child, [*features, f], [*z, share], code | go.astype(np.int64) << at)
+            else:
+                walk(child, features, [*z[:at], z[at] * share, *z[at + 1:]],
+                     np.where(go, code, code & ~(1 << at)))
+
+    walk(0, [], [], np.zeros(b, np.int64))
+    for leaves in held.values():
+        add(leaves)
+    return phi.T
 
 
 def ensemble_shap(x: np.ndarray, trees: list[Tree], kind: str) -> tuple[np.ndarray, float]:

@@ -79,3 +79,26 @@ def test_distributed_contributions(spark):
     c = tree_contributions(df, gbt)
     rows = c.collect()
     assert len(rows) == 300 and all(len(r["contrib"]) == 4 for r in rows)
+
+
+def test_shares_are_worked_out_per_pattern_not_per_row(spark, monkeypatch):
+    """10 or 4,000 rows: the shares of a leaf are worked out for at most two
+    patterns a feature on its path, or for the rows' own patterns."""
+    from riskspark.operators import treeshap
+    df = _data(spark)
+    m = RandomForestClassifier(numTrees=1, maxDepth=6, seed=42).fit(df)
+    trees, _ = trees_from_model(spark, m)
+    done, weights = [], treeshap._weights
+
+    def counted(z, o):
+        done.append((len(z), len(o), z.shape[1]))
+        return weights(z, o)
+    monkeypatch.setattr(treeshap, "_weights", counted)
+    xs = np.array([r["features"].toArray() for r in df.collect()])
+    few, many = tree_shap(xs[:10], trees[0]), tree_shap(np.tile(xs, (14, 1)), trees[0])
+    assert done and all(p <= max(1 << d, 2) for _, p, d in done)
+    assert np.allclose(many[:10], few, atol=1e-12)
+    leaf_patterns = sum(n * p for n, p, _ in done)
+    assert leaf_patterns <= 2 * (trees[0].left < 0).sum() * 2 ** 4
+    for r in range(10):
+        assert np.allclose(few[r], _brute(trees[0], xs[r], 4), atol=1e-10)
