@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from riskspark.operators import resample
 from riskspark.operators.resample import nearest_neighbours, smote
 
 
@@ -48,3 +49,35 @@ def test_single_class_unchanged(spark):
     df = spark.createDataFrame([(f"t{i}", Vectors.dense([float(i)]), 0) for i in range(10)],
                                ["transaction_id", "features", "is_fraud"])
     assert smote(df, "transaction_id").count() == 10
+
+
+def test_neighbours_with_copies_and_few_values(spark):
+    """Copies, ties and coordinates of few values: the result is that of all
+    pairs, ties by key."""
+    rnd = random.Random(4)
+    rows = [(f"p{i:04d}", [float(rnd.randint(0, 2)), float(rnd.randint(0, 23)), float(rnd.randint(0, 1))]) for i in range(500)]
+    rows += [(f"c{i:04d}", [1.0, 5.0, 0.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, x array<double>")
+    got = {r["id"]: (r["nn"], r["nd"]) for r in nearest_neighbours(df, "id", "x", 5, cell_rows=20).collect()}
+    assert len(got) == len(rows)
+    xs = np.array([r[1] for r in rows])
+    for i, (pid, _) in enumerate(rows):
+        d = np.sqrt(((xs - xs[i]) ** 2).sum(axis=1))
+        order = sorted((d[j], rows[j][0]) for j in range(len(rows)) if j != i)[:5]
+        assert got[pid] == ([o[1] for o in order], [o[0] for o in order])
+
+
+def test_a_point_reaches_few_cells_at_any_size():
+    """The highest variance lies in a coordinate of 24 values: cells cut only
+    there would send each point to all cells of its value."""
+    def asked(n):
+        rng = np.random.RandomState(1)
+        x = np.column_stack([rng.randint(0, 24, n) / 6.0, rng.rand(n), rng.rand(n)])
+        nodes = resample._tree(x, n // 100)
+        cell = resample._cells_of(x, nodes)
+        boxes = {c: (x[cell == c].min(axis=0), x[cell == c].max(axis=0)) for c in np.unique(cell)}
+        assert np.bincount(cell).max() <= 300
+        lo, hi = resample._node_boxes(nodes, boxes, 3)
+        radius = np.full(n, np.sqrt(24 * 6 / (n * np.pi)))
+        return sum(len(rows) for rows, _ in resample._reached(x, radius, nodes, lo, hi)) / n
+    assert asked(32_000) < 1.5 * asked(4_000) < 15
