@@ -391,6 +391,19 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (rec, comp) after further links: the components of the
+    components, so that only links between them count."""
+    ends = links
+    for side in ("a", "b"):
+        at = label.select(F.col("rec").alias(side), F.col("comp").alias(f"c{side}"))
+        ends = ends.join(at, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    top = components(reliable(ends.filter("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()))
+    up = top.select(F.col("rec").alias("comp"), F.col("comp").alias("up"))
+    alone = top.join(label.select("rec"), "rec", "left_anti")       # sets that had no link so far
+    return reliable(label.join(up, "comp", "left").select("rec", F.coalesce("up", "comp").alias("comp")).unionByName(alone))
+
+
 def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """The distinct pairs whose sizes allow a link, smaller identity first."""
     p = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -452,8 +465,6 @@ def _joined(docs: DataFrame) -> DataFrame:
     crowded = reliable(rest.join(crowds, "sig").select("sig", "rec", "held"))
     cells = reliable(_cells(crowded))
     diffs = reliable(_differences(cells, texts))
-    edges = edges.unionByName(diffs.filter("linked and rec <> cell").select(
-        F.least("rec", "cell").alias("a"), F.greatest("rec", "cell").alias("b")))
 
     # Groups inside one cell are done with; elsewhere only sets of different cells meet.
     whole = (crowded.join(cells, "rec").groupBy("sig").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"))
@@ -462,10 +473,12 @@ def _joined(docs: DataFrame) -> DataFrame:
              .select("sig", F.col("rec").alias("b"), F.col("comp").alias("y"), F.col("n").alias("nb"), F.col("cell").alias("cb")))
     probes = probes.drop("held").join(whole, "sig", "left_anti").join(cells.select(F.col("rec").alias("a"), F.col("cell").alias("ca")), "a", "left")
     across = probes.join(index, "sig").filter("x <> y and nb <= na and 4 * nb >= 3 * na and (ca = cb) is not true").select("a", "b").distinct()
-    pairs = reliable(_sized(across.unionByName(_within_cells(diffs)), sizes).join(star, ["a", "b"], "left_anti"))
-    edges = reliable(edges)
+    # Both sides told the sizes apart: the pairs need no further join by set.
+    pairs = across.unionByName(_within_cells(diffs)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = reliable(pairs.join(star, ["a", "b"], "left_anti"))
     release(spark)
-    label = components(edges.unionByName(reliable(_links(pairs, texts))))
+    hubs = diffs.filter("linked and rec <> cell").select(F.col("rec").alias("a"), F.col("cell").alias("b"))
+    label = merged(label, hubs.unionByName(reliable(_links(pairs, texts))))
     named = classes.join(label, "rec", "left").withColumn("comp", F.coalesce("comp", "rec"))
     low = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     named = reliable(named.join(low, "comp").select("c1", "c2", "class_id", "class_size", "comp", "component_id"))

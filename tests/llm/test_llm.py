@@ -125,6 +125,27 @@ def test_join_crowded_group_brute_force(spark, monkeypatch):
     assert seen[1] < seen[5] / 2
 
 
+def test_join_later_links_count_between_components_only(spark, monkeypatch):
+    """Near copies that the first comparisons already join are not walked
+    again as edges, and their pairs are not joined with the sizes again."""
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[:100], f"x{i}", *base[101:]])) for i in range(40)]
+    seen, sized, inner, by_size = [], [], ngram_join.components, ngram_join._sized
+
+    def components(edges):
+        seen.append(edges.count())
+        return inner(edges)
+
+    def counted(pairs, sizes):
+        sized.append(1)
+        return by_size(pairs, sizes)
+    monkeypatch.setattr(ngram_join, "components", components)
+    monkeypatch.setattr(ngram_join, "_sized", counted)
+    got = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(i, 0) for i in range(40)]
+    assert seen[0] >= 39 and seen[1] == 0 and len(sized) == 1
+
+
 def test_join_null_and_repeated_ids(spark):
     """Near copies whose ids are null, or shared by texts that have nothing in common."""
     base = near_table(spark, 150, 4).select("doc_id", "text").collect()
