@@ -148,7 +148,8 @@ def nearest_neighbours(points: DataFrame, key: str, x: str, k: int,
                        cell_rows: int = 10_000) -> DataFrame:
     """Exact k nearest neighbours (excluding the row itself):
     ``(key, nn array<string>, nd array<double>)`` in distance order, ties by
-    key; one row a key. NaN counts as 0."""
+    key; one row a key, of repeated keys the best of their rows. NaN counts as
+    0."""
     spark = points.sparkSession
     flat = F.transform(F.col(x), lambda v: F.nanvl(v, F.lit(0.0)) + F.lit(0.0))
     base = points.select(F.col(key).cast("string").alias("_id"), flat.alias("_x")).filter(F.col(x).isNotNull())
@@ -216,7 +217,8 @@ def nearest_neighbours(points: DataFrame, key: str, x: str, k: int,
     each = rows.join(best, F.col("_x") == F.col("_qx"))
     own = F.array_position(F.transform("b", lambda e: e["nid"].eqNullSafe(F.col("_id")) & (e["d"] == 0)), F.lit(True))
     others = F.filter("b", lambda e, i: i + 1 != own)
-    each = each.select(F.col("_id").alias(key), F.slice(others, 1, k).alias("b")).dropDuplicates([key])
+    each = each.select(F.col("_id").alias(key), F.slice(others, 1, k).alias("b")).groupBy(key).agg(F.collect_list("b").alias("b"))
+    each = each.withColumn("b", F.slice(F.array_sort(F.flatten("b")), 1, k))
     return each.select(key, F.col("b.nid").alias("nn"), F.col("b.d").alias("nd"))
 
 
