@@ -21,7 +21,10 @@ differences from the hub (of x and y tokens): two sets that do not both link
 with the hub can link only if their differences share (x + y - H) / 2 tokens,
 hence one among the first of each (prefix filter; tokens that the hub lacks
 come first, the rarest before others), so a cell never compares
-all of its sets pair by pair. Verification intersects the whole sets.
+all of its sets pair by pair. Of each set a sketch of parity bits is kept: a token
+flips the bit of its hash, so the bits in which two sketches differ are never
+more than the tokens in which the sets differ, and a candidate with more than H
+such bits is no link. The others are verified by intersecting the whole sets.
 
 Null texts and texts without words have an empty set and no link. A null
 doc_id never is a component's id unless all of its members are null. Empty
@@ -63,14 +66,19 @@ def segments(b: int) -> int:
 PROBE, EXACT, LOW = 1, 2, 4        # bits of an entry: probed, equal subset, of the band below
 
 
+def dealt(tokens: np.ndarray, b: int, m: int):
+    """Mixed tokens, their segments, segment sizes."""
+    mixed = splitmix(tokens ^ salt(b))
+    seg = (mixed >> U64(33)).view(np.int64) % m
+    return mixed, seg, np.bincount(seg, minlength=m)
+
+
 def layout(tokens: np.ndarray, b: int, limit: int, index: bool):
     """Of one set in band ``b``: mixed tokens, their segments, segment sizes,
     probed segments, used segments. ``limit`` is H."""
     m = segments(b)
     wide = max(1, m // 16)
-    mixed = splitmix(tokens ^ salt(b))
-    seg = (mixed >> U64(33)).astype(np.int64) % m
-    size = np.bincount(seg, minlength=m)
+    mixed, seg, size = dealt(tokens, b, m)
     rank = np.argsort(-size, kind="stable")
     unit = np.where((rank < wide) & (size[rank] >= 2), 2, 1)
     need = int(np.searchsorted(np.cumsum(unit), limit + 1)) + 1
@@ -79,10 +87,20 @@ def layout(tokens: np.ndarray, b: int, limit: int, index: bool):
     return mixed, seg, size, probe, probe | (size > 0) | (index and m <= EMPTY_SEGMENTS)
 
 
+def used(tokens: np.ndarray, b: int, limit: int, index: bool) -> int:
+    """How many segments ``layout`` uses. No segment needs more than a unit, so
+    where more than H hold tokens, probing adds none."""
+    m = segments(b)
+    if index and m <= EMPTY_SEGMENTS:
+        return m
+    held = np.count_nonzero(dealt(tokens, b, m)[2])
+    return int(held) if held > limit else int(layout(tokens, b, limit, index)[4].sum())
+
+
 def spares(n: int, tokens: np.ndarray) -> list[int]:
     """Per band of the set: used segments beyond the H + 1 that a prober
     needs. So many shared equal subsets may stay unprobed."""
-    return [int(layout(tokens, *p)[4].sum()) - p[1] - 1 for p in plans(n)]
+    return [used(tokens, *p) - p[1] - 1 for p in plans(n)]
 
 
 def signatures(tokens: np.ndarray, b: int, limit: int, index: bool):
@@ -137,40 +155,50 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return int(c[0]), int(c[1])
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, as longs: some 4.7 bits for each token that linked
+    sets of its band may differ in. A band's sketch folds to that of the band below."""
+    longs = max(1, 2 ** band(len(tokens)) // 8) if len(tokens) > 2 else 1
+    bits = np.bincount((tokens & U64(64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def sketches(sets: list[np.ndarray]) -> pa.Array:
+    """Lists of longs from several sketches."""
+    ends = np.cumsum([0, *map(len, sets)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]), pa.int64()))
+
+
+def near(sa="sa", sb="sb", na="na", nb="nb"):
+    """Whether sizes and sketches of two sets allow a link."""
+    def folded(s):      # sizes that allow a link are a band apart at most
+        return f"if(size({s}) > {longs}, zip_with(slice({s}, 1, {longs}), slice({s}, {longs} + 1, {longs}), (x, y) -> x ^ y), {s})"
+    longs = f"least(size({sa}), size({sb}))"
+    differ = f"aggregate(zip_with({folded(sa)}, {folded(sb)}, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)"
+    return F.expr(f"4 * least({na}, {nb}) >= 3 * greatest({na}, {nb}) and 7 * {differ} <= {na} + {nb}")
+
+
 def text_key(text):
     """th, tk: 96 bits of a text. Rows are told apart by it, as ids may be null or repeated."""
     return F.xxhash64(text).alias("th"), F.hash(text).alias("tk")
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """doc_id, th, tk, n_shingles, c1, c2 (set identity) of every row."""
+    """doc_id, th, tk, n_shingles, c1, c2 (set identity), own, low (spare units in
+    its own band and in the one below), sketch of every row."""
     def run(batches):
         for b in batches:
             data, off = utf8(b.column(1))
-            out = []
+            out, bits = [], []
             for i in range(b.num_rows):
                 s = shingles(data[off[i]:off[i + 1]])
-                out.append((len(s), *identity(s)))
-            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *cols],
-                                             names=["doc_id", "th", "tk", "n_shingles", "c1", "c2"])
+                out.append((len(s), *identity(s), *[*spares(len(s), s), 0, 0][:2]))
+                bits.append(sketch(s))
+            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(5)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *cols, sketches(bits)],
+                                             names=["doc_id", "th", "tk", "n_shingles", "c1", "c2", "own", "low", "sketch"])
     return docs.select("doc_id", "text", *text_key("text")).mapInArrow(
-        run, "doc_id long, th long, tk int, n_shingles long, c1 long, c2 long")
-
-
-def _spares(recs: DataFrame, texts: DataFrame) -> DataFrame:
-    """rec, own, low: the spare units of the given sets in their own band and in the one below."""
-    def run(batches):
-        import zstandard
-        press = zstandard.ZstdDecompressor()
-        for b in batches:
-            out = []
-            for z in b.column(1):
-                s = shingles(np.frombuffer(press.decompress(z.as_buffer()), np.uint8))
-                out.append([*spares(len(s), s), 0, 0][:2])
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[j] for r in out], pa.int64()) for j in (0, 1))],
-                                             names=["rec", "own", "low"])
-    return texts.join(recs, "rec").select("rec", "z").mapInArrow(run, "rec long, own long, low long")
+        run, "doc_id long, th long, tk int, n_shingles long, c1 long, c2 long, own long, low long, sketch array<long>")
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -253,8 +281,8 @@ def _groups(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """rec, z (compressed text) of the texts with the given keys. Texts are
-    a third of the size of their shingle sets, so they travel instead."""
+    """rec, n, sketch, z (compressed text) of the texts with the given keys. Texts
+    are a third of the size of their shingle sets, so they travel instead."""
     def run(batches):
         import zstandard
         press = zstandard.ZstdCompressor(level=3)
@@ -264,11 +292,12 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(z, pa.binary())], names=["th", "tk", "z"])
     th, tk = text_key("text")
     small = docs.select(th, "text", tk).mapInArrow(run, "th long, tk int, z binary")
-    return small.join(keys, ["th", "tk"]).select("rec", "z").dropDuplicates(["rec"])
+    return small.join(keys, ["th", "tk"]).select("rec", "n", "sketch", "z").dropDuplicates(["rec"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+    """The pairs (a, b) whose whole sets link. Sketches leave few to be compared,
+    so only the texts of those are moved."""
     def run(batches):
         import zstandard
         press = zstandard.ZstdDecompressor()
@@ -282,8 +311,14 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(s) + len(t) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    j = (pairs.join(texts.select(F.col("rec").alias("a"), F.col("z").alias("s")), "a")
-         .join(texts.select(F.col("rec").alias("b"), F.col("z").alias("t")), "b").select("a", "b", "s", "t"))
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("rec").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
+    pairs = written(pairs.filter(near()).select("a", "b"), "near")
+
+    def of(side, z):
+        return (texts.select(F.col("rec").alias(side), F.col("z").alias(z))
+                .join(pairs.select(side), side, "left_semi"))
+    j = pairs.join(of("a", "s"), "a").join(of("b", "t"), "b").select("a", "b", "s", "t")
     return j.mapInArrow(run, "a long, b long")
 
 
@@ -298,7 +333,7 @@ def _cells(crowded: DataFrame) -> DataFrame:
 
 
 def _differences(cells: DataFrame, texts: DataFrame) -> DataFrame:
-    """rec, cell, n, x (tokens in which a set and its hub differ), linked (with the hub), own, late.
+    """rec, cell, n, x (tokens in which a set and its hub differ), linked (with the hub), own, late, sketch.
 
     ``own`` are the tokens that the hub lacks, ``late`` those that only the hub
     has, in their order. A partner's difference has at least x - H tokens and H
@@ -309,7 +344,7 @@ def _differences(cells: DataFrame, texts: DataFrame) -> DataFrame:
         press = zstandard.ZstdDecompressor()
         last = (None, None)
         for b in batches:
-            n, x, linked, own, late = [], [], [], [], []
+            n, x, linked, own, late, bits = [], [], [], [], [], []
             for i, y, z in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                 if i != last[0]:
                     last = (i, shingles(np.frombuffer(press.decompress(z.as_buffer()), np.uint8)))
@@ -321,13 +356,14 @@ def _differences(cells: DataFrame, texts: DataFrame) -> DataFrame:
                 linked.append(7 * x[-1] <= len(s) + len(last[1]))
                 own.append(d)
                 late.append(e[:max(0, len(s) // 3 + 1 - len(d))])
+                bits.append(sketch(s))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(x, pa.int64()),
                                               pa.array(linked, pa.bool_()), pa.array(own, pa.list_(pa.int64())),
-                                              pa.array(late, pa.list_(pa.int64()))],
-                                             names=["rec", "cell", "n", "x", "linked", "own", "late"])
+                                              pa.array(late, pa.list_(pa.int64())), sketches(bits)],
+                                             names=["rec", "cell", "n", "x", "linked", "own", "late", "sketch"])
     j = (cells.join(texts.select("rec", F.col("z").alias("s")), "rec")
          .join(texts.select(F.col("rec").alias("cell"), F.col("z").alias("t")), "cell").select("rec", "cell", "s", "t"))
-    return j.mapInArrow(run, "rec long, cell long, n long, x long, linked boolean, own array<long>, late array<long>")
+    return j.mapInArrow(run, "rec long, cell long, n long, x long, linked boolean, own array<long>, late array<long>, sketch array<long>")
 
 
 def _within_cells(diffs: DataFrame) -> DataFrame:
@@ -366,12 +402,12 @@ def _within_cells(diffs: DataFrame) -> DataFrame:
     rare_first = Window.partitionBy("rec").orderBy("late", F.when(~F.col("late"), F.col("df")), "tok")
     at = (toks.join(often, ["cell", "tok"]).withColumn("at", F.row_number().over(rare_first))
           .filter("df > 1 and 3 * (at - 1) <= n").select("rec", "cell", "n", "x", "linked", "tok", "at"))
-    at = reliable(at)
-    a = at.filter("not linked").select("cell", "tok", F.col("rec").alias("a"), F.col("n").alias("na"), F.col("x").alias("xa"), F.col("at").alias("ia"))
-    b = at.select("cell", "tok", F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("x").alias("xb"), F.col("at").alias("ib"))
+    at = reliable(at.join(diffs.select("rec", "sketch"), "rec"))
+    a = at.filter("not linked").select("cell", "tok", F.col("rec").alias("a"), F.col("n").alias("na"), F.col("x").alias("xa"), F.col("at").alias("ia"), F.col("sketch").alias("sa"))
+    b = at.select("cell", "tok", F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("x").alias("xb"), F.col("at").alias("ib"), F.col("sketch").alias("sb"))
     share = F.expr("ceil((xa + xb - floor((na + nb) / 7)) / 2)")
     fits = ((F.col("a") != F.col("b")) & (F.col("ia") <= F.col("xa") - share + 1) & (F.col("ib") <= F.col("xb") - share + 1)
-            & F.expr("4 * least(na, nb) >= 3 * greatest(na, nb)"))
+            & near())
     return a.join(b, ["cell", "tok"]).filter(fits).select("a", "b")
 
 
@@ -426,17 +462,18 @@ def _joined(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n_shingles").alias("n")).collect()[0]["n"] or 0
     classes = reliable(rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"),
-        F.min(F.struct("th", "tk")).alias("key")).withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
-    sizes = classes.groupBy("rec").agg(F.max("n").alias("n"))
+        F.min(F.struct("th", "tk")).alias("key"), F.first(F.struct("own", "low", "sketch")).alias("set"))
+        .withColumn("rec", F.col("c1").bitwiseAND(F.lit(~1))))
+    sets = classes.select("rec", "n", "set.own", "set.low").dropDuplicates(["rec"])
     members = written(_groups(docs, max(2 * shuffle_parts(spark), -(-total // BUCKET_SHINGLES))), "members")
     release(spark)
 
     # Stars: each set against the pivot with which it shares most groups.
     votes = members.filter("rec <> pivot").groupBy("rec", "pivot").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("rec").agg(F.max(F.struct("n", "pivot")).alias("top"))
-    star = reliable(_sized(best.select(F.col("rec").alias("a"), F.col("top.pivot").alias("b")), sizes))
-    keys = (classes.groupBy("rec").agg(F.min("key").alias("key")).join(members.select("rec").distinct(), "rec")
-            .select("rec", "key.th", "key.tk"))
+    star = reliable(_sized(best.select(F.col("rec").alias("a"), F.col("top.pivot").alias("b")), sets))
+    keys = (classes.select("rec", "n", "key.th", "key.tk", "set.sketch").dropDuplicates(["rec"])
+            .join(members.select("rec").distinct(), "rec"))
     texts = written(_texts(docs, keys), "texts")
     edges = reliable(_links(star, texts))
     release(spark)
@@ -449,11 +486,10 @@ def _joined(docs: DataFrame) -> DataFrame:
     comp = members.join(label, "rec", "left").select("sig", "rec", "bits", F.coalesce("comp", "rec").alias("comp"))
     spans = (comp.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("held"))
              .filter("lo <> hi").select("sig", "held"))
-    open_groups = reliable(comp.join(spans, "sig"))
-    spare = _spares(open_groups.select("rec").distinct(), texts)
-    rest = reliable(open_groups.join(sizes, "rec").join(spare, "rec").select(
+    rest = written(comp.join(spans, "sig").join(sets, "rec").select(
         "sig", "rec", "bits", "comp", "held", "n", F.col("bits").bitwiseAND(F.lit(LOW)).alias("side"),
-        F.when(F.col("bits").bitwiseAND(F.lit(LOW)) == 0, F.col("own")).otherwise(F.col("low")).alias("spare")))
+        F.when(F.col("bits").bitwiseAND(F.lit(LOW)) == 0, F.col("own")).otherwise(F.col("low")).alias("spare")), "open")
+    release(spark)
     exact = F.col("bits").bitwiseAND(F.lit(EXACT)) > 0
     common_first = Window.partitionBy("rec", "side").orderBy(F.desc("held"), "sig")
     probes = (rest.filter(exact & (F.col("spare") >= 0)).withColumn("at", F.row_number().over(common_first))
@@ -463,8 +499,9 @@ def _joined(docs: DataFrame) -> DataFrame:
     crowds = (probes.groupBy("sig").agg((F.count(F.lit(1)) * F.first("held")).alias("work"))
               .filter(F.col("work") > CROWD).select("sig"))
     crowded = reliable(rest.join(crowds, "sig").select("sig", "rec", "held"))
-    cells = reliable(_cells(crowded))
+    cells = written(_cells(crowded), "cells")
     diffs = reliable(_differences(cells, texts))
+    release(spark)
 
     # Groups inside one cell are done with; elsewhere only sets of different cells meet.
     whole = (crowded.join(cells, "rec").groupBy("sig").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"))
@@ -473,7 +510,7 @@ def _joined(docs: DataFrame) -> DataFrame:
              .select("sig", F.col("rec").alias("b"), F.col("comp").alias("y"), F.col("n").alias("nb"), F.col("cell").alias("cb")))
     probes = probes.drop("held").join(whole, "sig", "left_anti").join(cells.select(F.col("rec").alias("a"), F.col("cell").alias("ca")), "a", "left")
     across = probes.join(index, "sig").filter("x <> y and nb <= na and 4 * nb >= 3 * na and (ca = cb) is not true").select("a", "b").distinct()
-    # Both sides told the sizes apart: the pairs need no further join by set.
+    # Both sides told the sizes apart; what sketches rule out goes in _links.
     pairs = across.unionByName(_within_cells(diffs)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = reliable(pairs.join(star, ["a", "b"], "left_anti"))
     release(spark)

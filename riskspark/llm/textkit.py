@@ -43,9 +43,12 @@ SEQ = _odd(64)
 def splitmix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of the public splitmix64 generator."""
     x = x + U64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    x ^= x >> U64(30)
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
@@ -82,10 +85,13 @@ def words(data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     first = starts[0]
     spread = np.diff(np.append(starts, len(a)))
     pos = np.arange(first, len(a)) - np.repeat(starts, spread)
+    if spread.max() <= POW_LEN:
+        pos <<= 8
+        pos |= a[first:]
+        return splitmix(np.add.reduceat(TABLE[pos], starts - first)), starts, ends
     code = TABLE[((pos & (POW_LEN - 1)) << 8) | a[first:]]
-    far = pos >= POW_LEN
+    far = (pos >= POW_LEN) & ~gap[first:]
     if far.any():      # a word of over 4,096 bytes: each further block mixes the numbers anew (gaps stay 0)
-        far &= ~gap[first:]
         code[far] = splitmix(code[far] ^ splitmix((pos[far] >> 12).astype(np.uint64)))
     return splitmix(np.add.reduceat(code, starts - first)), starts, ends
 

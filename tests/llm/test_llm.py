@@ -170,6 +170,60 @@ def test_join_documents_and_odd(docs, odd, empty):
     assert ngram_join.join(empty).count() == 0
 
 
+def test_join_compares_few_unlinked_near_copies(spark, monkeypatch):
+    """Near copies with too many edits to link: sketches tell nearly all of the
+    candidates apart before their texts are moved and compared."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 5000, 150)]
+    rows = []
+    for i in range(160):
+        t = list(base)
+        for at in rng.choice(150, 6 + i % 5, replace=False):
+            t[at] = f"x{rng.integers(0, 40)}"
+        rows.append((i, " ".join(t)))
+    asked, compared, inner, kept = [], [], ngram_join._links, ngram_join.written
+
+    def links(pairs, texts):
+        asked.append(pairs.count())
+        return inner(pairs, texts)
+
+    def written(df, tag):
+        out = kept(df, tag)
+        if tag == "near":
+            compared.append(out.count())
+        return out
+    monkeypatch.setattr(ngram_join, "_links", links)
+    monkeypatch.setattr(ngram_join, "written", written)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in
+                  ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_components(rows)
+    assert len(compared) == 2 and sum(compared) < sum(asked) / 4, (asked, compared)
+
+
+def test_sketches_allow_every_linked_pair(spark):
+    """Sketches differ in no more bits than the sets in tokens, across bands too."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(600):
+        n = int(rng.integers(1, 800)) if rng.random() < .7 else int(rng.choice([24, 48, 96, 192, 384, 768])) + int(rng.integers(-4, 5))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        k, more = rng.integers(0, n // 3 + 2, 2) if rng.random() < .5 else (0, n // 3)
+        b = np.unique(np.concatenate([a[int(k):], rng.integers(0, 2**63, int(more), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        rows.append((len(a), len(b), ngram_join.sketch(a).tolist(), ngram_join.sketch(b).tolist(), 100 * both >= 75 * (len(a) + len(b) - both)))
+    df = spark.createDataFrame(rows, "na long, nb long, sa array<long>, sb array<long>, linked boolean")
+    got = df.select("linked", ngram_join.near().alias("near"), (F.size("sa") != F.size("sb")).alias("bands")).collect()
+    assert all(r["near"] for r in got if r["linked"])
+    assert sum(r["linked"] and r["bands"] for r in got) > 10 and sum(not r["near"] for r in got) > 100
+
+
+def test_spares_count_used_segments():
+    rng = np.random.default_rng(4)
+    for n in [*range(3, 60), 100, 190, 400, 767, 768, 2000]:
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        assert ngram_join.spares(n, a) == [int(ngram_join.layout(a, *p)[4].sum()) - p[1] - 1 for p in ngram_join.plans(n)]
+
+
 def test_signatures_meet_for_every_linked_pair():
     rng = np.random.default_rng(0)
     for _ in range(1500):
