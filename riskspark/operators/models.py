@@ -4,7 +4,8 @@
 estimators with matching defaults where Spark has the same knob:
 
 - RandomForest: 100 trees, √features per split, seed 42 (Spark needs a
-  finite depth: 12);
+  finite depth: 12); a row's node in each tree is kept from level to level
+  instead of being found again from the root;
 - XGBoost: gradient-boosted trees (``GBTClassifier``), 100 rounds, depth 6,
   step 0.3, seed 42 — a different boosting algorithm, so agreement is at the
   metric level only;
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -35,7 +37,7 @@ class ModelSpec:
 
 def _rf(n: int, **kw):
     p = dict(numTrees=100, maxDepth=12, featureSubsetStrategy="sqrt", seed=S.SEED,
-             featuresCol="features", labelCol="label")
+             cacheNodeIds=True, checkpointInterval=-1, featuresCol="features", labelCol="label")
     p.update(kw)
     return RandomForestClassifier(**p)
 
@@ -87,8 +89,10 @@ def with_label(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 def training_rows(prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
                   balance: bool = False, key: str = "transaction_id") -> DataFrame:
     """The preprocessed rows a classifier is fitted on, oversampled with
-    ``balance`` (M6), as the reference does before fitting."""
+    ``balance`` (M6), as the reference does before fitting. The columns between
+    the given ones and ``features`` are left out."""
     data = prep.transform(with_label(train, target))
+    data = data.select(*[c for c in data.columns if c in (*train.columns, "features", "label")])
     if balance:
         from riskspark.operators.resample import smote
         data = smote(data.select(key, "features", "label"), key, "features", "label")
@@ -98,9 +102,13 @@ def training_rows(prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
 def fit(name: str, prep: PipelineModel, train: DataFrame, target: str = S.TARGET,
         n_rows: int | None = None, balance: bool = False, key: str = "transaction_id", **params) -> PipelineModel:
     """M7-M9: preprocessing + classifier as one ``PipelineModel``."""
-    data = training_rows(prep, train, target, balance, key)
-    n = n_rows if n_rows is not None else data.count()
-    clf = estimator(name, n, **params).fit(data)
+    # Each trainer reads the rows a few times before it holds them in its own form.
+    data = training_rows(prep, train, target, balance, key).persist(StorageLevel.MEMORY_ONLY)
+    try:
+        n = n_rows if n_rows is not None else data.count()
+        clf = estimator(name, n, **params).fit(data)
+    finally:
+        data.unpersist()
     return PipelineModel(stages=[*prep.stages, clf])
 
 
