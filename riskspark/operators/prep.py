@@ -139,7 +139,17 @@ def fit_preprocessor(train: DataFrame, num: list[str], cat: list[str],
     """M2-M4 fitted on training rows only. Returns the model and the names of
     the assembled features (numeric names, then ``{column}_{value}``). Every
     category is encoded; the fitted model holds the labels, so columns with
-    millions of them are for ``operators/categories.py``."""
+    millions of them are for ``operators/categories.py``. The columns are kept
+    while they are fitted: a dozen passes read them."""
+    kept = train.select(*num, *cat).persist()
+    try:
+        return _fit_stages(kept, num, cat, max_categories)
+    finally:
+        kept.unpersist()
+
+
+def _fit_stages(train: DataFrame, num: list[str], cat: list[str],
+                max_categories: int | None) -> tuple[PipelineModel, list[str]]:
     sqlt, _ = fit_impute_scale(train, num, cat)
     stages = [sqlt]
     if cat:

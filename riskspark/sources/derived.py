@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from riskspark import schemas as S
 from riskspark.operators.ordered import ordered_scan
 from riskspark.session import partitions_for_size, shared_path
-from riskspark.sources.sinks import write_once
+from riskspark.sources.sinks import path_exists, write_once
 
 # ---------------------------------------------------------------------------
 # Fixed rule values of the derived tables
@@ -156,12 +156,14 @@ class Workspace:
         return hashlib.md5(tag.encode()).hexdigest()[:16]
 
     def transactions(self, materialize: bool = True) -> DataFrame:
-        df = transactions_from_events(self.events)
         if not materialize:
-            return df
+            return transactions_from_events(self.events)
         root = self.spark.conf.get("riskspark.tables.root", None)
         path = (f"{root.rstrip('/')}/{self._fingerprint()}/transactions" if root else
                 shared_path(self.spark, "riskspark_tables", self._fingerprint(), "transactions"))
+        if path_exists(self.spark, f"{path}/_SUCCESS"):
+            return self.spark.read.parquet(path)      # deriving again would shuffle every event
+        df = transactions_from_events(self.events)
         # one derived row per event: size the files from the events scan
         # (bytes on disk), not from a fixed count that 100 TB would overfill
         n = partitions_for_size(self.events)
