@@ -81,7 +81,18 @@ def tune(model: str, prep: PipelineModel, train: DataFrame, val: DataFrame, n_tr
     if train is None or val is None:
         raise ValueError("train and val are required")
     draws = draw(model, n_trials, seed)
-    rows = training_rows(prep, train, target, balance, key).checkpoint(eager=True)
+    # All trials read the same preprocessed rows of both sides.
+    rows = training_rows(prep, train, target, balance, key).persist()
+    held = prep.transform(val).select(target, "features").persist()
+    try:
+        return _trials(model, prep, rows, held, draws, target, parallelism)
+    finally:
+        rows.unpersist()
+        held.unpersist()
+
+
+def _trials(model: str, prep: PipelineModel, rows: DataFrame, held: DataFrame, draws: list[dict],
+            target: str, parallelism: int) -> TuneResult:
     n = rows.count()
     lock, best = threading.Lock(), {}
 
@@ -91,12 +102,11 @@ def tune(model: str, prep: PipelineModel, train: DataFrame, val: DataFrame, n_tr
     def run(i_p):
         i, p = i_p
         clf = estimator(model, n, **to_spark_params(model, p)).fit(rows)
-        m = PipelineModel(stages=[*prep.stages, clf])
-        auc = M.roc_auc(score(m, val, keep=[target]), target, "score").first()["roc_auc"]
+        auc = M.roc_auc(score(clf, held, keep=[target]), target, "score").first()["roc_auc"]
         auc = float("nan") if auc is None else float(auc)
         with lock:
             if not best or rank(i, auc) > rank(*best["at"]):
-                best.update(at=(i, auc), params=p, model=m)
+                best.update(at=(i, auc), params=p, model=PipelineModel(stages=[*prep.stages, clf]))
         return i, p, auc
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:

@@ -5,8 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.operators import prep
+from riskspark.operators import models, prep
 from riskspark.operators.models import estimator, fit
+from riskspark.operators.tuning import tune
 from riskspark.sources import derived
 
 
@@ -45,6 +46,16 @@ def test_forest_reads_its_rows_once_and_keeps_their_nodes(spark):
     assert text[0] == text[1]
 
 
+def test_trials_share_their_rows(spark):
+    train, seen = counted(spark)
+    val, seen_val = counted(spark, 120)
+    p, _ = prep.fit_preprocessor(train, ["a", "b"], ["c"])
+    before = seen.value
+    r = tune("LogisticRegression", p, train, val, n_trials=3)
+    assert seen.value - before == 240 and seen_val.value == 120
+    assert len(r.trials) == 3 and models.score(r.best_model, val).count() == 120
+
+
 def test_stored_transactions_are_not_derived_again(spark, tmp, monkeypatch):
     rows = [(i, dt.datetime(2024, 1, 1, i), i % 2, "error", 1.5 * i, '{"k": %d}' % i) for i in range(6)]
     spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string") \
