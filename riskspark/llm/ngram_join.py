@@ -282,17 +282,21 @@ def _groups(docs: DataFrame, buckets: int) -> DataFrame:
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """rec, n, sketch, z (compressed text) of the texts with the given keys. Texts
-    are a third of the size of their shingle sets, so they travel instead."""
+    are a third of the size of their shingle sets, so they travel instead, and once:
+    copies in a batch stay behind, those of several batches meet where the keys are joined."""
     def run(batches):
         import zstandard
         press = zstandard.ZstdCompressor(level=3)
         for b in batches:
             data, off = utf8(b.column(1))
-            z = [press.compress(data[off[i]:off[i + 1]].tobytes()) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(z, pa.binary())], names=["th", "tk", "z"])
+            one = list(dict(zip(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True), range(b.num_rows), strict=True)).values())
+            z = [press.compress(data[off[i]:off[i + 1]].tobytes()) for i in one]
+            at = pa.array(one, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(2).take(at), pa.array(z, pa.binary())], names=["th", "tk", "z"])
     th, tk = text_key("text")
     small = docs.select(th, "text", tk).mapInArrow(run, "th long, tk int, z binary")
-    return small.join(keys, ["th", "tk"]).select("rec", "n", "sketch", "z").dropDuplicates(["rec"])
+    # A set has one key, so by key and set its rows are dealt out already.
+    return small.join(keys, ["th", "tk"]).dropDuplicates(["th", "tk", "rec"]).select("rec", "n", "sketch", "z")
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -314,6 +318,7 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("rec").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
     pairs = written(pairs.filter(near()).select("a", "b"), "near")
+    release(texts.sparkSession)         # before texts are moved
 
     def of(side, z):
         return (texts.select(F.col("rec").alias(side), F.col("z").alias(z))
@@ -474,6 +479,7 @@ def _joined(docs: DataFrame) -> DataFrame:
     star = reliable(_sized(best.select(F.col("rec").alias("a"), F.col("top.pivot").alias("b")), sets))
     keys = (classes.select("rec", "n", "key.th", "key.tk", "set.sketch").dropDuplicates(["rec"])
             .join(members.select("rec").distinct(), "rec"))
+    release(spark)      # packs of signatures that the last call still found in use
     texts = written(_texts(docs, keys), "texts")
     edges = reliable(_links(star, texts))
     release(spark)

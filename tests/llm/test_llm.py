@@ -217,6 +217,37 @@ def test_sketches_allow_every_linked_pair(spark):
     assert sum(r["linked"] and r["bands"] for r in got) > 10 and sum(not r["near"] for r in got) > 100
 
 
+def test_join_moves_each_text_once(spark, monkeypatch):
+    """Texts are dealt out by key and not again by set, without copies; what was
+    shuffled for the groups is let go before."""
+    rows = [(i, " ".join(f"w{i % 3}x{j}" for j in range(30))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    keys = docs.select(*ngram_join.text_key("text")).distinct().select(
+        "th", "tk", F.col("th").alias("rec"), F.lit(26).alias("n"), F.array(F.lit(0)).alias("sketch"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = ngram_join._texts(docs, keys)
+        moved = [x for x in texts._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(" in x]
+        assert moved and not any("hashpartitioning(rec" in x for x in moved), moved
+        import zstandard
+        got = sorted(zstandard.ZstdDecompressor().decompress(bytes(r["z"])).decode() for r in texts.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted(t for _, t in rows[:3])
+    steps = []
+    for name in ("release", "written", "reliable"):
+        def noted(*args, inner=getattr(ngram_join, name), name=name):
+            steps.append((name, *args[1:]))
+            return inner(*args)
+        monkeypatch.setattr(ngram_join, name, noted)
+    assert {r["component_id"] for r in ngram_join.join(docs).collect()} == {0, 1, 2}
+    at = steps.index(("written", "texts"))
+    assert steps[at - 2:at] == [("reliable",), ("release",)]
+    at = steps.index(("written", "near"))
+    assert steps[at + 1] == ("release",)
+
+
 def test_spares_count_used_segments():
     rng = np.random.default_rng(4)
     for n in [*range(3, 60), 100, 190, 400, 767, 768, 2000]:
