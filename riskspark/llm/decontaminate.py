@@ -15,8 +15,11 @@ An item shorter than a window is matched as one window of its own length; one
 of under ``LEAST`` words only where it is the whole text. A null item, or one without words, matches nothing. A window is solid with ``SOLID``
 plain words (or all its words, if fewer); others are found by their very words only. Null and empty texts match nothing. A document is a
 row's id and text, so null or repeated ids neither share windows nor fates. Other columns are ignored.
+A text is cut into blocks of ``BLOCK`` words, and a window carries its own words only, so
+memory goes by the block and not by the text times its hits.
 The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` rows; above, both
-sides are shuffled and a window carries its own words. The result is the same.
+sides are shuffled, the documents' windows only where their hash is one of the
+benchmark's (up to ``BROADCAST_HASHES`` of them, else all). The result is the same.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from riskspark.llm.textkit import reliable
 
 WINDOW, LEAST, SOLID, COVERAGE = 8, 4, 4, 0.5
-BROADCAST_ROWS = 200_000
+BLOCK = 1024
+BROADCAST_ROWS, BROADCAST_HASHES = 200_000, 1_000_000
 # Marks of slots, which stand before their word, and units.
 NUM, NAME, UNIT = "\ue001", "\ue002", "\ue003"
 MARKS, PAST = NUM + NAME + UNIT, "\ue004"
@@ -64,24 +68,45 @@ def _joined(left, right, ahead):
 
 def _runs(h: str, lengths) -> dict:
     """Per length the hashes of all runs of so many words (of the array column
-    ``h``), by doubling: each is a hash of two shorter ones, whose columns
+    ``h``) that begin in the block, by doubling: each is a hash of two shorter ones, whose columns
     ``h_2`` and ``h_4`` stand beside ``h``."""
     two, four = F.col(f"{h}_2"), F.col(f"{h}_4")
     made = {1: F.col(h), 2: two, 4: four}
     made[3] = _joined(two, F.col(h), 2)
     made[5], made[6] = _joined(four, F.col(h), 4), _joined(four, two, 4)
     made[7], made[8] = _joined(_joined(four, two, 4), F.col(h), 6), _joined(four, four, 4)
-    return {n: F.slice(made[n], F.lit(1), F.greatest(F.size(h) - n + 1, F.lit(0))) for n in lengths}
+    return {n: F.slice(made[n], F.lit(1), _begun(F.size(h), n)) for n in lengths}
+
+
+def _begun(size, n):
+    """How many runs of ``n`` words begin in a block that holds ``size``."""
+    return F.least(F.lit(BLOCK), F.greatest(size - n + 1, F.lit(0)))
+
+
+def blocks(df: DataFrame) -> DataFrame:
+    """A row for every ``BLOCK`` words of ``toks``, with the words that windows
+    begun there may end in; start, the words before, and n_toks, those of all."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("toks") - 1, F.lit(0)), F.lit(BLOCK))
+    df = df.select("*", F.size("toks").alias("n_toks"), F.transform(
+        starts, lambda i: F.slice("toks", i + 1, F.lit(BLOCK + WINDOW - 1))).alias("blocks")).drop("toks")
+    df = df.select("*", F.posexplode_outer("blocks").alias("block", "toks")).drop("blocks")
+    return df.withColumn("start", F.col("block") * BLOCK).drop("block")
 
 
 def windows(df: DataFrame, lengths, wanted) -> DataFrame:
-    """len, k, wh: for each length whose condition ``wanted(n)`` holds the
-    hashes of all plain windows, then as many of the templates (null where
-    equal, so only those with slots).
+    """len, wh, pos, plain, part: for each length whose condition ``wanted(n)``
+    holds the hashes of all plain windows, and as many of the templates (but
+    where equal, so only those with slots), with their place and their words.
+    ``toks`` goes; ``wanted`` sees that of a block, ``n_toks`` is of the text.
+
+    The words are a slice of the block: as that takes no lambda, it is made in
+    the generated code of the explode, and for a join only where a window
+    matches. With a lambda, rows would be copied before it, each with all words.
 
     The array is made in a projection of its own, below an outer explode: an
     expression in the explode itself would copy the words into every window's
     row, an inner one would add a filter that makes the array twice."""
+    df = blocks(df)
     df = df.select("*", F.transform("toks", lambda x: F.xxhash64(_bare(x))).alias("hp"),
                    F.transform("toks", lambda x: F.xxhash64(_typed(x))).alias("ht"))
     df = df.select("*", *[_joined(h, F.col(h), 1).alias(f"{h}_2") for h in ("hp", "ht")])
@@ -99,11 +124,14 @@ def windows(df: DataFrame, lengths, wanted) -> DataFrame:
     # The place in the array gives the length and the place among its windows.
     size, start, length, k = F.size("toks"), F.lit(0), F.lit(None).cast("int"), F.lit(None).cast("int")
     for n in lengths:
-        count = F.when(wanted(n), F.greatest(size - n + 1, F.lit(0))).otherwise(F.lit(0))
+        count = F.when(wanted(n), _begun(size, n)).otherwise(F.lit(0))
         here = (F.col("at") >= start) & (F.col("at") < start + 2 * count)
         length, k = F.when(here, F.lit(n)).otherwise(length), F.when(here, F.col("at") - start).otherwise(k)
         start = start + 2 * count
-    return df.withColumns({"len": length, "k": k}).drop("at")
+    df = df.withColumns({"len": length, "k": k}).drop("at")
+    count, k, length = _begun(size, F.col("len")), F.col("k"), F.col("len")
+    return df.withColumns({"pos": F.col("start") + k % count, "plain": k < count,
+                           "part": F.slice("toks", k % count + 1, length)}).drop("toks", "k", "start", "n_toks")
 
 
 def _solid(part, length):
@@ -114,12 +142,11 @@ def bench_windows(benchmark: DataFrame) -> DataFrame:
     """Per item one row for each plain window, and one for each solid window with slots."""
     b = (benchmark.select("item_id", tokens(F.col("text")).alias("toks")).filter(F.size("toks") > 0)
          .withColumn("own_len", F.least(F.lit(WINDOW), F.size("toks"))))
-    b = windows(b, range(1, WINDOW + 1), lambda n: F.col("own_len") == n).drop("own_len")
-    b = b.withColumn("n_windows", F.size("toks") - F.col("len") + 1)
+    b = b.withColumn("n_windows", F.size("toks") - F.col("own_len") + 1)
     b = b.withColumn("n_solid", F.size(F.filter(
-        F.sequence(F.lit(1), F.col("n_windows")), lambda i: _solid(F.slice("toks", i, F.col("len")), F.col("len")))))
-    b = b.withColumn("ipos", F.col("k") % F.col("n_windows")).withColumn("exact", F.col("k") < F.col("n_windows"))
-    b = b.withColumn("part", F.slice("toks", F.col("ipos") + 1, F.col("len")))
+        F.sequence(F.lit(1), F.col("n_windows")), lambda i: _solid(F.slice("toks", i, F.col("own_len")), F.col("own_len")))))
+    b = windows(b, range(1, WINDOW + 1), lambda n: F.col("own_len") == n)
+    b = b.withColumnsRenamed({"pos": "ipos", "plain": "exact"})
     b = b.withColumn("solid", _solid(F.col("part"), F.col("len")))
     slots = F.filter(F.transform("part", lambda x, i: F.when(_slot(x), F.struct(
         i.alias("at"), _bare(x).alias("i")))), lambda x: x.isNotNull())
@@ -140,16 +167,15 @@ def _pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # A document is its id and text: null or repeated ids stay apart.
     d = docs.filter("text is not null").select(F.struct("doc_id", *text_key("text")).alias("row"), tokens(F.col("text")).alias("toks"))
     # A window of under LEAST words says little inside a text: there the whole text must be it.
-    w = windows(d, lens or [WINDOW], lambda n: F.lit(True) if n >= LEAST else F.size("toks") == n)
-    count = F.size("toks") - F.col("len") + 1
-    pos = (F.col("k") % count).alias("pos")
-    own = F.when(F.col("k") >= count, F.transform(F.slice("toks", F.col("k") % count + 1, F.col("len")), _bare)).alias("own")
-    if small:
-        j = w.join(F.broadcast(bench), ["wh", "len"]).select("*", pos, own)
-    else:       # the window's own words travel, not the whole text
-        j = w.select("row", "wh", "len", pos, own).join(bench, ["wh", "len"])
+    w = windows(d, lens or [WINDOW], lambda n: F.lit(True) if n >= LEAST else F.col("n_toks") == n)
+    w = w.select("row", "wh", "len", "pos", F.when(~F.col("plain"), F.col("part")).alias("part"))
+    if not small:       # most windows are in no item: those are not shuffled
+        hashes = bench.select("wh").distinct()
+        if hashes.count() <= BROADCAST_HASHES:
+            w = w.join(F.broadcast(hashes), "wh", "left_semi")
+    j = w.join(F.broadcast(bench) if small else bench, ["wh", "len"])
     hits = j.select("row", "item_id", "n_windows", "n_solid", "ipos", "solid", (F.col("pos") - F.col("ipos")).alias("diag"),
-                    F.transform("slots", lambda s: F.struct((F.col("ipos") + s["at"]).alias("p"), s["i"].alias("i"), F.get("own", s["at"]).alias("d"))).alias("pairs"),
+                    F.transform("slots", lambda s: F.struct((F.col("ipos") + s["at"]).alias("p"), s["i"].alias("i"), _bare(F.get("part", s["at"])).alias("d"))).alias("pairs"),
                     "exact")
     g = hits.groupBy("row", "item_id", "n_windows", "n_solid", "diag").agg(
         F.collect_set(F.struct("ipos", "solid", "exact", "pairs")).alias("seen"), F.flatten(F.collect_set("pairs")).alias("votes"))

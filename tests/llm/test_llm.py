@@ -510,6 +510,40 @@ def test_decontamination_short_items(spark):
     assert plan.count("Generate posexplode") <= 2
 
 
+def test_decontamination_by_blocks(spark, monkeypatch):
+    """Windows that cross the edges of blocks count as those of one block; above the broadcast as well."""
+    q = "a train leaves the old station with 40 passengers and then 25 km later it stops and 40 people leave the train"
+    plain = "who wrote this big old red book that nobody in the whole town has ever read to its end"
+    fill = [f"word{chr(97 + i)}" for i in range(26)]
+    texts = [" ".join(fill[:n] + [t] + fill[n:]) for n in range(0, 20, 3) for t in (q, q.replace("40", "77"), q.replace("40", "77", 1), plain)]
+    texts += ["", "Yes", "yes and no", " ".join(fill), " ".join([plain] * 4 + [q])]
+    found = set()
+    for block, rows, hashes in ((1 << 20, 1 << 20, 0), (8, 1 << 20, 0), (16, 0, 0)):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+        monkeypatch.setattr(decontaminate, "BROADCAST_HASHES", hashes)
+        found.add(frozenset(leaks(spark, texts, [q, plain, "Yes", plain + " " + plain])))
+    (same,) = found
+    assert same >= {(4 * k + j, 0) for k in range(7) for j in (0, 1)} | {(4 * k + 3, 1) for k in range(7)} | {(29, 2), (32, 0), (32, 1), (32, 3)}
+    assert not any((4 * k + 2, 0) in same for k in range(7))
+
+
+def test_decontamination_windows_leave_the_text_behind(spark):
+    """A text that holds an item hundreds of times: its hits do not each carry all its words (here 10 GB)."""
+    from pyspark.sql import functions as F
+    item = "a train leaves the old station with 40 passengers and then 25 km later it stops and 40 people leave the train"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join([item] * 800)), (2, "a clean text")], "doc_id long, text string")
+    assert [tuple(r) for r in decontaminate.matches(docs, bench).collect()] == [(1, 1, 1.0)]
+    toks = docs.select("doc_id", decontaminate.tokens(F.col("text")).alias("toks"))
+    w = decontaminate.windows(toks, [8], lambda n: F.lit(True))
+    assert "toks" not in w.columns and w.agg(F.max(F.size("part"))).first()[0] == 8
+    size = toks.select(F.size("toks")).first()[0]
+    assert [r["pos"] for r in w.filter("plain and doc_id = 1").select("pos").orderBy("pos").collect()] == list(range(size - 7))
+    most, rows = decontaminate.blocks(toks).agg(F.max(F.size("toks")), F.count(F.lit(1))).first()
+    assert most <= decontaminate.BLOCK + decontaminate.WINDOW - 1 and rows == -(-size // decontaminate.BLOCK) + 1
+
+
 def test_decontamination_case(spark):
     q = "after the long trip Ann, Bob, Carl, Dora, Emil, Fritz and old Gustav sold the house, the garden, the boat and the car to Hans"
     texts = ["x " + q, q.upper(), q.lower(), q.title(), "Some words before, " + q.upper() + " and after", q.replace("Ann", "Zoe").replace("Hans", "Kim")]
